@@ -31,6 +31,10 @@ from cartwise.operators import split as sp  # noqa: E402
 from cartwise.operators.basket import Basket  # noqa: E402
 from cartwise.operators.scale import fit_min_max  # noqa: E402
 from cartwise.schema import FEATURES, LINE_COLUMNS  # noqa: E402
+from cartwise.models.cv import GroupCrossValidation  # noqa: E402
+from cartwise.models.train import (feature_importance, logistic_regression_estimator,  # noqa: E402
+                                   positive_probability)
+from cartwise.plans.build import build_models  # noqa: E402
 from cartwise.sources import history  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -39,9 +43,12 @@ SPLIT_SEED = _oracle.SPLIT_SEED
 TEST_SIZE = _oracle.TEST_SIZE
 NUM_FOLDS = _oracle.NUM_FOLDS
 THRESHOLD = _oracle.THRESHOLD
+ADJUSTED_THRESHOLD = _oracle.ADJUSTED_THRESHOLD
 F1_TARGET = _oracle.F1_TARGET
 TOP_K = _oracle.TOP_K
 USER_LIMIT = _oracle.USER_LIMIT
+GBT_ITER = 30
+CV_FOLDS = 3
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -132,12 +139,16 @@ def q_overall_metrics(spark, sf_dir):
     return _rounded(ev.overall_metrics(_scores(spark, sf_dir), THRESHOLD))
 
 
+def q_overall_metrics_adjusted(spark, sf_dir):
+    return _rounded(ev.overall_metrics(_scores(spark, sf_dir), ADJUSTED_THRESHOLD))
+
+
 def q_threshold_sweep(spark, sf_dir):
     return _rounded(ev.threshold_sweep(_scores(spark, sf_dir), 100))
 
 
 def _per_user(spark, sf_dir):
-    return ev.per_user_f1(_scores(spark, sf_dir), THRESHOLD)
+    return ev.per_user_f1(_scores(spark, sf_dir), ADJUSTED_THRESHOLD)
 
 
 def q_per_user_f1(spark, sf_dir):
@@ -163,11 +174,11 @@ def _fold_scored(spark, sf_dir):
 
 
 def q_cv_fold_scores(spark, sf_dir):
-    return _rounded(ev.fold_scores(_fold_scored(spark, sf_dir), THRESHOLD))
+    return _rounded(ev.fold_scores(_fold_scored(spark, sf_dir), ADJUSTED_THRESHOLD))
 
 
 def q_cv_score(spark, sf_dir):
-    return _rounded(ev.mean_fold_score(ev.fold_scores(_fold_scored(spark, sf_dir), THRESHOLD)))
+    return _rounded(ev.mean_fold_score(ev.fold_scores(_fold_scored(spark, sf_dir), ADJUSTED_THRESHOLD)))
 
 
 def q_recommend_for_user(spark, sf_dir):
@@ -179,6 +190,47 @@ def q_recommend_topk(spark, sf_dir):
     return _rounded(rec.recommend_topk(_scores(spark, sf_dir), TOP_K))
 
 
+# ---- model queries (no SQL oracle: rows-only) ----------------------------
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _TRAINED:
+        orders, lines = history.order_history(spark, sf_dir)
+        _TRAINED[key] = build_models(spark, orders, lines, gbt_iter=GBT_ITER)
+    return _TRAINED[key]
+
+
+def _model_scores(model, test):
+    scored = positive_probability(model, test, out="probability",
+                                  keep=["user_id", "product_id", "in_cart"])
+    return _rounded(ev.with_prediction(scored, THRESHOLD, "probability"))
+
+
+def q_logreg_scores(spark, sf_dir):
+    r = _trained(spark, sf_dir)
+    return _model_scores(r.lr, r.test)
+
+
+def q_gbt_scores(spark, sf_dir):
+    r = _trained(spark, sf_dir)
+    return _model_scores(r.gbt, r.test)
+
+
+def q_feature_importance(spark, sf_dir):
+    r = _trained(spark, sf_dir)
+    return _rounded(feature_importance(spark, r.lr, r.gbt))
+
+
+def q_cv_out_of_fold(spark, sf_dir):
+    r = _trained(spark, sf_dir)
+    cv = GroupCrossValidation(r.train, FEATURES, "in_cart", "user_id", CV_FOLDS, SPLIT_SEED)
+    n = r.train.count()
+    cv.fit(logistic_regression_estimator(n * (CV_FOLDS - 1) // CV_FOLDS))
+    return _rounded(cv.predict(ADJUSTED_THRESHOLD))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_prior": q_load_prior,
     "load_newest": q_load_newest,
@@ -206,6 +258,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minmax_scale": q_minmax_scale,
     "apply_threshold": q_apply_threshold,
     "overall_metrics": q_overall_metrics,
+    "overall_metrics_adjusted": q_overall_metrics_adjusted,
     "threshold_sweep": q_threshold_sweep,
     "per_user_f1": q_per_user_f1,
     "mean_user_f1": q_mean_user_f1,
@@ -215,6 +268,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cv_score": q_cv_score,
     "recommend_for_user": q_recommend_for_user,
     "recommend_topk": q_recommend_topk,
+    "logreg_scores": q_logreg_scores,
+    "gbt_scores": q_gbt_scores,
+    "feature_importance": q_feature_importance,
+    "cv_out_of_fold": q_cv_out_of_fold,
 }
 
 
