@@ -12,6 +12,13 @@ instance, the frames every feature is read from:
 ``users``         per-user statistics (+ newest-order columns when present)
 ``products``      per-product statistics over *all* prior users
 
+``timeline`` and ``pairs`` are each read by several consumers that need
+different columns; Spark would re-derive them per consumer (column pruning
+makes the branches differ, so exchanges are not reused).  With
+``materialize=True`` (default) they are written once as parquet under the
+shared checkpoint folder and read back: each line-level shuffle runs once,
+and the written tables cut the lineage.
+
 Plan shape: the line table is shuffled once by (user, order) to be joined
 with the timeline and once (after map-side partial aggregation) by
 (user, product); user and product statistics are derived from ``pairs`` by
@@ -30,16 +37,27 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.expr import cart_percentile_sum, hour_of_week, ratio
 from cartwise.operators.sequence import DEFAULT_BLOCK, running_sums
+from cartwise.session import scratch_path
 
 # Fixed value: "last five orders" means order_number >= N - 5.
 LAST_N_ORDERS = 5
 
 
 class Basket:
-    def __init__(self, prior: DataFrame, newest: DataFrame, block_size: int = DEFAULT_BLOCK):
+    def __init__(self, prior: DataFrame, newest: DataFrame, block_size: int = DEFAULT_BLOCK,
+                 materialize: bool = True):
         self.prior = prior
         self.newest = newest
         self.block_size = block_size
+        self.materialize = materialize
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        spark = df.sparkSession
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
     # ---- order level -------------------------------------------------
     @cached_property
@@ -70,11 +88,12 @@ class Basket:
         including this one) + ``days_to_newest_prior`` (gaps of this and all
         later prior orders) + the user's newest order number and gap."""
         newest = self.newest_users.select("user_id", "newest_order_number", "newest_gap")
-        return running_sums(
+        t = running_sums(
             self.prior_orders, ["user_id"], "order_number", "days_since_prior_order",
             forward="days_since_first_order", backward="days_to_newest_prior",
             block_size=self.block_size, per_group=newest,
         )
+        return self._stage(t, "timeline")
 
     @cached_property
     def order_values(self) -> DataFrame:
@@ -109,7 +128,7 @@ class Basket:
             F.max("dnewest").alias("dnewest"),
             F.max("recent").alias("recent"),
         )
-        return per_order.groupBy("user_id", "product_id").agg(
+        pairs = per_order.groupBy("user_id", "product_id").agg(
             F.count(F.lit(1)).alias("n_orders"),
             F.sum("mult").alias("n_lines"),
             F.min("onum").alias("first_onum"),
@@ -123,6 +142,7 @@ class Basket:
             F.sum(cart_percentile_sum("mult", "sumpos", "cart")).alias("sum_pct"),
             F.sum(F.col("mult") * F.col("how")).alias("sum_how"),
         )
+        return self._stage(pairs, "pairs")
 
     @cached_property
     def newest_pairs(self) -> DataFrame:
@@ -131,7 +151,7 @@ class Basket:
     # ---- user / product level ----------------------------------------
     @cached_property
     def user_orders(self) -> DataFrame:
-        return self.prior_orders.groupBy("user_id").agg(
+        return self.timeline.groupBy("user_id").agg(
             F.count(F.lit(1)).alias("total_user_orders"),
             F.max("order_number").alias("last_prior_order"),
         )
@@ -152,7 +172,7 @@ class Basket:
     @cached_property
     def total_orders(self):
         """Scalar subquery: number of distinct prior orders (all users)."""
-        return self.prior_orders.agg(F.count(F.lit(1))).scalar()
+        return self.timeline.agg(F.count(F.lit(1))).scalar()
 
     @cached_property
     def products(self) -> DataFrame:
