@@ -3,9 +3,9 @@
 Fit is one aggregation (a single row of minima and maxima, collected like
 any estimator's fitted parameters); transform is a projection with literal
 coefficients, so it stays inside whole-stage codegen.  Semantics follow the
-common convention x * scale + offset with scale = 1 / (max - min) and a
-constant column keeping scale 1 (train values map to 0; values outside the
-training range are not clipped).  Spark ML's MinMaxScaler maps a constant
+usual definition (x - min) / (max - min); a constant column keeps a range
+of 1, so its train values map to 0; values outside the training range are
+not clipped.  Spark ML's MinMaxScaler maps a constant
 column to 0.5 instead, hence this class.
 """
 
@@ -25,17 +25,18 @@ class MinMaxModel:
     mins: list[float]
     maxs: list[float]
 
-    def coefficients(self) -> list[tuple[float, float]]:
+    def ranges(self) -> list[tuple[float, float]]:
+        """(min, range) per column; a (near-)zero range is replaced by 1."""
         out = []
         for lo, hi in zip(self.mins, self.maxs):
-            rng = (hi - lo) if lo is not None and hi is not None else 0.0
-            scale = 1.0 if abs(rng) < 10 * _EPS else 1.0 / rng
-            out.append((scale, -(lo or 0.0) * scale))
+            lo = 0.0 if lo is None else lo
+            rng = (hi - lo) if hi is not None else 0.0
+            out.append((lo, 1.0 if abs(rng) < 10 * _EPS else rng))
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
-        scaled = {c: (F.col(c).cast("double") * F.lit(s) + F.lit(o)).alias(c)
-                  for c, (s, o) in zip(self.columns, self.coefficients())}
+        scaled = {c: ((F.col(c).cast("double") - F.lit(lo)) / F.lit(rng)).alias(c)
+                  for c, (lo, rng) in zip(self.columns, self.ranges())}
         return df.select(*[scaled.get(c, F.col(c)) for c in df.columns])
 
 
