@@ -34,7 +34,7 @@ from cartwise.schema import FEATURES, LINE_COLUMNS  # noqa: E402
 from cartwise.models.cv import GroupCrossValidation  # noqa: E402
 from cartwise.models.train import (feature_importance, logistic_regression_estimator,  # noqa: E402
                                    positive_probability)
-from cartwise.plans.build import build_models  # noqa: E402
+from cartwise.plans.build import train_from_matrix  # noqa: E402
 from cartwise.sources import history  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -64,7 +64,9 @@ def _basket(spark: SparkSession, sf_dir: str) -> Basket:
 
 
 def _matrix(spark, sf_dir) -> DataFrame:
-    return fx.feature_matrix(_basket(spark, sf_dir))
+    """The feature matrix as the evaluation queries read it: built once per
+    application and saved (the ``feature_matrix`` query computes it anew)."""
+    return history.feature_matrix_table(spark, sf_dir)
 
 
 def _scores(spark, sf_dir) -> DataFrame:
@@ -100,11 +102,11 @@ def q_top_products(spark, sf_dir):
 
 
 def q_feature_matrix(spark, sf_dir):
-    return _rounded(_matrix(spark, sf_dir))
+    return _rounded(fx.feature_matrix(_basket(spark, sf_dir)))
 
 
 def q_matrix_shape(spark, sf_dir):
-    m = _matrix(spark, sf_dir)
+    m = fx.feature_matrix(_basket(spark, sf_dir))
     return m.agg(F.count(F.lit(1)).alias("n_rows")).select(
         "n_rows", F.lit(len(m.columns)).cast("int").alias("n_columns"))
 
@@ -197,8 +199,7 @@ _TRAINED: dict = {}
 def _trained(spark, sf_dir):
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _TRAINED:
-        orders, lines = history.order_history(spark, sf_dir)
-        _TRAINED[key] = build_models(spark, orders, lines, gbt_iter=GBT_ITER)
+        _TRAINED[key] = train_from_matrix(spark, _matrix(spark, sf_dir), gbt_iter=GBT_ITER)
     return _TRAINED[key]
 
 

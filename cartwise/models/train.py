@@ -49,7 +49,7 @@ def logistic_regression_estimator(n_train: int, c: float = LR_C,
     return LogisticRegression(
         featuresCol="features", labelCol=label, regParam=1.0 / (c * max(n_train, 1)),
         elasticNetParam=0.0, standardization=False, fitIntercept=True,
-        maxIter=max_iter, tol=1e-8, family="binomial",
+        maxIter=max_iter, tol=1e-6, family="binomial",
     )
 
 

@@ -57,7 +57,7 @@ class Basket:
         spark = df.sparkSession
         path = scratch_path(spark, name)
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     # ---- order level -------------------------------------------------
     @cached_property

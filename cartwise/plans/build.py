@@ -67,9 +67,15 @@ def split_and_scale(matrix: DataFrame, features: list[str] = FEATURES,
 def build_models(spark: SparkSession, orders: DataFrame, lines: DataFrame,
                  out_dir: str | None = None, user_limit: int | None = None,
                  gbt_iter: int = 50, drop_newest_cart: bool = False) -> BuildResult:
+    matrix = build_feature_matrix(spark, orders, lines, user_limit, drop_newest_cart)
+    return train_from_matrix(spark, matrix, out_dir, gbt_iter, drop_newest_cart)
+
+
+def train_from_matrix(spark: SparkSession, matrix: DataFrame, out_dir: str | None = None,
+                      gbt_iter: int = 50, drop_newest_cart: bool = False) -> BuildResult:
+    """Split, scale, fit both models (and save them) from a built matrix."""
     features = [f for f in FEATURES
                 if not (drop_newest_cart and f in ("newest_cart_size", "cart_size_difference"))]
-    matrix = build_feature_matrix(spark, orders, lines, user_limit, drop_newest_cart)
     train, test, scaler = split_and_scale(matrix, features)
     train = materialise(spark, train, "train-set")
     test = materialise(spark, test, "test-set")

@@ -16,7 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwise.session import checkpoint_dir
-from cartwise.sources.adapter import tpch_order_history, tpch_products
+from cartwise.sources.adapter import tpch_lines, tpch_orders, tpch_products
 from cartwise.sources.readers import load_basket
 
 _CACHE: dict[tuple[str, str], tuple[str, str, str]] = {}
@@ -41,9 +41,16 @@ def history_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
                         f"{_fingerprint(sf_dir)}-{app}")
     paths = (os.path.join(base, "orders"), os.path.join(base, "order_lines"),
              os.path.join(base, "products"))
-    orders, lines = tpch_order_history(spark, sf_dir)
-    orders.write.mode("overwrite").parquet(paths[0])
-    lines.write.mode("overwrite").parquet(paths[1])
+    # lines first; the order header is derived from the written lines, then
+    # the lines are stored split by eval_set (like separate prior / train
+    # line tables), so reading one set prunes the others at the scan
+    raw = os.path.join(base, "raw_lines")
+    tpch_lines(spark, sf_dir).write.mode("overwrite").parquet(raw)
+    lines = spark.read.parquet(raw)
+    tpch_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(paths[0])
+    header = spark.read.parquet(paths[0]).select("order_id", "eval_set")
+    (lines.join(header, "order_id").write.mode("overwrite")
+     .partitionBy("eval_set").parquet(paths[1]))
     tpch_products(spark, sf_dir).write.mode("overwrite").parquet(paths[2])
     _CACHE[key] = paths
     return paths
@@ -64,3 +71,22 @@ def basket_tables(spark: SparkSession, sf_dir: str,
     """(prior, newest) joined line tables for ``sf_dir``."""
     orders, lines = order_history(spark, sf_dir)
     return load_basket(orders, lines, user_limit)
+
+
+_MATRIX: dict[tuple[str, str], str] = {}
+
+
+def feature_matrix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled feature matrix of ``sf_dir``, built once per application
+    and written under the checkpoint folder (the build-once / evaluate-many
+    workflow: evaluation reads the saved matrix)."""
+    from cartwise.operators.basket import Basket
+    from cartwise.operators.features import feature_matrix
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _MATRIX:
+        prior, newest = basket_tables(spark, sf_dir)
+        path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]), "feature_matrix")
+        feature_matrix(Basket(prior, newest)).write.mode("overwrite").parquet(path)
+        _MATRIX[key] = path
+    return spark.read.parquet(_MATRIX[key])

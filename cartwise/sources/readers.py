@@ -33,12 +33,16 @@ def join_order_header(lines: DataFrame, orders: DataFrame,
                       user_limit: int | None = None) -> DataFrame:
     """Inner-join order lines with their order header on ``order_id``.
 
-    ``eval_set`` selects which orders (``prior`` / ``train``) to keep.  Null
-    keys are dropped: they can neither group nor join.
+    ``eval_set`` selects which orders (``prior`` / ``train``) to keep; when
+    the line table carries ``eval_set`` too (e.g. stored partitioned by it),
+    the same filter prunes the line scan.  Null keys are dropped: they can
+    neither group nor join.
     """
     header = orders
     if eval_set is not None:
         header = header.where(F.col("eval_set") == eval_set)
+        if "eval_set" in lines.columns:
+            lines = lines.where(F.col("eval_set") == eval_set)
     header = apply_user_limit(
         header.where(F.col("order_id").isNotNull() & F.col("user_id").isNotNull()),
         user_limit).select(*_HEADER_COLUMNS)
