@@ -30,14 +30,15 @@ rows_strategy = st.lists(
 @given(rows=rows_strategy, block=st.integers(1, 5))
 def test_running_sums_equal_self_join(spark, rows, block):
     df = spark.createDataFrame(rows, SEQ)
-    got = sorted((r.g, r.k, r.v, r.fw, r.bw) for r in
-                 running_sums(df, ["g"], "k", "v", "fw", "bw", block_size=block).collect())
+    got = sorted(((r.g, r.k, r.v, r.fw, r.bw) for r in
+                  running_sums(df, ["g"], "k", "v", "fw", "bw", block_size=block).collect()),
+                 key=repr)
     exp = []
     for g, k, v in rows:
         fw = sum(x for gg, kk, x in rows if gg == g and kk <= k and x is not None)
         bw = sum(x for gg, kk, x in rows if gg == g and kk >= k and x is not None)
         exp.append((g, k, v, fw, bw))
-    assert got == sorted(exp)
+    assert got == sorted(exp, key=repr)
 
 
 @settings(max_examples=5, deadline=None,
