@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.models.train import assembler
-from cartwise.operators.evaluate import fold_scores, mean_fold_score
+from cartwise.operators.evaluate import f1_metric, fold_scores, mean_fold_score
 from cartwise.operators.split import with_folds
 
 
@@ -60,11 +60,12 @@ class GroupCrossValidation:
         cols = (self.feature_cols + [self.target_col]) if limit_cols else self.df.columns
         return [self.df.where(F.col("fold") == k).select(*cols) for k in range(self.num_folds)]
 
-    def score(self, threshold: float = 0.5) -> tuple[list[float], float]:
-        """(F1 per fold, mean F1) from one aggregation."""
+    def score(self, threshold: float = 0.5, scorer=f1_metric) -> tuple[list[float], float]:
+        """(score per fold, mean score) from one aggregation over the
+        out-of-fold predictions; ``scorer`` maps (tp, fp, fn, tn) columns to
+        a metric (default F1 of the positive class)."""
         per_fold = fold_scores(self.predict_proba(), threshold, "probability_1",
-                               self.target_col).orderBy("fold")
-        rows = per_fold.collect()
-        scores = [r["f1"] for r in rows]
-        mean = mean_fold_score(per_fold).first()["mean_f1"]
-        return scores, mean
+                               self.target_col, scorer=scorer, name="score")
+        rows = per_fold.orderBy("fold").collect()  # one row per fold
+        scores = [r["score"] for r in rows]
+        return scores, (sum(scores) / len(scores) if scores else float("nan"))

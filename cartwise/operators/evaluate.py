@@ -117,13 +117,29 @@ def users_with_f1(per_user: DataFrame, target: float = 0.8, limit: int = 10,
             .select(group_col).orderBy(group_col).limit(limit))
 
 
+def precision_from_counts(tp, fp, fn, tn):
+    return _safe(tp, tp + fp)
+
+
+def recall_from_counts(tp, fp, fn, tn):
+    return _safe(tp, tp + fn)
+
+
+def f1_metric(tp, fp, fn, tn):
+    return f1_from_counts(tp, fp, fn)
+
+
 def fold_scores(scored: DataFrame, threshold: float = 0.5, score_col: str = "score",
-                label: str = "in_cart", fold_col: str = "fold") -> DataFrame:
-    """fold, f1: one F1 per fold from one aggregation."""
+                label: str = "in_cart", fold_col: str = "fold", scorer=f1_metric,
+                name: str = "f1") -> DataFrame:
+    """fold, <name>: one score per fold from one aggregation.  ``scorer``
+    maps the confusion-count columns (tp, fp, fn, tn) to a metric column."""
     pred = with_prediction(scored, threshold, score_col, "_pred")
-    c = pred.groupBy(fold_col).agg(*_counts(label, "_pred")[:3])
-    return c.select(fold_col, f1_from_counts("tp", "fp", "fn").alias("f1"))
+    c = pred.groupBy(fold_col).agg(*_counts(label, "_pred"))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return c.select(fold_col, scorer(tp, fp, fn, tn).alias(name))
 
 
-def mean_fold_score(fold_f1: DataFrame) -> DataFrame:
-    return fold_f1.agg(F.count(F.lit(1)).alias("n_folds"), F.avg("f1").alias("mean_f1"))
+def mean_fold_score(fold_scores_df: DataFrame, name: str = "f1") -> DataFrame:
+    return fold_scores_df.agg(F.count(F.lit(1)).alias("n_folds"),
+                              F.avg(name).alias(f"mean_{name}"))

@@ -84,6 +84,9 @@ def test_group_cross_validation(data):
               .where("k > 1").count() == 0
     scores, mean = cv.score(0.5)
     assert len(scores) == 4 and mean == pytest.approx(sum(scores) / 4)
+    from cartwise.operators.evaluate import recall_from_counts
+    rec, _ = cv.score(0.5, scorer=recall_from_counts)
+    assert all(0.0 <= x <= 1.0 for x in rec)
     folds = cv.get_df_folds()
     assert sum(f.count() for f in folds) == df.count()
     assert folds[0].columns == FEATS + ["in_cart"]
