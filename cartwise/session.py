@@ -8,6 +8,7 @@ scratch folder when none is configured (tests, local runs).
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 
@@ -19,6 +20,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when the next operator relies on
+    # the join's partitioning (costs one extra shuffle only when skew is seen)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -66,11 +70,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
 
 
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_counter = _count()
+_counter = itertools.count(1)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,7 @@ from cartwise.sources.adapter import tpch_lines, tpch_orders, tpch_products
 from cartwise.sources.readers import load_basket
 
 _CACHE: dict[tuple[str, str], tuple[str, str, str]] = {}
+_LOCK = threading.RLock()
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -33,6 +35,11 @@ def _fingerprint(sf_dir: str) -> str:
 
 
 def history_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    with _LOCK:
+        return _history_paths(spark, sf_dir)
+
+
+def _history_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir))
     if key in _CACHE:
@@ -80,13 +87,20 @@ def feature_matrix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled feature matrix of ``sf_dir``, built once per application
     and written under the checkpoint folder (the build-once / evaluate-many
     workflow: evaluation reads the saved matrix)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        path = _MATRIX.get(key)
+        if path is None:
+            path = _build_matrix(spark, sf_dir)
+            _MATRIX[key] = path
+    return spark.read.parquet(path)
+
+
+def _build_matrix(spark: SparkSession, sf_dir: str) -> str:
     from cartwise.operators.basket import Basket
     from cartwise.operators.features import feature_matrix
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _MATRIX:
-        prior, newest = basket_tables(spark, sf_dir)
-        path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]), "feature_matrix")
-        feature_matrix(Basket(prior, newest)).write.mode("overwrite").parquet(path)
-        _MATRIX[key] = path
-    return spark.read.parquet(_MATRIX[key])
+    prior, newest = basket_tables(spark, sf_dir)
+    path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]), "feature_matrix")
+    feature_matrix(Basket(prior, newest)).write.mode("overwrite").parquet(path)
+    return path
