@@ -8,7 +8,9 @@ instance, the frames every feature is read from:
 ``timeline``      prior_orders + running gap sums (days since first order,
                   days to the newest order) + the user's N and G
 ``pairs``         one row per (user, product) over all prior lines: counts,
-                  first/last order, and the sums every mean feature needs
+                  first/last order, the sums every mean feature needs, and the
+                  label ``in_cart`` (newest lines join the same aggregation, so
+                  the label needs no join of its own)
 ``users``         per-user statistics (+ newest-order columns when present)
 ``products``      per-product statistics over *all* prior users
 
@@ -50,6 +52,7 @@ class Basket:
         self.newest = newest
         self.block_size = block_size
         self.materialize = materialize
+        self._staged: list[str] = []
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
@@ -57,8 +60,20 @@ class Basket:
         spark = df.sparkSession
         path = scratch_path(spark, name)
         df.write.mode("overwrite").parquet(path)
+        self._staged.append(path)
         return spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Delete the staged tables.  Call only after every frame derived
+        from this basket has been written or collected."""
+        spark = self.prior.sparkSession
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self._staged:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self._staged.clear()
+
     # ---- order level -------------------------------------------------
     @cached_property
     def prior_orders(self) -> DataFrame:
@@ -127,9 +142,13 @@ class Basket:
             F.max("dfirst").alias("dfirst"),
             F.max("dnewest").alias("dnewest"),
             F.max("recent").alias("recent"),
-        )
-        pairs = per_order.groupBy("user_id", "product_id").agg(
-            F.count(F.lit(1)).alias("n_orders"),
+        ).withColumn("hit", F.lit(0))
+        # newest lines ride along in the same (user, product) shuffle; all
+        # their prior-side columns are null, so they only set the label
+        hits = self.newest.select("user_id", "product_id", F.lit(1).alias("hit"))
+        rows = per_order.unionByName(hits, allowMissingColumns=True)
+        pairs = rows.groupBy("user_id", "product_id").agg(
+            F.count("onum").alias("n_orders"),
             F.sum("mult").alias("n_lines"),
             F.min("onum").alias("first_onum"),
             F.max("onum").alias("last_onum"),
@@ -141,12 +160,10 @@ class Basket:
             F.sum(F.col("mult") * F.col("cart")).alias("sum_cart"),
             F.sum(cart_percentile_sum("mult", "sumpos", "cart")).alias("sum_pct"),
             F.sum(F.col("mult") * F.col("how")).alias("sum_how"),
+            F.max("hit").cast("int").alias("in_cart"),
         )
-        return self._stage(pairs, "pairs")
-
-    @cached_property
-    def newest_pairs(self) -> DataFrame:
-        return self.newest.select("user_id", "product_id").distinct()
+        # pairs seen only in a newest order are no candidates and no history
+        return self._stage(pairs, "pairs").where(F.col("n_orders") > 0)
 
     # ---- user / product level ----------------------------------------
     @cached_property

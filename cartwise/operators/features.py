@@ -28,17 +28,11 @@ def candidates(b: Basket) -> DataFrame:
             .select(*KEYS, F.col("n_orders").alias("count_in_user_orders")))
 
 
-def _with_label(pairs: DataFrame, b: Basket) -> DataFrame:
-    hits = b.newest_pairs.withColumn("_hit", F.lit(1))
-    # pairs and newest_pairs are both partitioned by (user, product): no
-    # exchange on the large side.
-    return pairs.join(hits, KEYS, "left").withColumn(
-        "in_cart", F.coalesce(F.col("_hit"), F.lit(0)).cast("int")).drop("_hit")
-
-
 def target(b: Basket) -> DataFrame:
-    """user_id, product_id, in_cart (product is in the user's newest order)."""
-    return _with_label(candidates(b), b).select(*KEYS, "in_cart")
+    """user_id, product_id, in_cart (product is in the user's newest order);
+    the label is computed inside the pair aggregation."""
+    users = b.newest_users.select("user_id")
+    return b.pairs.join(users, "user_id", "left_semi").select(*KEYS, "in_cart")
 
 
 # ---- feature expressions over the joined candidate frame ------------------
@@ -84,8 +78,6 @@ _NEEDS_PRODUCTS = {"percent_in_all_orders", "product_reorder_proba"}
 
 def _candidate_frame(b: Basket, names: list[str], label: bool = False) -> DataFrame:
     df = b.pairs
-    if label:
-        df = _with_label(df, b)
     # inner join with users that have a newest order = the candidate filter
     df = df.join(b.users, "user_id")
     if _NEEDS_PRODUCTS & set(names):

@@ -50,8 +50,11 @@ def build_feature_matrix(spark: SparkSession, orders: DataFrame, lines: DataFram
                          user_limit: int | None = None,
                          drop_newest_cart: bool = False) -> DataFrame:
     prior, newest = load_basket(orders, lines, user_limit)
-    m = feature_matrix(Basket(prior, newest), drop_newest_cart=drop_newest_cart)
-    return materialise(spark, m, "feature-matrix")
+    basket = Basket(prior, newest)
+    m = materialise(spark, feature_matrix(basket, drop_newest_cart=drop_newest_cart),
+                    "feature-matrix")
+    basket.release()  # the written matrix no longer needs the staged tables
+    return m
 
 
 def split_and_scale(matrix: DataFrame, features: list[str] = FEATURES,

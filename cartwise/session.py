@@ -48,20 +48,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the
-    cluster names one; otherwise creates a scratch folder, which is only
-    appropriate for local runs.
+    Uses ``spark.checkpoint.dir`` or the context's checkpoint folder when the
+    cluster names one; otherwise (tests, local runs) creates a scratch folder
+    and registers it with ``SparkContext.setCheckpointDir`` (the conf itself
+    cannot be changed at runtime).
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if configured:
-        if not sc.getCheckpointDir():
+        if not current:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="cartwise-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if current:
+        return current.rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwise-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -102,5 +102,7 @@ def _build_matrix(spark: SparkSession, sf_dir: str) -> str:
 
     prior, newest = basket_tables(spark, sf_dir)
     path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]), "feature_matrix")
-    feature_matrix(Basket(prior, newest)).write.mode("overwrite").parquet(path)
+    basket = Basket(prior, newest)
+    feature_matrix(basket).write.mode("overwrite").parquet(path)
+    basket.release()
     return path

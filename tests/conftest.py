@@ -27,8 +27,6 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     # tests own their checkpoint folder only where the environment names none
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
-        d = tempfile.mkdtemp(prefix="cartwise-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartwise-test-ckpt-"))
     yield s
     s.stop()

@@ -78,3 +78,15 @@ def test_top_products(basket):
 def test_drop_newest_cart(basket):
     m = fx.feature_matrix(basket, drop_newest_cart=True)
     assert "newest_cart_size" not in m.columns and "cart_size_difference" not in m.columns
+
+
+def test_release_deletes_staged_tables(spark):
+    import os
+
+    prior, newest = basket_frames(spark)
+    b = Basket(prior, newest)
+    n = fx.feature_matrix(b).count()
+    staged = [p.replace("file:", "") for p in b._staged]
+    assert n == 5 and staged and all(os.path.exists(p) for p in staged)
+    b.release()
+    assert not any(os.path.exists(p) for p in staged)
