@@ -14,12 +14,13 @@ instance, the frames every feature is read from:
 ``users``         per-user statistics (+ newest-order columns when present)
 ``products``      per-product statistics over *all* prior users
 
-``timeline`` and ``pairs`` are each read by several consumers that need
-different columns; Spark would re-derive them per consumer (column pruning
-makes the branches differ, so exchanges are not reused).  With
-``materialize=True`` (default) they are written once as parquet under the
-shared checkpoint folder and read back: each line-level shuffle runs once,
-and the written tables cut the lineage.
+``prior_orders``, ``timeline`` and ``pairs`` are each read by several
+consumers that need different columns; Spark would re-derive them per
+consumer (column pruning makes the branches differ, so exchanges are not
+reused).  With ``materialize=True`` (default) they are written once as
+parquet under the shared checkpoint folder and read back: the line table is
+scanned twice in all (orders, pairs), each line-level shuffle runs once, and
+the written tables cut the lineage.
 
 Plan shape: the line table is shuffled once by (user, order) to be joined
 with the timeline and once (after map-side partial aggregation) by
@@ -79,13 +80,16 @@ class Basket:
     def prior_orders(self) -> DataFrame:
         """One row per (user, prior order).  Header columns are constant in
         an order, so ``max`` picks that value deterministically."""
-        return self.prior.groupBy("user_id", "order_id").agg(
+        orders = self.prior.groupBy("user_id", "order_id").agg(
             F.max("order_number").alias("order_number"),
             F.max("days_since_prior_order").alias("days_since_prior_order"),
             F.max("order_dow").alias("order_dow"),
             F.max("order_hour_of_day").alias("order_hour_of_day"),
             F.max("add_to_cart_order").alias("cart_size"),
         )
+        # read twice by the timeline (block totals and in-block sums) with
+        # different columns: written once, so the line table is scanned once
+        return self._stage(orders, "orders")
 
     @cached_property
     def newest_users(self) -> DataFrame:
