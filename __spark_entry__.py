@@ -105,6 +105,12 @@ def q_feature_matrix(spark, sf_dir):
     return _rounded(fx.feature_matrix(_basket(spark, sf_dir)))
 
 
+def q_feature_matrix_part_grain(spark, sf_dir):
+    """Same matrix with product = part: many products, sparse repeats."""
+    prior, newest = history.basket_tables(spark, sf_dir, grain="part")
+    return _rounded(fx.feature_matrix(Basket(prior, newest)))
+
+
 def q_matrix_shape(spark, sf_dir):
     m = fx.feature_matrix(_basket(spark, sf_dir))
     return m.agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -252,6 +258,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_order": _feature(fx.mean_order),
     "newest_order": _feature(fx.newest_order),
     "feature_matrix": q_feature_matrix,
+    "feature_matrix_part_grain": q_feature_matrix_part_grain,
     "matrix_shape": q_matrix_shape,
     "group_split_train": q_group_split_train,
     "group_split_test": q_group_split_test,

@@ -3,7 +3,8 @@
 The test tables are a star schema (``orders``, ``lineitem``, ``part``), not
 basket data, so they are mapped onto the order-history model:
 
-* product  = the brand of the part (digits of ``p_brand``);
+* product  = the brand of the part (digits of ``p_brand``), or with
+             ``grain="part"`` the part itself (high cardinality, few repeats);
 * lines    = one row per (order, product), ``add_to_cart_order`` re-derived
              from the first line number, so positions are 1..cart size;
 * user     = customer; ``order_number`` = position of the order in the
@@ -28,12 +29,20 @@ from pyspark.sql import functions as F
 from cartwise.sources.tables import read_table
 
 
-def tpch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _product(grain: str):
+    if grain == "brand":
+        return F.regexp_extract("p_brand", "[0-9]+", 0).cast("long")
+    if grain == "part":
+        return F.col("p_partkey").cast("long")
+    raise ValueError(f"unknown product grain: {grain}")
+
+
+def tpch_lines(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
     """order_id, product_id, add_to_cart_order (one row per order, product)."""
     lineitem = read_table(spark, sf_dir, "lineitem",
                           ["l_orderkey", "l_partkey", "l_linenumber"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
-    brand = F.regexp_extract("p_brand", "[0-9]+", 0).cast("long")
+    brand = _product(grain)
     firsts = (
         lineitem.where(F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull())
         .join(part.select("p_partkey", brand.alias("product_id")),
@@ -41,7 +50,8 @@ def tpch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
         .agg(F.min("l_linenumber").alias("ln"))
     )
-    # Carts hold at most one row per brand, so this window is bounded.
+    # A cart holds at most one row per product and an order has few lines
+    # (at most 7 in TPC-H), so this window is bounded.
     w = Window.partitionBy("order_id").orderBy("ln", "product_id")
     return firsts.select(
         "order_id", "product_id",
@@ -90,15 +100,21 @@ def tpch_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame
     )
 
 
-def tpch_order_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def tpch_order_history(spark: SparkSession, sf_dir: str,
+                       grain: str = "brand") -> tuple[DataFrame, DataFrame]:
     """(orders header, order lines) in the order-history model."""
-    lines = tpch_lines(spark, sf_dir)
+    lines = tpch_lines(spark, sf_dir, grain)
     return tpch_orders(spark, sf_dir, lines), lines
 
 
-def tpch_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product dimension: one row per brand."""
+def tpch_products(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    """Product dimension: one row per brand (or per part)."""
+    if grain == "part":
+        part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
+        return part.where(F.col("p_partkey").isNotNull()).select(
+            F.col("p_partkey").cast("long").alias("product_id"),
+            F.col("p_name").alias("product_name"))
     part = read_table(spark, sf_dir, "part", ["p_brand"])
     return (part.where(F.col("p_brand").isNotNull())
-            .groupBy(F.regexp_extract("p_brand", "[0-9]+", 0).cast("long").alias("product_id"))
+            .groupBy(_product("brand").alias("product_id"))
             .agg(F.min("p_brand").alias("product_name")))

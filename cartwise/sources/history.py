@@ -20,7 +20,7 @@ from cartwise.session import checkpoint_dir
 from cartwise.sources.adapter import tpch_lines, tpch_orders, tpch_products
 from cartwise.sources.readers import load_basket
 
-_CACHE: dict[tuple[str, str], tuple[str, str, str]] = {}
+_CACHE: dict[tuple[str, str, str], tuple[str, str, str]] = {}
 _LOCK = threading.RLock()
 
 
@@ -34,38 +34,40 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def history_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+def history_paths(spark: SparkSession, sf_dir: str, grain: str = "brand"
+                  ) -> tuple[str, str, str]:
     with _LOCK:
-        return _history_paths(spark, sf_dir)
+        return _history_paths(spark, sf_dir, grain)
 
 
-def _history_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+def _history_paths(spark: SparkSession, sf_dir: str, grain: str) -> tuple[str, str, str]:
     app = spark.sparkContext.applicationId
-    key = (app, os.path.abspath(sf_dir))
+    key = (app, os.path.abspath(sf_dir), grain)
     if key in _CACHE:
         return _CACHE[key]
     base = os.path.join(checkpoint_dir(spark), "cartwise-history",
-                        f"{_fingerprint(sf_dir)}-{app}")
+                        f"{_fingerprint(sf_dir)}-{grain}-{app}")
     paths = (os.path.join(base, "orders"), os.path.join(base, "order_lines"),
              os.path.join(base, "products"))
     # lines first; the order header is derived from the written lines, then
     # the lines are stored split by eval_set (like separate prior / train
     # line tables), so reading one set prunes the others at the scan
     raw = os.path.join(base, "raw_lines")
-    tpch_lines(spark, sf_dir).write.mode("overwrite").parquet(raw)
+    tpch_lines(spark, sf_dir, grain).write.mode("overwrite").parquet(raw)
     lines = spark.read.parquet(raw)
     tpch_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(paths[0])
     header = spark.read.parquet(paths[0]).select("order_id", "eval_set")
     (lines.join(header, "order_id").write.mode("overwrite")
      .partitionBy("eval_set").parquet(paths[1]))
-    tpch_products(spark, sf_dir).write.mode("overwrite").parquet(paths[2])
+    tpch_products(spark, sf_dir, grain).write.mode("overwrite").parquet(paths[2])
     _CACHE[key] = paths
     return paths
 
 
-def order_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def order_history(spark: SparkSession, sf_dir: str,
+                  grain: str = "brand") -> tuple[DataFrame, DataFrame]:
     """(orders header, order lines) for ``sf_dir``."""
-    o, l, _ = history_paths(spark, sf_dir)
+    o, l, _ = history_paths(spark, sf_dir, grain)
     return spark.read.parquet(o), spark.read.parquet(l)
 
 
@@ -73,10 +75,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(history_paths(spark, sf_dir)[2])
 
 
-def basket_tables(spark: SparkSession, sf_dir: str,
-                  user_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+def basket_tables(spark: SparkSession, sf_dir: str, user_limit: int | None = None,
+                  grain: str = "brand") -> tuple[DataFrame, DataFrame]:
     """(prior, newest) joined line tables for ``sf_dir``."""
-    orders, lines = order_history(spark, sf_dir)
+    orders, lines = order_history(spark, sf_dir, grain)
     return load_basket(orders, lines, user_limit)
 
 

@@ -19,10 +19,10 @@ F1_TARGET = 0.4
 TOP_K = 5
 USER_LIMIT = 1000
 
-BASE = """
+BASE_TEMPLATE = """
 WITH bl AS (
   SELECT l.l_orderkey AS order_id,
-         CAST(regexp_extract(p.p_brand, '[0-9]+', 0) AS BIGINT) AS product_id,
+         @PRODUCT@ AS product_id,
          min(l.l_linenumber) AS ln
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   WHERE l.l_orderkey IS NOT NULL
@@ -57,6 +57,11 @@ WITH bl AS (
 )
 """
 
+# product grain: part brand (default) or the part itself
+BASE = BASE_TEMPLATE.replace("@PRODUCT@",
+                             "CAST(regexp_extract(p.p_brand, '[0-9]+', 0) AS BIGINT)")
+BASE_PART = BASE_TEMPLATE.replace("@PRODUCT@", "CAST(p.p_partkey AS BIGINT)")
+
 FEATURES = """
 , cand AS (
   SELECT user_id, product_id, count(DISTINCT order_id) AS count_in_user_orders
@@ -303,6 +308,7 @@ QUERIES: dict[str, str] = {
     "newest_order": _mat(["newest_cart_size", "newest_hour_of_week", "cart_size_difference",
                           "hour_of_week_difference"]),
     "feature_matrix": _mat(["in_cart"] + _FEATURE_COLS),
+    "feature_matrix_part_grain": _mat(["in_cart"] + _FEATURE_COLS).replace(BASE, BASE_PART, 1),
     "matrix_shape": BASE + FEATURES + """
         SELECT count(*) AS n_rows, CAST(21 AS INTEGER) AS n_columns FROM mat""",
     "group_split_train": _split("""
