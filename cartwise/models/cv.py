@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.models.train import assembler
-from cartwise.operators.evaluate import f1_metric, fold_scores, mean_fold_score
+from cartwise.operators.evaluate import f1_metric, fold_scores
 from cartwise.operators.split import with_folds
 
 

@@ -38,7 +38,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.expr import cart_percentile_sum, hour_of_week, ratio
+from cartwise.functions.expr import cart_percentile_sum, hour_of_week
 from cartwise.operators.sequence import DEFAULT_BLOCK, running_sums
 from cartwise.session import scratch_path
 

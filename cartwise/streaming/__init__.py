@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload this engine reproduces is a single batch pass over order
+history (extract, features, split, models, evaluation).  It has no stream
+source, no event-time window, no watermark and no state across batches, so
+there is no streaming operator to build.  Incremental use (rebuilding the
+matrix as new orders land) is a re-run of the batch job over the updated
+order tables.
+"""
