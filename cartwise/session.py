@@ -27,6 +27,28 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of line data.
+
+    The line table is shuffled about twice at roughly its own size, so the
+    initial shuffle width aims at ``partition_bytes`` per partition (AQE then
+    coalesces small partitions and splits skewed ones); scans are cut at the
+    same size.  Pass the result to ``SparkSession.builder.config(map=...)``.
+    """
+    width = max(2 * total_cores, -(-int(input_bytes) // int(partition_bytes)))
+    width = min(width, max_partitions)
+    conf = dict(RECOMMENDED_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    })
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "cartwise") -> SparkSession:
     builder = (
