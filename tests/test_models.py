@@ -121,3 +121,19 @@ def test_load_or_build(spark, data, tmp_path):
     assert len(calls) == 1 and r.test.count() == 400
     load_or_build(spark, out, build, force_rebuild=True)
     assert len(calls) == 2
+
+
+def test_evaluation_job(spark, data):
+    from cartwise.plans.evaluate import evaluate_models
+
+    df, _, _ = data
+    lr = fit_logistic_regression(df, FEATS, n_train=400)
+    gbt = fit_gbt(df, FEATS, max_iter=3)
+    out = evaluate_models(spark, df, lr, gbt, FEATS)
+    for name in ("lr", "gbt"):
+        r = out[name]
+        assert 0.0 <= r["f1_base"] <= 1.0 and 0.0 <= r["mean_user_f1"] <= 1.0
+        assert len(r["f1_histogram"]) == 19
+        assert sum(h["n_users"] for h in r["f1_histogram"]) == 100
+        assert 0.0 <= r["best_threshold"]["threshold"] <= 1.0
+    assert [x["feature"] for x in out["importance"]][:1] in (["a"], ["b"], ["c"])
