@@ -18,16 +18,26 @@ from pyspark.sql import functions as F
 from cartwise.models.train import assembler
 from cartwise.operators.evaluate import f1_metric, fold_scores
 from cartwise.operators.split import with_folds
+from cartwise.session import scratch_path
 
 
 class GroupCrossValidation:
     def __init__(self, df: DataFrame, feature_cols: list[str], target_col: str,
-                 group_col: str, num_folds: int = 5, seed: int | None = None):
+                 group_col: str, num_folds: int = 5, seed: int | None = None,
+                 materialize: bool = True):
         self.feature_cols = list(feature_cols)
         self.target_col = target_col
         self.group_col = group_col
         self.num_folds = num_folds
-        self.df = with_folds(df, group_col, num_folds, seed)
+        folded = with_folds(df, group_col, num_folds, seed)
+        if materialize:
+            # every fold fit and every out-of-fold prediction reads this
+            # frame: write it once instead of re-deriving the fold ranks
+            spark = folded.sparkSession
+            path = scratch_path(spark, "cv-folds")
+            folded.write.mode("overwrite").parquet(path)
+            folded = spark.read.schema(folded.schema).parquet(path)
+        self.df = folded
         self.models: list[PipelineModel] = []
 
     def fit(self, estimator) -> list[PipelineModel]:

@@ -59,7 +59,8 @@ def build_feature_matrix(spark: SparkSession, orders: DataFrame, lines: DataFram
 
 def split_and_scale(matrix: DataFrame, features: list[str] = FEATURES,
                     test_size: float = TEST_SIZE, seed: int | None = SPLIT_SEED):
-    m = with_split(matrix, ID_COL, test_size, seed)
+    # the split is read three times (scaler fit, train, test): write it once
+    m = materialise(matrix.sparkSession, with_split(matrix, ID_COL, test_size, seed), "split")
     cols = [ID_COL, ITEM_COL, LABEL_COL, *features]
     train_raw = m.where(F.col("split") == "train").select(*cols)
     test_raw = m.where(F.col("split") == "test").select(*cols)
