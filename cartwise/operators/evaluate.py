@@ -51,25 +51,33 @@ def overall_metrics(scores: DataFrame, threshold: float = 0.5, score_col: str =
 
 def threshold_sweep(scores: DataFrame, steps: int = 100, score_col: str = "score",
                     label: str = "in_cart") -> DataFrame:
-    """threshold (k / steps for k = 0..steps), tp, fp, fn, f1."""
+    """threshold (k / steps for k = 0..steps), tp, fp, fn, f1.
+
+    One aggregation into score buckets (at most steps + 2 rows), then
+    running sums over that small grid; the grid includes bucket -1 (scores
+    below 0) so the total positive count comes from the same window instead
+    of a second pass over the scores.
+    """
     spark = scores.sparkSession
     buckets = scores.groupBy(threshold_bucket(score_col, steps).alias("k")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.count(F.lit(1)).alias("cnt"),
     )
-    positives = buckets.agg(F.coalesce(F.sum("pos"), F.lit(0))).scalar()
-    grid = spark.range(steps + 1).select(F.col("id").cast("int").alias("k"))
+    grid = spark.range(-1, steps + 1).select(F.col("id").cast("int").alias("k"))
     g = grid.join(F.broadcast(buckets), "k", "left")
-    # running sums from the top over steps + 1 rows (bounded)
-    w = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
+    # running sums from the top over steps + 2 rows (bounded)
+    top = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.orderBy("k").rowsBetween(Window.unboundedPreceding,
+                                           Window.unboundedFollowing)
     g = g.select(
         "k",
-        F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("tp"),
-        F.coalesce(F.sum("cnt").over(w), F.lit(0)).alias("pp"),
-    )
+        F.coalesce(F.sum("pos").over(top), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum("cnt").over(top), F.lit(0)).alias("pp"),
+        F.coalesce(F.sum("pos").over(whole), F.lit(0)).alias("positives"),
+    ).where(F.col("k") >= 0)
     tp = F.col("tp").cast("long")
     fp = (F.col("pp") - F.col("tp")).cast("long")
-    fn = (positives - F.col("tp")).cast("long")
+    fn = (F.col("positives") - F.col("tp")).cast("long")
     return g.select(
         (F.col("k").cast("double") / F.lit(float(steps))).alias("threshold"),
         tp.alias("tp"), fp.alias("fp"), fn.alias("fn"),
