@@ -49,3 +49,19 @@ def test_staged_pairs_plan_has_few_exchanges(spark):
     n = len(re.findall(r"Exchange (hash|single|range)", _plan(m), re.I))
     # label join + user join + product join + their aggregations
     assert n <= 16, n
+
+
+def test_no_window_sorts_a_whole_user_history(spark):
+    """Order-level windows are partitioned by (user, block); the only window
+    partitioned by user alone runs over one row per block."""
+    from cartwise.sources import history
+
+    prior, newest = history.basket_tables(spark, SF_SMALL)
+    b = Basket(prior, newest, materialize=False)
+    p = _plan(b.timeline)
+    specs = re.findall(r"windowspecdefinition\(([^)]*)\)", p)
+    assert specs
+    for spec in specs:
+        parts = [x.strip() for x in spec.split(",")]
+        if parts[0].startswith("user_id") and "order_number" in spec:
+            assert parts[1].startswith("_blk"), spec

@@ -102,3 +102,19 @@ def test_split_matches_global_rank(spark, users_frame):
     exp = {u: i + 1 for i, (_, u) in enumerate(keys)}
     assert got == exp
     assert math.isclose(len(got), 1000)
+
+
+def test_running_sums_hot_group_many_blocks(spark):
+    """One group with 10,000 rows over 157 blocks of 64 equals numpy cumsums."""
+    import numpy as np
+
+    n = 10_000
+    df = spark.range(1, n + 1).select(
+        F.lit(7).cast("long").alias("g"), F.col("id").cast("int").alias("k"),
+        F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 17)
+        .cast("int").alias("v"))
+    got = running_sums(df, ["g"], "k", "v", "fw", "bw", block_size=64) \
+        .orderBy("k").select("v", "fw", "bw").collect()
+    v = np.array([0 if r.v is None else r.v for r in got], dtype=np.int64)
+    assert [r.fw for r in got] == np.cumsum(v).tolist()
+    assert [r.bw for r in got] == np.cumsum(v[::-1])[::-1].tolist()
