@@ -70,9 +70,9 @@ def _matrix(spark, sf_dir) -> DataFrame:
 
 
 def _scores(spark, sf_dir) -> DataFrame:
-    """Test-split candidates with the baseline score."""
-    m = _matrix(spark, sf_dir)
-    _, test = sp.train_test_by_group(m, "user_id", TEST_SIZE, SPLIT_SEED)
+    """Test-split candidates with the baseline score, read from the saved
+    test set (the ``group_split_*`` queries compute the split themselves)."""
+    test = history.test_set_table(spark, sf_dir, TEST_SIZE, SPLIT_SEED)
     return test.select("user_id", "product_id", "in_cart",
                        F.col("percent_in_user_orders").alias("score"))
 

@@ -108,3 +108,26 @@ def _build_matrix(spark: SparkSession, sf_dir: str) -> str:
     feature_matrix(basket).write.mode("overwrite").parquet(path)
     basket.release()
     return path
+
+
+_TEST: dict[tuple, str] = {}
+
+
+def test_set_table(spark: SparkSession, sf_dir: str, test_size: float = 0.1,
+                   seed: int | None = 29) -> DataFrame:
+    """The test split of the saved feature matrix, written once per
+    application (evaluation reads the saved test set, as the build-once /
+    evaluate-many workflow does)."""
+    from cartwise.operators.split import train_test_by_group
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), test_size, seed)
+    with _LOCK:
+        path = _TEST.get(key)
+        if path is None:
+            matrix = feature_matrix_table(spark, sf_dir)
+            _, test = train_test_by_group(matrix, "user_id", test_size, seed)
+            path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]),
+                                f"test_set-{test_size}-{seed}")
+            test.write.mode("overwrite").parquet(path)
+            _TEST[key] = path
+    return spark.read.parquet(path)
