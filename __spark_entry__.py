@@ -155,6 +155,11 @@ def q_threshold_sweep(spark, sf_dir):
     return _rounded(ev.threshold_sweep(_scores(spark, sf_dir), 100))
 
 
+def q_best_threshold(spark, sf_dir):
+    best = ev.best_threshold(ev.threshold_sweep(_scores(spark, sf_dir), 100))
+    return _rounded(best.select("threshold", "f1"))
+
+
 def _per_user(spark, sf_dir):
     return ev.per_user_f1(_scores(spark, sf_dir), ADJUSTED_THRESHOLD)
 
@@ -268,6 +273,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overall_metrics": q_overall_metrics,
     "overall_metrics_adjusted": q_overall_metrics_adjusted,
     "threshold_sweep": q_threshold_sweep,
+    "best_threshold": q_best_threshold,
     "per_user_f1": q_per_user_f1,
     "mean_user_f1": q_mean_user_f1,
     "f1_histogram": q_f1_histogram,

@@ -344,6 +344,23 @@ QUERIES: dict[str, str] = {
                round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
                           ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END, 6) AS f1
         FROM cm"""),
+    "best_threshold": _split("""
+        , th AS (SELECT CAST(range AS DOUBLE) / 100 AS threshold FROM range(0, 101))
+        , cm AS (
+          SELECT th.threshold,
+                 CAST(sum(CASE WHEN s.score >= th.threshold AND s.in_cart = 1 THEN 1 ELSE 0 END)
+                      AS BIGINT) AS tp,
+                 CAST(sum(CASE WHEN s.score >= th.threshold AND s.in_cart = 0 THEN 1 ELSE 0 END)
+                      AS BIGINT) AS fp,
+                 CAST(sum(CASE WHEN s.score < th.threshold AND s.in_cart = 1 THEN 1 ELSE 0 END)
+                      AS BIGINT) AS fn
+          FROM th CROSS JOIN scores s GROUP BY th.threshold)
+        , fm AS (
+          SELECT threshold, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
+                                 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END AS f1
+          FROM cm)
+        SELECT threshold, round(f1, 6) AS f1 FROM fm
+        ORDER BY f1 DESC, threshold LIMIT 1"""),
     "per_user_f1": _split("SELECT user_id, tp, fp, fn, round(f1, 6) AS f1 FROM per_user_f1"),
     "mean_user_f1": _split("""
         SELECT count(*) AS n_users, round(avg(f1), 6) AS mean_f1 FROM per_user_f1"""),
