@@ -289,14 +289,34 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _llm():
+    """The llm subpackage's registry, or None where that subpackage (or the
+    pipeline module that belongs to it) is absent.  Other errors are raised."""
+    try:
+        from cartwise.llm import registry
+    except ModuleNotFoundError as e:
+        if (e.name or "").split(".")[:2] == ["cartwise", "llm"] or e.name == "corpus_pipeline":
+            return None
+        raise
+    except ImportError as e:
+        if e.name == "cartwise.llm":  # an empty folder left behind imports as a namespace
+            return None
+        raise
+    return registry
+
+
+_LLM = _llm()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the labelled 18-feature matrix on sf0.001."""
     return q_feature_matrix(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **(_LLM.QUERIES if _LLM else {})}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _oracle.QUERIES.items() if k in _QUERIES}
+    own = {k: v for k, v in _oracle.QUERIES.items() if k in _QUERIES}
+    return {**own, **(_LLM.ORACLES if _LLM else {})}

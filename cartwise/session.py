@@ -8,9 +8,8 @@ scratch folder when none is configured (tests, local runs).
 
 from __future__ import annotations
 
-import itertools
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,9 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` or the context's checkpoint folder when the
-    cluster names one; otherwise (tests, local runs) creates a scratch folder
-    and registers it with ``SparkContext.setCheckpointDir`` (the conf itself
-    cannot be changed at runtime).
+    cluster names one.  With neither set, a local master gets a fresh scratch
+    folder (tests, local runs); any other master is an error, as executors
+    could not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -84,14 +83,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwise-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
-
-
-_counter = itertools.count(1)
+    """A path under the shared folder that no other call or application uses."""
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark)}/cartwise-{app}/{name}-{uuid.uuid4().hex}"
