@@ -8,14 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from cartwise.llm.mixing import OP7_SQL, op7_mixing
+from cartwise.llm.pieces import op9_pieces
 from cartwise.llm.secrets import op10_secrets
+from cartwise.llm.substrings import OP6_SQL, op6_substrings
+from cartwise.llm.suffixes import op5_suffixes
+from cartwise.llm.toxicity import op4_toxicity
+from cartwise.llm.warc import OP2_SQL, op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
+    "op4_toxicity": op4_toxicity,
+    "op5_suffixes": op5_suffixes,
+    "op6_substrings": op6_substrings,
     "op7_mixing": op7_mixing,
+    "op9_pieces": op9_pieces,
     "op10_secrets": op10_secrets,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op7_mixing": OP7_SQL}
+ORACLES: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+    "op6_substrings": OP6_SQL,
+    "op7_mixing": OP7_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
