@@ -485,7 +485,7 @@ def pages_back(records: DataFrame) -> DataFrame:
 
 def op2_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
-    archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path, compress=True)
     back = pages_back(read_archive(spark, path, payload="response"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
