@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from cartwise.llm.ann import op1_ann
+from cartwise.llm.bm25 import op3_bm25
+from cartwise.llm.jaccard import OP8_SQL, op8_jaccard
 from cartwise.llm.mixing import OP7_SQL, op7_mixing
 from cartwise.llm.pieces import op9_pieces
 from cartwise.llm.secrets import op10_secrets
@@ -16,11 +19,14 @@ from cartwise.llm.toxicity import op4_toxicity
 from cartwise.llm.warc import OP2_SQL, op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_warc": op2_warc,
+    "op3_bm25": op3_bm25,
     "op4_toxicity": op4_toxicity,
     "op5_suffixes": op5_suffixes,
     "op6_substrings": op6_substrings,
     "op7_mixing": op7_mixing,
+    "op8_jaccard": op8_jaccard,
     "op9_pieces": op9_pieces,
     "op10_secrets": op10_secrets,
     "pipeline": corpus_pipeline.run,
@@ -30,6 +36,7 @@ ORACLES: dict[str, str] = {
     "op2_warc": OP2_SQL,
     "op6_substrings": OP6_SQL,
     "op7_mixing": OP7_SQL,
+    "op8_jaccard": OP8_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

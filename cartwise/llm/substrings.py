@@ -50,12 +50,13 @@ def word_hashes(arr: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return win.mix64((sums[end] - sums[begin]) * _powers(_INVERSE, len(arr) + 1)[begin])
 
 
-def split_words(texts: list) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def split_words(texts: list, separator: np.ndarray = _SPACE
+                ) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """Texts with words joined by one space, the words' bounds, and the number of
     the first word of each text (and past the last)."""
     lens = np.array([len(t) for t in texts], dtype=np.int64)
     arr = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    space = _SPACE[arr]
+    space = separator[arr]
     before = np.empty(len(arr), dtype=bool)  # is there no word just before this byte?
     before[1:] = space[:-1]
     edges = np.concatenate(([0], np.cumsum(lens)))
@@ -168,14 +169,14 @@ def earlier(size: int):
     return solve
 
 
-def remover(size: int, own: list[str]):
+def remover(size: int, own: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.names.index(win.TEXT))
+            texts = win.text_bytes_of(batch)
             marks = batch.column(batch.schema.names.index(win.MARKS))
             kept, n_words, n_removed, spans = [], [], [], []
             for text, mark in zip(texts, marks):
-                words = text.as_py().encode().split()
+                words = (text or b"").split()
                 total, cuts = len(words), []
                 if mark.is_valid:
                     fields = mark.values.flatten()
@@ -191,9 +192,8 @@ def remover(size: int, own: list[str]):
                 n_words.append(total)
                 n_removed.append(total - len(words))
                 spans.append([{"start": a, "end": b} for a, b in cuts])
-            names = batch.schema.names
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(names.index(c)) for c in own], pa.array(n_words, pa.int64()),
+                [*win.with_text(batch, own, text_col, texts), pa.array(n_words, pa.int64()),
                  pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()),
                  pa.array(spans, _SPANS)],
                 names=[*own, "n_words", "n_removed", "kept", "spans"])
@@ -215,11 +215,11 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a packed string holds (width + 1) / 2 windows on average and size - 1 words more
     kind = win.Windows(size, gram, word_units(size), 1 + 2 * (size - 1) / (width + 1))
     keyed = win.keyed(docs.select(*own), id_col, text_col)
-    joined = win.with_marks(keyed, win.marks(keyed, kind, earlier(size)))
+    joined = win.with_marks(keyed, win.marks(keyed, kind, earlier(size)), text_col)
     schema = T.StructType([*docs.select(*own).schema.fields,
                            *T._parse_datatype_string("n_words long, n_removed long, kept string, "
                                                      f"spans {SPANS}").fields])
-    return joined.mapInArrow(remover(size, own), schema)
+    return joined.mapInArrow(remover(size, own, text_col), schema)
 
 
 def op6_substrings(spark, sf_dir):

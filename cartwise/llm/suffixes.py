@@ -262,15 +262,14 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def cutter(size: int, own: list[str]):
+def cutter(size: int, own: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            texts = batch.column(names.index(win.TEXT)).cast(pa.binary())
-            marks = batch.column(names.index(win.MARKS))
+            texts = win.text_bytes_of(batch)
+            marks = batch.column(batch.schema.names.index(win.MARKS))
             kept, n_bytes, n_removed, spans = [], [], [], []
             for text, mark in zip(texts, marks):
-                body = text.as_py()
+                body = text or b""
                 total, cuts = len(body), []
                 if mark.is_valid:
                     fields = mark.values.flatten()
@@ -284,7 +283,7 @@ def cutter(size: int, own: list[str]):
                 n_removed.append(total - len(body))
                 spans.append([{"start": a, "end": b} for a, b in cuts])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(names.index(c)) for c in own], pa.array(n_bytes, pa.int64()),
+                [*win.with_text(batch, own, text_col, texts), pa.array(n_bytes, pa.int64()),
                  pa.array(n_removed, pa.int64()), pa.array(spans, _SPANS),
                  pa.array(kept, pa.binary())],
                 names=[*own, "n_bytes", "n_removed", "spans", "kept"])
@@ -301,11 +300,11 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     width = size - gram + 1
     kind = win.Windows(size, gram, byte_units(size), 1 + 2 * (size - 1) / (width + 1))
     keyed = win.keyed(docs.select(*own), id_col, text_col)
-    joined = win.with_marks(keyed, win.marks(keyed, kind, anywhere(size)))
+    joined = win.with_marks(keyed, win.marks(keyed, kind, anywhere(size)), text_col)
     schema = T.StructType([*docs.select(*own).schema.fields,
                            *T._parse_datatype_string("n_bytes long, n_removed long, "
                                                      f"spans {SPANS}, kept binary").fields])
-    return joined.mapInArrow(cutter(size, own), schema)
+    return joined.mapInArrow(cutter(size, own, text_col), schema)
 
 
 def op5_suffixes(spark, sf_dir):

@@ -150,15 +150,26 @@ def hash_word(word: str) -> int:
     return h
 
 
-def token_labels(texts: list[list[str]], y: np.ndarray, lift: float = 15.0) -> set[str]:
-    """Features that mark a word of a toxic document as toxic."""
+def token_labels(texts: list[list[str]], y: np.ndarray, lift: float = 15.0,
+                 error: float = 0.5) -> set[str]:
+    """Features that mark a word of a toxic document as toxic: at least ``lift``
+    times commoner in toxic documents, and more than chance explains (Chernoff's
+    bound on the binomial tail, ``error`` shared among all features)."""
     counts = [Counter(), Counter()]
     for words, label in zip(texts, y):
         counts[label].update({f for w in set(words) if w not in STOPS for f in features(w)})
     n1, n0 = max(1, int(y.sum())), max(1, int((y == 0).sum()))
-    least = max(3, 0.01 * n1)
+    share = n1 / (n1 + n0)
+    needed = np.log(max(2, len(counts[1])) / error)
+
+    def evidence(c: int, clean: int) -> float:
+        a = c / (c + clean)
+        rest = 0.0 if a == 1 else (1 - a) * np.log((1 - a) / (1 - share))
+        return (c + clean) * (a * np.log(a / share) + rest)
+
     return {f for f, c in counts[1].items()
-            if c >= least and (c / n1) / ((counts[0][f] + 0.5) / n0) >= lift}
+            if (c / n1) / ((counts[0][f] + 0.5) / n0) >= lift
+            and evidence(c, counts[0][f]) >= needed}
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -28,6 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwise.llm.common import parts_for, text_bytes
 
@@ -368,10 +369,40 @@ def marks(docs: DataFrame, kind: Windows, solve: Callable, sample_docs: int = 10
             .agg(F.collect_list(F.struct("start", "n")).alias(MARKS)))
 
 
-def with_marks(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` (keyed) with each document's marks, null where it has none."""
-    return (docs.join(found, (F.col(ID) == F.col(P + "mid")) & (F.col(TAG) == F.col(P + "mtag")),
-                      "left").drop(P + "mid", P + "mtag"))
+def with_marks(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` (keyed) with each document's marks, null where it has none; texts
+    are compressed for the shuffle: instead of ``text_col``, TEXT holds bytes that
+    :func:`text_bytes_of` opens, null for a null text."""
+    rest = [c for c in docs.columns if c not in (TEXT, text_col)]
+    schema = T.StructType([*docs.select(*rest).schema.fields, T.StructField(TEXT, T.BinaryType())])
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            names = batch.schema.names
+            texts = [tool.compress(t.as_buffer()) if t.is_valid else None
+                     for t in batch.column(names.index(TEXT))]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(names.index(c)) for c in rest], pa.array(texts, pa.binary())],
+                names=[*rest, TEXT])
+
+    packed = docs.select(*rest, F.col(text_col).alias(TEXT)).mapInArrow(press, schema)
+    return (packed.join(found, (F.col(ID) == F.col(P + "mid")) & (F.col(TAG) == F.col(P + "mtag")),
+                        "left").drop(P + "mid", P + "mtag"))
+
+
+def text_bytes_of(batch: pa.RecordBatch) -> list[bytes | None]:
+    """The texts that :func:`with_marks` compressed."""
+    tool = zstandard.ZstdDecompressor()
+    return [tool.decompress(t.as_py()) if t.is_valid else None
+            for t in batch.column(batch.schema.names.index(TEXT))]
+
+
+def with_text(batch: pa.RecordBatch, own: list[str], text_col: str, bodies: list) -> list[pa.Array]:
+    """The columns ``own`` of a batch, the text column from its bytes."""
+    names = batch.schema.names
+    return [pa.array([None if b is None else b.decode() for b in bodies], pa.string())
+            if c == text_col else batch.column(names.index(c)) for c in own]
 
 
 def covered(starts: np.ndarray, counts: np.ndarray, size: int, total: int):
