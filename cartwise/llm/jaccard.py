@@ -11,15 +11,21 @@ pairs that are connected already are not verified.
 * The order of shingles is: those frequent in a bounded sample last, then by
   hash.  Any order gives the same result; this one keeps shingles of widespread
   lines and passages out of prefixes.
-* For every prefix shingle, the groups that hold it form a list, whose smallest
-  group is its pivot.  Only (group, pivot) pairs are made at first, never all
-  pairs of a list, so large groups of near copies cost a star each.
+* Prefixes are a twentieth of the set longer than one common shingle needs, so
+  that two sets that link share at least a twentieth of the larger one's shingles
+  within both prefixes.  A group with fewer shared shingles than that has no
+  partner at all; texts that merely hold the same passage end here.
+* For every shared prefix shingle, the groups that hold it form a list, whose
+  pivot is the group that shares the largest part of its prefix (the original of
+  edited copies, as a rule).  Only (group, pivot) pairs are made at first, never
+  all pairs of a list, so large groups of near copies cost a star each.
 * Round 1 verifies each group's node against the group's first, and each group
   against the pivot it shares most with; round 2 the other pivots of groups that
-  are still apart; round 3 the pairs of groups in lists that still hold more than
-  one component, after a size filter and a bound on the overlap from the number of
-  shared prefix shingles.  Verifying reads whole texts; candidates of one hub are
-  dealt over as many tasks as they need.
+  are still apart; round 3 what is left: in lists that still hold more than one
+  component, groups are paired over their rarest shared shingles only (all but
+  the twentieth they must share anyway), then filtered by size and by a bound on
+  the overlap from the shared prefix shingles.  Verifying reads whole texts;
+  candidates of one hub are dealt over as many tasks as they need.
 
 Hashes have 64 bits (128 for the identity of sets); a text's words are those of
 ``[^\\x20\\x09-\\x0D]+``.  Defined results: with fewer than five words the whole
@@ -82,9 +88,22 @@ def shingles(texts: list) -> list[np.ndarray]:
     return out
 
 
-def required(n: np.ndarray | int):
-    """Shingles of the prefix of a set of ``n``: n - ceil(0.75 n) + 1."""
-    return n - (3 * n + 3) // 4 + 1
+def required(n: int) -> int:
+    """Shingles of the prefix of a set of ``n``: n - ceil(0.75 n) + 1 and a
+    twentieth of the set more."""
+    return n - (3 * n + 3) // 4 + 1 + n // 20
+
+
+def _prefix(n: str):
+    """The same as a column."""
+    return F.col(n) - F.floor((3 * F.col(n) + 3) / 4) + 1 + F.floor(F.col(n) / 20)
+
+
+def _least(n: str):
+    """Prefix shingles that a set of ``n`` shares with any set it links with: the
+    sets share ceil(0.75 m) at least, m being the larger size, and all but
+    m - prefix(m) of them lie in both prefixes."""
+    return F.greatest(F.lit(1), F.floor(F.col(n) / 20))
 
 
 def _signed(keys: np.ndarray) -> np.ndarray:
@@ -238,7 +257,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     groups = written(nodes.groupBy("g", "n", "last")
                      .agg(F.min("k").alias("lead"), F.count(F.lit(1)).alias("size")),
                      "jaccard-groups")
-    lists = _lists(narrow.mapInArrow(prefixes(frequent), "token long, g long"))
+    lists = _lists(narrow.mapInArrow(prefixes(frequent), "token long, g long"), groups)
     one = groups.select(F.col("g"), F.col("n").alias("n1"), F.col("lead").alias("lead1"))
     two = groups.select(F.col("g").alias("pivot"), F.col("n").alias("n2"), F.col("lead").alias("lead2"))
     stars = written(lists.where("g != pivot").groupBy("g", "pivot").agg(F.count(F.lit(1)).alias("c")),
@@ -272,15 +291,25 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return _labelled(keyed, sets, nodes, roots, own, id_col)
 
 
-def _lists(tokens: DataFrame) -> DataFrame:
-    """(token, g, pivot) of shingles that at least two groups hold."""
+def _lists(tokens: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, g, pivot) of shingles that at least two groups hold, of groups that
+    share enough of them to link with any."""
     order = Window.partitionBy("token").orderBy("g")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = tokens.select("token", "g", F.first("g").over(running).alias("pivot"),
+    rows = tokens.select("token", "g", F.first("g").over(running).alias("low"),
                          F.lag("g").over(order).alias("before"), F.lead("g").over(order).alias("after"))
-    member = (F.col("g") != F.col("pivot")) & (F.col("before") != F.col("g"))
-    pivot = (F.col("g") == F.col("pivot")) & (F.col("after") != F.col("g"))
-    return written(rows.where(member | pivot).select("token", "g", "pivot"), "jaccard-lists")
+    # tasks may repeat a group: its first row, or the last one of the first group
+    member = (F.col("g") != F.col("low")) & (F.col("before") != F.col("g"))
+    lowest = (F.col("g") == F.col("low")) & (F.col("after") != F.col("g"))
+    shared = written(rows.where(member | lowest).select("token", "g"), "jaccard-shared")
+    able = (shared.groupBy("g").agg(F.count(F.lit(1)).alias("m")).join(groups.select("g", "n"), "g")
+            .where(F.col("m") >= _least("n")).select("g", (F.col("m") / _prefix("n")).alias("rate")))
+    best = Window.partitionBy("token").orderBy(F.col("rate").desc(), "g")
+    running = best.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = shared.join(able, "g").select(
+        "token", "g", F.first("g").over(running).alias("pivot"), F.lead("g").over(best).alias("after"))
+    return written(ranked.where((F.col("g") != F.col("pivot")) | F.col("after").isNotNull())
+                   .select("token", "g", "pivot"), "jaccard-lists")
 
 
 def _with_root(df: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
@@ -299,31 +328,43 @@ def _residual(lists: DataFrame, stars: DataFrame, nodes: DataFrame, groups: Data
               roots: DataFrame) -> DataFrame:
     """Pairs of nodes of different components that may still link."""
     rooted = written(_with_root(nodes.select("k", "g"), "k", roots, "root"), "jaccard-rooted")
-    spans = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    spans = written(spans, "jaccard-spans")
+    spans = written(rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")),
+                    "jaccard-spans")
     one = spans.select("g", "lo", "hi")
     two = spans.select(F.col("g").alias("pivot"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     # lists in which some group is not wholly in the pivot's component
-    open_ = (stars.join(one, "g").join(two, "pivot")
-             .where("lo != hi OR lo2 != hi2 OR lo != lo2").select("g", "pivot"))
-    open_ = written(open_, "jaccard-open")
+    open_ = written(stars.join(one, "g").join(two, "pivot")
+                    .where("lo != hi OR lo2 != hi2 OR lo != lo2").select("g", "pivot"), "jaccard-open")
     tokens = lists.join(open_, ["g", "pivot"], "left_semi").select("token").distinct()
-    rows = (lists.join(tokens, "token", "left_semi").select("token", "g")
-            .join(rooted.select("g", "root").distinct(), "g"))
-    rows = written(rows, "jaccard-open-lists")
-    x = rows.select("token", F.col("g").alias("g1"), F.col("root").alias("r1"))
-    y = rows.select("token", F.col("g").alias("g2"), F.col("root").alias("r2"))
-    pairs = (x.join(y, "token").where("g1 < g2 AND r1 != r2").select("token", "g1", "g2").distinct()
-             .groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("c")))
-    size = lambda n: groups.select(F.col("g").alias("g" + n), F.col("n").alias("n" + n),
-                                   F.col("last").alias("last" + n))
-    pairs = pairs.join(size("1"), "g1").join(size("2"), "g2").where(_size_fits("n1", "n2"))
+    rows = written(lists.join(tokens, "token", "left_semi").select("token", "g"), "jaccard-open-lists")
+    # what a group shares with others of another component lies in these lists
+    able = (rows.groupBy("g").agg(F.count(F.lit(1)).alias("m")).join(groups.select("g", "n", "last"), "g")
+            .where(F.col("m") >= _least("n")))
+    counts = rows.join(able.select("g"), "g", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("len"))
+    rare = Window.partitionBy("g").orderBy("len", "token")  # at most a prefix of rows
+    index = (rows.join(counts.where("len > 1"), "token").join(able, "g").join(one, "g")
+             .withColumn("at", F.row_number().over(rare))
+             .where(F.col("at") <= F.col("m") - _least("n") + 1))
+    index = written(index.select("token", "g", "n", "last", "lo", "hi"), "jaccard-index")
+    x = index.select("token", *[F.col(c).alias(c + "1") for c in ("g", "n", "last", "lo", "hi")])
+    y = index.select("token", *[F.col(c).alias(c + "2") for c in ("g", "n", "last", "lo", "hi")])
+    apart = F.expr("lo1 != lo2 OR hi1 != hi2 OR lo1 != hi1")
+    pairs = (x.join(y, "token").where((F.col("g1") < F.col("g2")) & apart & _size_fits("n1", "n2"))
+             .select("g1", "g2", "n1", "n2", "last1", "last2").distinct())
+    held = rows.join(index.select("g").distinct(), "g", "left_semi").groupBy("g").agg(
+        F.collect_list("token").alias("t"))  # at most a prefix
+    held = written(held, "jaccard-held")
+    pairs = (pairs.join(held.select(F.col("g").alias("g1"), F.col("t").alias("t1")), "g1")
+             .join(held.select(F.col("g").alias("g2"), F.col("t").alias("t2")), "g2"))
+    shared = F.size(F.array_intersect("t1", "t2"))
     # beyond the prefix that ends first nothing is counted: its set's rest may all be shared
-    beyond = F.when(F.col("last1") <= F.col("last2"), _rest("n1")).otherwise(_rest("n2"))
-    pairs = pairs.where(7 * (F.col("c") + beyond) >= 3 * (F.col("n1") + F.col("n2")))
+    beyond = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - _prefix("n1")).otherwise(
+        F.col("n2") - _prefix("n2"))
+    pairs = pairs.where((shared >= F.greatest(_least("n1"), _least("n2")))
+                        & (7 * (shared + beyond) >= 3 * (F.col("n1") + F.col("n2")))).select("g1", "g2")
     m1 = rooted.select(F.col("k").alias("a"), F.col("g").alias("g1"), F.col("root").alias("ra"))
     m2 = rooted.select(F.col("k").alias("b"), F.col("g").alias("g2"), F.col("root").alias("rb"))
-    across = pairs.select("g1", "g2").join(m1, "g1").join(m2, "g2").where("ra != rb").select("a", "b")
+    across = pairs.join(m1, "g1").join(m2, "g2").where("ra != rb").select("a", "b")
     split = spans.where("lo != hi").select("g")
     p = rooted.join(split, "g", "left_semi")
     within = (p.select("g", F.col("k").alias("a"), F.col("root").alias("ra"))
@@ -332,11 +373,6 @@ def _residual(lists: DataFrame, stars: DataFrame, nodes: DataFrame, groups: Data
     return across.unionByName(within).distinct()
 
 
-def _rest(n: str):
-    """Shingles of a set of n beyond its prefix."""
-    return F.floor((3 * F.col(n) + 3) / 4) - 1
-
-
 def _labelled(keyed: DataFrame, sets: DataFrame, nodes: DataFrame, roots: DataFrame,
               own: list[str], id_col: str) -> DataFrame:
     # a null id stands as the smallest number in keys; it is no component's id

@@ -8,12 +8,14 @@ into parts of bounded size, and each part gets
 * a suffix array by Larsson-Sadakane refinement: suffixes are ranked by their
   first 8 bytes, then groups of equal rank are refined by the rank 8, 16, 32, ...
   bytes on, leaving settled groups alone;
-* common prefixes by Kasai's rule, all strings in lockstep: a suffix shares at
-  least one byte less with its neighbour than the suffix before it did.
-
-Neighbours that share 200 bytes hold the same window.  Parts of one shard are
-merged by binary search of one part's distinct windows among the sorted windows
-of the other.  A string is removed at every place it starts, the same document
+* common prefixes by Kasai's rule, in lanes of 64 places that advance together: a
+  suffix shares at least one byte less with its neighbour than the suffix before
+  it in the text did.
+
+Neighbours that share 200 bytes hold the same window.  Equal windows have one
+minimiser, so parts end between minimisers; where the strings of one minimiser
+need several parts, these are merged by binary search of one part's distinct
+windows among the sorted windows of the other.  A string is removed at every place it starts, the same document
 and overlapping places included; strings are judged on the input.
 
 Defined results: null text is empty; texts shorter than a window are kept whole;
@@ -37,7 +39,8 @@ from cartwise.llm import windows as win
 from cartwise.llm.common import table
 
 SIZE, GRAM = 200, 32
-PART_BYTES = 2 << 20   # bytes under one suffix array
+LANE = 64              # places that one lane of Kasai's rule walks
+PART_BYTES = 512 << 10   # bytes under one suffix array, small enough for a core's cache
 
 
 # ---- units ----------------------------------------------------------------
@@ -89,7 +92,7 @@ def suffix_array(arr: np.ndarray) -> np.ndarray:
     """Sorted suffix starts by Larsson-Sadakane refinement."""
     n = len(arr)
     key = words8(arr)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     sorted_key = key[sa]
     new = np.ones(n, dtype=bool)
     new[1:] = sorted_key[1:] != sorted_key[:-1]
@@ -108,7 +111,7 @@ def suffix_array(arr: np.ndarray) -> np.ndarray:
         # past the end: the shorter suffix is the smaller
         then = np.where(inside, rank[np.minimum(ahead, n - 1)] + 1, n - ahead)
         both = rank[members] * (n + h + 2) + then + h + 1
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         members, both = members[order], both[order]
         sa[slots] = members
         fresh = np.ones(len(slots), dtype=bool)
@@ -118,15 +121,16 @@ def suffix_array(arr: np.ndarray) -> np.ndarray:
         h *= 2
 
 
-def common_prefixes(arr: np.ndarray, sa: np.ndarray, first: np.ndarray, cap: int) -> np.ndarray:
+def common_prefixes(arr: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     """Bytes (up to ``cap``) that each suffix shares with its predecessor in
-    ``sa``; lanes are the strings that begin at ``first``."""
+    ``sa``; all lanes of LANE places advance together."""
     n = len(arr)
     key = words8(arr)
     before = np.empty(n, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = -1
     shared = np.zeros(n, dtype=np.int64)
+    first = np.arange(0, n, LANE)
     ends = np.append(first[1:], n)
     lane = np.arange(len(first))
     carry = np.zeros(len(first), dtype=np.int64)
@@ -165,7 +169,7 @@ class Part:
         lens = np.array([len(s) for s in strings], dtype=np.int64)
         first = np.concatenate(([0], np.cumsum(lens)[:-1]))
         sa = suffix_array(self.arr)
-        shared = common_prefixes(self.arr, sa, first, size)
+        shared = common_prefixes(self.arr, sa, size)
         # windows begin at the first counts[i] places of string i
         valid = np.zeros(len(self.arr), dtype=bool)
         self.place = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
@@ -224,6 +228,26 @@ def merge(x: Part, y: Part, size: int) -> None:
         live = live[side != 0]
 
 
+def _cut(tags: np.ndarray, lens: np.ndarray, part_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part of each string (sorted by minimiser), and which parts belong together.
+
+    Equal windows have one minimiser, so parts end between minimisers and need no
+    merging; only the strings of a minimiser that alone exceeds a part are cut
+    further, into a family of parts (a number above 0) that are merged.
+    """
+    new = np.ones(len(tags), dtype=bool)
+    new[1:] = tags[1:] != tags[:-1]
+    group = np.cumsum(new) - 1
+    total = np.bincount(group, weights=lens).astype(np.int64)
+    start = np.cumsum(total) - total
+    large = total > part_bytes
+    inside = np.cumsum(lens) - lens - start[group]
+    key = np.stack([start[group] // part_bytes, np.where(large[group], group + 1, 0),
+                    np.where(large[group], inside // part_bytes, 0)], axis=1)
+    cuts = np.unique(key, axis=0, return_inverse=True)[1].reshape(-1)
+    return cuts, key[:, 1]
+
+
 def anywhere(size: int, part_bytes: int = PART_BYTES):
     """Shard solver: marks of windows that start at two places or more."""
 
@@ -233,19 +257,19 @@ def anywhere(size: int, part_bytes: int = PART_BYTES):
         cand = win.candidates(lead, alone)
         if not len(cand):
             return np.concatenate(found)
-        # strings of one minimiser next to each other, so that most matches fall
-        # inside one part
         cand = cand[np.argsort(lead["min"][cand], kind="stable")]
-        cuts = np.cumsum(lead["len"][cand].astype(np.int64)) // part_bytes
-        parts, members = [], []
-        for c in np.unique(cuts):
+        cuts, family = _cut(lead["min"][cand], lead["len"][cand].astype(np.int64), part_bytes)
+        parts, members, of = [], [], []
+        for c in range(int(cuts.max()) + 1):
             own = cand[cuts == c]
             members.append(own)
+            of.append(int(family[cuts == c][0]))
             parts.append(Part([distinct[i] for i in own.tolist()],
                               lead["n"][own].astype(np.int64), size))
         for i, x in enumerate(parts):
-            for y in parts[i + 1:]:
-                merge(x, y, size)
+            for j in range(i + 1, len(parts)):
+                if of[i] and of[i] == of[j]:
+                    merge(x, parts[j], size)
         for own, part in zip(members, parts):
             n = lead["n"][own].astype(np.int64)
             string = np.repeat(np.arange(len(own)), n)

@@ -10,25 +10,46 @@ there is no SQL for the whole; the tests hold it against a plain version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartwise.llm import jaccard, mixing, pieces, secrets, toxicity
 from cartwise.llm.common import table, written
-from cartwise.llm.mixing import mixture
-from cartwise.llm.secrets import redact
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go.  The model learns from the labelled rows of
+    ``documents`` that are not held out, whatever ``docs`` still holds of them."""
+    scored = toxicity.score(docs, toxicity.fitted(spark, sf_dir))
+    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of documents linked by shingle similarity one stays."""
+    return jaccard.deduplicated(docs)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret span is replaced by a mark; no document goes."""
-    return redact(docs)
+    return secrets.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeat, or go, as their source's target asks."""
-    return mixture(docs)
+    """Documents repeat, or go, as the target of their source asks."""
+    return mixing.mixture(docs)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text."""
+    return pieces.encode(docs.select("doc_id", "source", "text"), pieces.default_model(),
+                         outputs=("n_tokens", "ids")).select("doc_id", "source", "n_tokens", "ids")
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
     ("secrets", hide_secrets),
     ("mix", mix_sources),
+    ("encode", encode_texts),
 ]
 
 ORACLE_SQL = None
@@ -37,5 +58,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
