@@ -47,8 +47,6 @@ ADJUSTED_THRESHOLD = _oracle.ADJUSTED_THRESHOLD
 F1_TARGET = _oracle.F1_TARGET
 TOP_K = _oracle.TOP_K
 USER_LIMIT = _oracle.USER_LIMIT
-GBT_ITER = 30
-CV_FOLDS = 3
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -58,9 +56,8 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields])
 
 
-def _basket(spark: SparkSession, sf_dir: str) -> Basket:
-    prior, newest = history.basket_tables(spark, sf_dir)
-    return Basket(prior, newest)
+def _basket(spark: SparkSession, sf_dir: str, grain: str = "brand") -> Basket:
+    return Basket.from_history(*history.order_history(spark, sf_dir, grain))
 
 
 def _matrix(spark, sf_dir) -> DataFrame:
@@ -107,8 +104,7 @@ def q_feature_matrix(spark, sf_dir):
 
 def q_feature_matrix_part_grain(spark, sf_dir):
     """Same matrix with product = part: many products, sparse repeats."""
-    prior, newest = history.basket_tables(spark, sf_dir, grain="part")
-    return _rounded(fx.feature_matrix(Basket(prior, newest)))
+    return _rounded(fx.feature_matrix(_basket(spark, sf_dir, "part")))
 
 
 def q_matrix_shape(spark, sf_dir):
@@ -134,7 +130,7 @@ def q_group_folds(spark, sf_dir):
 
 def q_minmax_scale(spark, sf_dir):
     m = sp.with_split(_matrix(spark, sf_dir), "user_id", TEST_SIZE, SPLIT_SEED)
-    model = fit_min_max(m.where(F.col("split") == "train"), FEATURES)
+    model = fit_min_max(m.where(F.col("split") == "train"), FEATURES)  # a scan and a filter
     return _rounded(model.transform(m.select("split", "user_id", "product_id", "in_cart",
                                              *FEATURES)))
 
@@ -177,7 +173,7 @@ def q_f1_histogram(spark, sf_dir):
 
 
 def q_users_with_f1(spark, sf_dir):
-    return ev.users_with_f1(_per_user(spark, sf_dir), F1_TARGET, 10)
+    return ev.users_with_f1(_per_user(spark, sf_dir), F1_TARGET)
 
 
 def _fold_scored(spark, sf_dir):
@@ -200,7 +196,9 @@ def q_recommend_for_user(spark, sf_dir):
 
 
 def q_recommend_topk(spark, sf_dir):
-    return _rounded(rec.recommend_topk(_scores(spark, sf_dir), TOP_K))
+    every = _matrix(spark, sf_dir).select("user_id", "product_id",
+                                          F.col("percent_in_user_orders").alias("score"))
+    return _rounded(rec.recommend_topk(every, TOP_K))
 
 
 # ---- model queries (no SQL oracle: rows-only) ----------------------------
@@ -210,7 +208,7 @@ _TRAINED: dict = {}
 def _trained(spark, sf_dir):
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _TRAINED:
-        _TRAINED[key] = train_from_matrix(spark, _matrix(spark, sf_dir), gbt_iter=GBT_ITER)
+        _TRAINED[key] = train_from_matrix(spark, _matrix(spark, sf_dir))
     return _TRAINED[key]
 
 
@@ -235,14 +233,24 @@ def q_feature_importance(spark, sf_dir):
     return _rounded(feature_importance(spark, r.lr, r.gbt))
 
 
+def _cross_validation(spark, sf_dir, frame):
+    return GroupCrossValidation(frame, FEATURES, "in_cart", "user_id", NUM_FOLDS, SPLIT_SEED,
+                                item_col="product_id")
+
+
 def q_cv_out_of_fold(spark, sf_dir):
     r = _trained(spark, sf_dir)
-    cv = GroupCrossValidation(r.train, FEATURES, "in_cart", "user_id", CV_FOLDS, SPLIT_SEED)
+    cv = _cross_validation(spark, sf_dir, r.train)
     n = r.train.count()
-    cv.fit(logistic_regression_estimator(n * (CV_FOLDS - 1) // CV_FOLDS))
+    cv.fit(logistic_regression_estimator(n * (NUM_FOLDS - 1) // NUM_FOLDS))
     return _rounded(cv.predict(ADJUSTED_THRESHOLD))
 
 
+def q_cv_out_of_fold_keys(spark, sf_dir):
+    """Key, fold and actual label of every out-of-fold row, over all users."""
+    return _cross_validation(spark, sf_dir, _matrix(spark, sf_dir)).get_actual()
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_prior": q_load_prior,
     "load_newest": q_load_newest,
@@ -286,6 +294,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_scores": q_gbt_scores,
     "feature_importance": q_feature_importance,
     "cv_out_of_fold": q_cv_out_of_fold,
+    "cv_out_of_fold_keys": q_cv_out_of_fold_keys,
 }
 
 

@@ -28,8 +28,9 @@ def cart_percentile_sum(mult, sumpos, cart) -> Column:
 
 
 def apply_threshold(proba, threshold: float) -> Column:
-    """0/1 prediction; a probability equal to the threshold is positive."""
-    return (_c(proba) >= F.lit(float(threshold))).cast("int")
+    """0/1 prediction; a probability equal to the threshold is positive, a null
+    one is negative, NaN counts as above every threshold."""
+    return F.coalesce(_c(proba) >= F.lit(float(threshold)), F.lit(False)).cast("int")
 
 
 def f1_from_counts(tp, fp, fn) -> Column:
@@ -56,17 +57,21 @@ def histogram_bin(x, bins: int = 19) -> Column:
 
 def threshold_bucket(p, steps: int = 100) -> Column:
     """Largest k in 0..steps with ``p >= k / steps`` (compared as doubles,
-    exactly as a threshold test would), so that ``p >= t_j  <=>  k >= j``."""
+    exactly as a threshold test would), so that ``p >= t_j  <=>  k >= j``; null is
+    -1 (below every threshold) and NaN ``steps`` (above)."""
     p = _c(p)
     k0 = F.floor(p * steps).cast("int")
     hi = (k0 + 1).cast("double") / F.lit(float(steps))
     lo = k0.cast("double") / F.lit(float(steps))
     k = F.when(p >= hi, k0 + 1).when(p < lo, k0 - 1).otherwise(k0)
-    return F.least(F.greatest(k, F.lit(-1)), F.lit(steps))
+    inside = F.least(F.greatest(k, F.lit(-1)), F.lit(steps))
+    return F.when(p.isNull(), F.lit(-1)).when(F.isnan(p), F.lit(steps)).otherwise(inside)
 
 
 def group_rank_key(group, seed: int | None) -> Column:
     """Deterministic pseudo-random sort key for a group value: the md5 hex of
-    ``"<seed>:<group>"``; identical in any engine with md5."""
+    ``"<seed>:<group>"``; identical in any engine with md5.  ``None`` is a seed
+    like any other (one fixed permutation), so that plans stay repeatable; draw a
+    seed for a different permutation each time."""
     s = "" if seed is None else str(seed)
     return F.md5(F.concat(F.lit(s + ":"), _c(group).cast("string")))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,26 +19,27 @@ from pyspark.sql import functions as F
 from cartwise.models.train import assembler
 from cartwise.operators.evaluate import f1_metric, fold_scores
 from cartwise.operators.split import with_folds
-from cartwise.session import scratch_path
+from cartwise.session import delete_path, scratch_path
 
 
 class GroupCrossValidation:
     def __init__(self, df: DataFrame, feature_cols: list[str], target_col: str,
                  group_col: str, num_folds: int = 5, seed: int | None = None,
-                 materialize: bool = True):
+                 materialize: bool = False, item_col: str | None = None):
         self.feature_cols = list(feature_cols)
         self.target_col = target_col
         self.group_col = group_col
         self.num_folds = num_folds
-        folded = with_folds(df, group_col, num_folds, seed)
+        #: what ties an out-of-fold row to its input row
+        self.keys = [group_col] + ([item_col] if item_col else [])
+        # the fold is a comparison with a few boundary groups, so it is decided
+        # in every scan of ``df``; write the frame only if deriving it is costly
+        self.df = with_folds(df, group_col, num_folds, seed)
+        self._path = None
         if materialize:
-            # every fold fit and every out-of-fold prediction reads this
-            # frame: write it once instead of re-deriving the fold ranks
-            spark = folded.sparkSession
-            path = scratch_path(spark, "cv-folds")
-            folded.write.mode("overwrite").parquet(path)
-            folded = spark.read.schema(folded.schema).parquet(path)
-        self.df = folded
+            self._path = scratch_path(df.sparkSession, "cv-folds")
+            self.df.write.parquet(self._path)
+            self.df = df.sparkSession.read.schema(self.df.schema).parquet(self._path)
         self.models: list[PipelineModel] = []
 
     def fit(self, estimator) -> list[PipelineModel]:
@@ -50,11 +52,11 @@ class GroupCrossValidation:
         return self.models
 
     def predict_proba(self) -> DataFrame:
-        """Out-of-fold probabilities: group, fold, target, probability_1."""
+        """Out-of-fold probabilities: keys, fold, target, probability_1."""
         parts = []
         for k, model in enumerate(self.models):
             part = model.transform(self.df.where(F.col("fold") == k))
-            parts.append(part.select(self.group_col, "fold", self.target_col,
+            parts.append(part.select(*self.keys, "fold", self.target_col,
                                      vector_to_array("probability")[1].alias("probability_1")))
         return reduce(DataFrame.unionByName, parts)
 
@@ -64,18 +66,35 @@ class GroupCrossValidation:
             "prediction", (F.col("probability_1") >= F.lit(float(threshold))).cast("int"))
 
     def get_actual(self) -> DataFrame:
-        return self.df.select("fold", self.target_col)
+        """Keys, fold and label of every row, as :meth:`predict` has them."""
+        return self.df.select(*self.keys, "fold", self.target_col)
+
+    def release(self) -> None:
+        """Delete the written frame, if there is one."""
+        if self._path:
+            delete_path(self.df.sparkSession, self._path)
+            self._path = None
 
     def get_df_folds(self, limit_cols: bool = True) -> list[DataFrame]:
         cols = (self.feature_cols + [self.target_col]) if limit_cols else self.df.columns
         return [self.df.where(F.col("fold") == k).select(*cols) for k in range(self.num_folds)]
 
     def score(self, threshold: float = 0.5, scorer=f1_metric) -> tuple[list[float], float]:
-        """(score per fold, mean score) from one aggregation over the
-        out-of-fold predictions; ``scorer`` maps (tp, fp, fn, tn) columns to
-        a metric (default F1 of the positive class)."""
+        """(score per fold, mean score) over the out-of-fold predictions.
+        ``scorer`` maps (tp, fp, fn, tn) columns to a metric (default: F1 of the
+        positive class), all folds in one aggregation; or it is a Spark ML
+        ``Evaluator`` (of label and raw prediction), run once per fold."""
+        if isinstance(scorer, Evaluator):
+            return self._evaluated(scorer)
         per_fold = fold_scores(self.predict_proba(), threshold, "probability_1",
                                self.target_col, scorer=scorer, name="score")
         rows = per_fold.orderBy("fold").collect()  # one row per fold
         scores = [r["score"] for r in rows]
         return scores, (sum(scores) / len(scores) if scores else float("nan"))
+
+    def _evaluated(self, evaluator: Evaluator) -> tuple[list[float], float]:
+        label = evaluator.getOrDefault("labelCol")
+        data = self.df.withColumn(label, F.col(self.target_col).cast("double"))
+        scores = [evaluator.evaluate(model.transform(data.where(F.col("fold") == k)))
+                  for k, model in enumerate(self.models)]
+        return scores, (sum(scores) / len(scores) if scores else float("nan"))

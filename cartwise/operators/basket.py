@@ -1,34 +1,35 @@
 """Shared intermediates of the feature computation.
 
-``Basket`` wraps the two joined line tables and derives, lazily and once per
-instance, the frames every feature is read from:
+A ``Basket`` holds raw order lines (order, product, position) and order headers
+with their cart size, and derives the frames every feature is read from:
 
-``prior_orders``  one row per (user, prior order): number, gap, time, cart size
+``orders``        one row per order: header, cart size, ``is_newest``
 ``newest_users``  one row per user with a newest order: N, G, its cart and time
-``timeline``      prior_orders + running gap sums (days since first order,
+``timeline``      prior orders + running gap sums (days since first order,
                   days to the newest order) + the user's N and G
-``pairs``         one row per (user, product) over all prior lines: counts,
-                  first/last order, the sums every mean feature needs, and the
-                  label ``in_cart`` (newest lines join the same aggregation, so
-                  the label needs no join of its own)
-``users``         per-user statistics (+ newest-order columns when present)
+``pairs(level)``  one row per (user, product) over all prior lines, with the
+                  label ``in_cart``; ``level`` says how much it carries
+``users``         per-user statistics of users with a newest order
 ``products``      per-product statistics over *all* prior users
 
-``prior_orders``, ``timeline`` and ``pairs`` are each read by several
-consumers that need different columns; Spark would re-derive them per
-consumer (column pruning makes the branches differ, so exchanges are not
-reused).  With ``materialize=True`` (default) they are written once as
-parquet under the shared checkpoint folder and read back: the line table is
-scanned twice in all (orders, pairs), each line-level shuffle runs once, and
-the written tables cut the lineage.
-
-Plan shape: the line table is shuffled once by (user, order) to be joined
-with the timeline and once (after map-side partial aggregation) by
-(user, product); user and product statistics are derived from ``pairs`` by
-partial aggregation, so a very popular product or a very active user is
-combined map-side instead of landing in one task.  Within a (user, product)
-the lag-based "between" means telescope to first/last values, so no window
-over line rows is needed at all.
+Everything at line level is keyed on ``order_id``.  From an order history the
+line table is scanned twice: once for cart sizes (aggregated by order before the
+shuffle) and once for the pairs.  For the pairs, raw lines are shuffled by
+``order_id`` to meet the order's values; an order belongs to one user, so the
+(user, product, order) grouping reuses that partitioning, and one partially
+aggregated shuffle by (user, product) follows.  Prior and newest orders take the
+same path, a newest order only setting the label.  Within a (user, product) the
+lag-based "between" means telescope to first/last values, so no window over line
+rows is needed.
+
+Levels of ``pairs``: ``counts`` needs no order values, ``orders`` needs header,
+cart size and N, ``full`` needs the timeline's running sums as well.  A query
+builds only what its columns need.
+
+Frames that several consumers read are written once under the shared checkpoint
+folder (``materialize``); small sides of joins with popular products or active
+users are written too, so that each side of such a join is a plain shuffle that
+adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -40,70 +41,97 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.expr import cart_percentile_sum, hour_of_week
 from cartwise.operators.sequence import DEFAULT_BLOCK, running_sums
-from cartwise.session import scratch_path
+from cartwise.session import delete_path, scratch_path
+from cartwise.sources.readers import history_header, history_lines
 
 # Fixed value: "last five orders" means order_number >= N - 5.
 LAST_N_ORDERS = 5
 
+LEVELS = ("counts", "orders", "full")
+_HEADER = ("order_number", "days_since_prior_order", "order_dow", "order_hour_of_day")
+
 
 class Basket:
+    """From two joined line tables (each line with its order's header); see
+    :meth:`from_history` for an orders table and a lines table."""
+
     def __init__(self, prior: DataFrame, newest: DataFrame, block_size: int = DEFAULT_BLOCK,
                  materialize: bool = True):
-        self.prior = prior
-        self.newest = newest
+        def rows(df: DataFrame, is_newest: bool) -> DataFrame:
+            # header columns are constant in an order, so ``max`` picks that value
+            return df.groupBy("order_id", "user_id").agg(
+                *[F.max(c).alias(c) for c in _HEADER],
+                F.max("add_to_cart_order").alias("cart_size"),
+            ).withColumn("is_newest", F.lit(is_newest))
+
+        body = ["order_id", "product_id", "add_to_cart_order"]
+        headers = rows(prior, False).unionByName(rows(newest, True))
+        self._init(headers, headers, prior.select(*body).unionByName(newest.select(*body)),
+                   block_size, materialize)
+
+    @classmethod
+    def from_history(cls, orders: DataFrame, lines: DataFrame, user_limit: int | None = None,
+                     block_size: int = DEFAULT_BLOCK, materialize: bool = True) -> Basket:
+        """From an orders header (one row per order, with ``eval_set``) and lines."""
+        self = cls.__new__(cls)
+        header = history_header(orders, user_limit)
+        body = history_lines(lines)
+        carts = body.groupBy("order_id").agg(F.max("add_to_cart_order").alias("cart_size"))
+        self._init(header, header.join(carts, "order_id"), body, block_size, materialize)
+        return self
+
+    def _init(self, keys, headers, lines, block_size, materialize) -> None:
+        self._keys = keys.select("order_id", "user_id", "is_newest")
+        self._headers = headers
+        self._lines = lines
         self.block_size = block_size
         self.materialize = materialize
         self._staged: list[str] = []
+        self._pairs: dict[str, DataFrame] = {}
+        self.staged_plans: dict[str, str] = {}
 
+    # ---- written tables ------------------------------------------------
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
         spark = df.sparkSession
         path = scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
+        self.staged_plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        df.write.parquet(path)
         self._staged.append(path)
         return spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
         """Delete the staged tables.  Call only after every frame derived
         from this basket has been written or collected."""
-        spark = self.prior.sparkSession
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in self._staged:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            delete_path(self._lines.sparkSession, path)
         self._staged.clear()
 
     # ---- order level -------------------------------------------------
     @cached_property
+    def orders(self) -> DataFrame:
+        """One row per order with at least one line."""
+        return self._stage(self._headers.select("order_id", "user_id", *_HEADER, "cart_size",
+                                                "is_newest"), "orders")
+
+    @property
     def prior_orders(self) -> DataFrame:
-        """One row per (user, prior order).  Header columns are constant in
-        an order, so ``max`` picks that value deterministically."""
-        orders = self.prior.groupBy("user_id", "order_id").agg(
-            F.max("order_number").alias("order_number"),
-            F.max("days_since_prior_order").alias("days_since_prior_order"),
-            F.max("order_dow").alias("order_dow"),
-            F.max("order_hour_of_day").alias("order_hour_of_day"),
-            F.max("add_to_cart_order").alias("cart_size"),
-        )
-        # read twice by the timeline (block totals and in-block sums) with
-        # different columns: written once, so the line table is scanned once
-        return self._stage(orders, "orders")
+        return self.orders.where(~F.col("is_newest")).drop("is_newest")
 
     @cached_property
     def newest_users(self) -> DataFrame:
-        return self.newest.groupBy("user_id").agg(
+        return self._stage(self.orders.where("is_newest").groupBy("user_id").agg(
             F.max("order_number").alias("newest_order_number"),
             F.max("days_since_prior_order").alias("newest_gap"),
-            F.max("add_to_cart_order").alias("newest_cart_size"),
+            F.max("cart_size").alias("newest_cart_size"),
             hour_of_week(F.max("order_dow"), F.max("order_hour_of_day"))
             .alias("newest_hour_of_week"),
-        )
+        ), "newest-users")
 
     @cached_property
     def timeline(self) -> DataFrame:
-        """prior_orders + ``days_since_first_order`` (gaps of orders up to and
+        """Prior orders + ``days_since_first_order`` (gaps of orders up to and
         including this one) + ``days_to_newest_prior`` (gaps of this and all
         later prior orders) + the user's newest order number and gap."""
         newest = self.newest_users.select("user_id", "newest_order_number", "newest_gap")
@@ -114,94 +142,120 @@ class Basket:
         )
         return self._stage(t, "timeline")
 
-    @cached_property
-    def order_values(self) -> DataFrame:
-        """Per-order values the line-level aggregation needs."""
-        t = self.timeline
-        return t.select(
-            "user_id", "order_id", "order_number", "cart_size",
-            hour_of_week("order_dow", "order_hour_of_day").alias("how"),
-            F.col("days_since_first_order").alias("dfirst"),
-            # days from this order to the newest one; the order's own gap is
-            # included (as in the reference definition)
-            (F.col("days_to_newest_prior") + F.col("newest_gap")).alias("dnewest"),
-            (F.col("order_number") >= F.col("newest_order_number") - LAST_N_ORDERS)
-            .alias("recent"),
-        )
+    def _order_values(self, level: str) -> DataFrame:
+        """Per order, what the pair aggregation needs at ``level``; a newest
+        order has no values but ``is_newest``."""
+        if level == "counts":
+            return self._keys
+        how = hour_of_week("order_dow", "order_hour_of_day").alias("how")
+        recent = (F.col("order_number") >= F.col("newest_order_number") - LAST_N_ORDERS)
+        columns = ["order_id", "user_id", F.lit(False).alias("is_newest"), "order_number",
+                   "cart_size", how, recent.alias("recent")]
+        if level == "full":
+            prior = self.timeline.select(
+                *columns, F.col("days_since_first_order").alias("dfirst"),
+                # days from this order to the newest one; the order's own gap is
+                # included (as in the reference definition)
+                (F.col("days_to_newest_prior") + F.col("newest_gap")).alias("dnewest"))
+        else:
+            newest = self.newest_users.select("user_id", "newest_order_number")
+            prior = self.prior_orders.join(newest, "user_id", "left").select(*columns)
+        hits = self.orders.where("is_newest").select("order_id", "user_id", "is_newest")
+        return prior.unionByName(hits, allowMissingColumns=True)
 
     # ---- (user, product) level ---------------------------------------
-    @cached_property
-    def pairs(self) -> DataFrame:
-        lines = self.prior.select("user_id", "order_id", "product_id", "add_to_cart_order")
-        joined = lines.join(self.order_values, ["user_id", "order_id"])
-        # (user, order)-partitioned join output already satisfies this
-        # grouping, so it adds no exchange; it makes distinct-order counts
-        # exact even if a product repeats within an order.
+    def pair_rows(self, level: str) -> DataFrame:
+        """The plan of ``pairs(level)``, newest-only pairs included."""
+        joined = self._lines.join(self._order_values(level), "order_id")
+        # the order_id partitioning of the join satisfies this grouping; it makes
+        # distinct-order counts exact even if a product repeats within an order
+        values = {"orders": ["order_number", "cart_size", "how", "recent"],
+                  "full": ["order_number", "cart_size", "how", "recent", "dfirst", "dnewest"]}
         per_order = joined.groupBy("user_id", "product_id", "order_id").agg(
+            F.max("is_newest").alias("newest"),
             F.count(F.lit(1)).alias("mult"),
             F.sum("add_to_cart_order").alias("sumpos"),
-            F.max("order_number").alias("onum"),
-            F.max("cart_size").alias("cart"),
-            F.max("how").alias("how"),
-            F.max("dfirst").alias("dfirst"),
-            F.max("dnewest").alias("dnewest"),
-            F.max("recent").alias("recent"),
-        ).withColumn("hit", F.lit(0))
-        # newest lines ride along in the same (user, product) shuffle; all
-        # their prior-side columns are null, so they only set the label
-        hits = self.newest.select("user_id", "product_id", F.lit(1).alias("hit"))
-        rows = per_order.unionByName(hits, allowMissingColumns=True)
-        pairs = rows.groupBy("user_id", "product_id").agg(
-            F.count("onum").alias("n_orders"),
-            F.sum("mult").alias("n_lines"),
-            F.min("onum").alias("first_onum"),
-            F.max("onum").alias("last_onum"),
-            F.min_by("dfirst", "onum").alias("dfirst_first"),
-            F.max_by("dfirst", "onum").alias("dfirst_last"),
-            F.min_by("dnewest", "onum").alias("dnewest_first"),
-            F.max_by("dnewest", "onum").alias("dnewest_last"),
-            F.sum(F.when(F.col("recent"), F.col("mult"))).alias("recent_lines"),
-            F.sum(F.col("mult") * F.col("cart")).alias("sum_cart"),
-            F.sum(cart_percentile_sum("mult", "sumpos", "cart")).alias("sum_pct"),
-            F.sum(F.col("mult") * F.col("how")).alias("sum_how"),
-            F.max("hit").cast("int").alias("in_cart"),
+            *[F.max(c).alias(c) for c in values.get(level, [])],
         )
+        prior = ~F.col("newest")
+        mult = F.when(prior, F.col("mult"))
+        out = [
+            F.count(F.when(prior, 1)).alias("n_orders"),
+            F.sum(mult).alias("n_lines"),
+            F.max(F.col("newest").cast("int")).alias("in_cart"),
+        ]
+        if level != "counts":
+            onum, cart = F.when(prior, F.col("order_number")), F.col("cart_size")
+            out += [
+                F.min(onum).alias("first_onum"),
+                F.max(onum).alias("last_onum"),
+                F.sum(F.when(F.col("recent"), mult)).alias("recent_lines"),
+                F.sum(mult * cart).alias("sum_cart"),
+                F.sum(F.when(prior, cart_percentile_sum("mult", "sumpos", "cart_size"))).alias("sum_pct"),
+                F.sum(mult * F.col("how")).alias("sum_how"),
+            ]
+        if level == "full":
+            onum = F.when(prior, F.col("order_number"))
+            out += [pick(value, onum).alias(f"{value}_{name}") for value in ("dfirst", "dnewest")
+                    for name, pick in (("first", F.min_by), ("last", F.max_by))]
+        return per_order.groupBy("user_id", "product_id").agg(*out)
+
+    def pairs(self, level: str = "full") -> DataFrame:
+        """Pairs with a prior line, at ``level`` or a fuller one already built."""
+        for have in LEVELS[LEVELS.index(level):]:
+            if have in self._pairs:
+                break
+        else:
+            have = level
+            self._pairs[level] = self._stage(self.pair_rows(level), f"pairs-{level}")
         # pairs seen only in a newest order are no candidates and no history
-        return self._stage(pairs, "pairs").where(F.col("n_orders") > 0)
+        return self._pairs[have].where(F.col("n_orders") > 0)
 
     # ---- user / product level ----------------------------------------
-    @cached_property
+    @property
+    def buyers(self) -> DataFrame:
+        """Users with a newest order, from the pairs alone."""
+        self.pairs("counts")
+        fullest = [self._pairs[x] for x in LEVELS if x in self._pairs][0]
+        return self._stage(fullest.where("in_cart = 1").select("user_id").distinct(), "buyers")
+
+    @property
     def user_orders(self) -> DataFrame:
-        return self.timeline.groupBy("user_id").agg(
+        return self.prior_orders.groupBy("user_id").agg(
             F.count(F.lit(1)).alias("total_user_orders"),
             F.max("order_number").alias("last_prior_order"),
         )
 
-    @cached_property
-    def user_lines(self) -> DataFrame:
-        return self.pairs.groupBy("user_id").agg(
+    def user_lines(self, level: str) -> DataFrame:
+        return self.pairs(level).groupBy("user_id").agg(
             F.count(F.lit(1)).alias("n_products"),
             F.sum("n_lines").alias("n_user_lines"),
         )
 
-    @cached_property
-    def users(self) -> DataFrame:
-        """Per-user statistics for users that also have a newest order."""
-        return (self.user_orders.join(self.user_lines, "user_id")
-                .join(self.newest_users, "user_id"))
+    def users(self, level: str, order_columns: bool, line_columns: bool) -> DataFrame:
+        """Users with a newest order and the statistics asked for, written."""
+        out = self.newest_users if order_columns else self.buyers
+        if order_columns:
+            out = out.join(self.user_orders, "user_id")
+        if line_columns:
+            out = out.join(self.user_lines(level), "user_id")
+        return self._stage(out, "users")
 
     @cached_property
     def total_orders(self):
         """Scalar subquery: number of distinct prior orders (all users)."""
-        return self.timeline.agg(F.count(F.lit(1))).scalar()
+        return self.prior_orders.agg(F.count(F.lit(1))).scalar()
 
-    @cached_property
-    def products(self) -> DataFrame:
+    @staticmethod
+    def product_statistics(pairs: DataFrame) -> DataFrame:
         """Per-product statistics over every prior user (never only the
         candidates' users).  An order belongs to one user, so summing the
         pairs' distinct-order counts gives distinct orders per product."""
-        return self.pairs.groupBy("product_id").agg(
+        return pairs.groupBy("product_id").agg(
             F.sum("n_orders").alias("count_in_all_orders"),
             F.count(F.lit(1)).alias("n_users"),
             F.sum("n_lines").alias("n_product_lines"),
         )
+
+    def products(self, level: str = "counts") -> DataFrame:
+        return self._stage(self.product_statistics(self.pairs(level)), "products")

@@ -1,6 +1,9 @@
 """Threshold-based evaluation of scored candidates.
 
 Input: a frame with ``user_id``, a 0/1 label and a probability/score column.
+A score that is null predicts 0 at every threshold, a NaN score 1 (Spark orders it
+above all numbers), here and in the sweep alike.
+
 Everything is an aggregation: the overall confusion counts are one global
 aggregate, per-user F1 one ``groupBy(user_id)`` (map-side combined), the
 threshold sweep one ``groupBy`` over score buckets followed by running sums
@@ -119,10 +122,13 @@ def f1_histogram(per_user: DataFrame, bins: int = 19, col: str = "f1") -> DataFr
     )
 
 
-def users_with_f1(per_user: DataFrame, target: float = 0.8, limit: int = 10,
+def users_with_f1(per_user: DataFrame, target: float = 0.8, limit: int | None = None,
                   group_col: str = "user_id") -> DataFrame:
-    return (per_user.where(F.abs(F.col("f1") - F.lit(float(target))) < F.lit(1e-9))
-            .select(group_col).orderBy(group_col).limit(limit))
+    """The users whose F1 is ``target``, in order; all of them unless ``limit``
+    asks for a first few."""
+    found = (per_user.where(F.abs(F.col("f1") - F.lit(float(target))) < F.lit(1e-9))
+             .select(group_col).orderBy(group_col))
+    return found if limit is None else found.limit(limit)
 
 
 def precision_from_counts(tp, fp, fn, tn):

@@ -23,16 +23,14 @@ KEYS = ["user_id", "product_id"]
 
 def candidates(b: Basket) -> DataFrame:
     """user_id, product_id, count_in_user_orders (distinct prior orders)."""
-    users = b.newest_users.select("user_id")
-    return (b.pairs.join(users, "user_id", "left_semi")
+    return (b.pairs("counts").join(b.buyers, "user_id", "left_semi")
             .select(*KEYS, F.col("n_orders").alias("count_in_user_orders")))
 
 
 def target(b: Basket) -> DataFrame:
     """user_id, product_id, in_cart (product is in the user's newest order);
     the label is computed inside the pair aggregation."""
-    users = b.newest_users.select("user_id")
-    return b.pairs.join(users, "user_id", "left_semi").select(*KEYS, "in_cart")
+    return b.pairs("counts").join(b.buyers, "user_id", "left_semi").select(*KEYS, "in_cart")
 
 
 # ---- feature expressions over the joined candidate frame ------------------
@@ -74,14 +72,24 @@ def _expressions() -> dict[str, Column]:
 
 
 _NEEDS_PRODUCTS = {"percent_in_all_orders", "product_reorder_proba"}
+# what a feature needs beyond (user, product) counts
+_COUNTS = {"percent_in_user_orders", "total_user_orders", "percent_in_all_orders",
+           "product_reorder_proba", "user_reorder_proba"}
+_RUNNING = {"mean_days_between", "days_since_newest"}
+_NO_ORDERS = {"product_reorder_proba", "user_reorder_proba"}
 
 
 def _candidate_frame(b: Basket, names: list[str], label: bool = False) -> DataFrame:
-    df = b.pairs
+    wanted = set(names)
+    level = "full" if wanted & _RUNNING else "counts" if wanted <= _COUNTS else "orders"
+    users = b.users(level, order_columns=not wanted <= _NO_ORDERS,
+                    line_columns="user_reorder_proba" in wanted)
     # inner join with users that have a newest order = the candidate filter
-    df = df.join(b.users, "user_id")
-    if _NEEDS_PRODUCTS & set(names):
-        products = b.products.withColumn("_total_orders", b.total_orders)
+    df = b.pairs(level).join(users, "user_id")
+    if _NEEDS_PRODUCTS & wanted:
+        products = b.products(level)
+        if "percent_in_all_orders" in wanted:
+            products = products.withColumn("_total_orders", b.total_orders)
         df = df.join(products, "product_id")
     exprs = _expressions()
     cols = [exprs[n].cast(FEATURE_TYPES[n]).alias(n) for n in names]
@@ -156,5 +164,6 @@ def order_timeline(b: Basket) -> DataFrame:
 
 def top_products(b: Basket, k: int = 10) -> DataFrame:
     """The k products in the most distinct prior orders (ties: lower id)."""
-    return (b.products.select("product_id", "count_in_all_orders")
+    products = b.product_statistics(b.pair_rows("counts").where(F.col("n_orders") > 0))
+    return (products.select("product_id", "count_in_all_orders")
             .orderBy(F.desc("count_in_all_orders"), "product_id").limit(k))

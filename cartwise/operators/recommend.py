@@ -19,8 +19,9 @@ def recommend_for_user(scores: DataFrame, products: DataFrame, user_id: int | No
         mine = scores.join(who, "user_id", "left_semi")
     else:
         mine = scores.where(F.col("user_id") == F.lit(user_id))
-    return (mine.join(products, "product_id", "left")
-            .select("user_id", "product_id", "product_name", score_col)
+    extra = [c for c in products.columns if c not in ("user_id", "product_id", score_col)]
+    return (mine.join(products.select("product_id", *extra), "product_id", "left")
+            .select("user_id", "product_id", *extra, score_col)
             .orderBy(F.desc(score_col), "product_id"))
 
 

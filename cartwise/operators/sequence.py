@@ -26,12 +26,16 @@ def running_sums(df: DataFrame, group_cols: list[str], order_col: str, value_col
     """Add ``forward`` = sum of ``value_col`` over rows with order <= this row
     and ``backward`` = sum over rows with order >= this row, per group.
 
-    Nulls are skipped and an empty/all-null sum is 0.  ``per_group`` (keyed
+    Null values are skipped and an empty/all-null sum is 0; rows whose order is
+    null are peers that come first.  ``per_group`` (keyed
     by ``group_cols``) is left-joined onto the small block table, so its
     columns reach every row without a join at row level.
     """
     keys = list(group_cols) + ["_blk"]
-    d = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_size)).cast("long"))
+    # rows without an order value form a block of their own, before all others
+    block = F.coalesce(F.floor(F.col(order_col) / F.lit(block_size)).cast("long"),
+                       F.lit(-(1 << 62)))
+    d = df.withColumn("_blk", block)
 
     blocks = d.groupBy(*keys).agg(F.sum(value_col).alias("_bt"))
     wb = Window.partitionBy(*group_cols).orderBy("_blk")

@@ -13,16 +13,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwise.models.train import fit_gbt, fit_logistic_regression
 from cartwise.operators.basket import Basket
 from cartwise.operators.features import feature_matrix
 from cartwise.operators.scale import MinMaxModel, fit_min_max
-from cartwise.operators.split import with_split
+from cartwise.operators.split import train_test_by_group
 from cartwise.schema import FEATURES, ID_COL, ITEM_COL, LABEL_COL
 from cartwise.session import scratch_path
-from cartwise.sources.readers import load_basket
 from cartwise.sources.sinks import load_model, save_model, try_read_table, write_table
 
 # Fixed values of the reference split.
@@ -42,15 +40,14 @@ class BuildResult:
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back."""
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def build_feature_matrix(spark: SparkSession, orders: DataFrame, lines: DataFrame,
                          user_limit: int | None = None,
                          drop_newest_cart: bool = False) -> DataFrame:
-    prior, newest = load_basket(orders, lines, user_limit)
-    basket = Basket(prior, newest)
+    basket = Basket.from_history(orders, lines, user_limit)
     m = materialise(spark, feature_matrix(basket, drop_newest_cart=drop_newest_cart),
                     "feature-matrix")
     basket.release()  # the written matrix no longer needs the staged tables
@@ -59,28 +56,27 @@ def build_feature_matrix(spark: SparkSession, orders: DataFrame, lines: DataFram
 
 def split_and_scale(matrix: DataFrame, features: list[str] = FEATURES,
                     test_size: float = TEST_SIZE, seed: int | None = SPLIT_SEED):
-    # the split is read three times (scaler fit, train, test): write it once
-    m = materialise(matrix.sparkSession, with_split(matrix, ID_COL, test_size, seed), "split")
     cols = [ID_COL, ITEM_COL, LABEL_COL, *features]
-    train_raw = m.where(F.col("split") == "train").select(*cols)
-    test_raw = m.where(F.col("split") == "test").select(*cols)
+    # both sides are filters on the scan of the written matrix
+    train_raw, test_raw = train_test_by_group(matrix.select(*cols), ID_COL, test_size, seed)
     scaler = fit_min_max(train_raw, features)
     return scaler.transform(train_raw), scaler.transform(test_raw), scaler
 
 
 def build_models(spark: SparkSession, orders: DataFrame, lines: DataFrame,
                  out_dir: str | None = None, user_limit: int | None = None,
-                 gbt_iter: int = 50, drop_newest_cart: bool = False) -> BuildResult:
+                 gbt_iter: int | None = None, drop_newest_cart: bool = False) -> BuildResult:
     matrix = build_feature_matrix(spark, orders, lines, user_limit, drop_newest_cart)
     return train_from_matrix(spark, matrix, out_dir, gbt_iter, drop_newest_cart)
 
 
 def train_from_matrix(spark: SparkSession, matrix: DataFrame, out_dir: str | None = None,
-                      gbt_iter: int = 50, drop_newest_cart: bool = False) -> BuildResult:
+                      gbt_iter: int | None = None, drop_newest_cart: bool = False) -> BuildResult:
     """Split, scale, fit both models (and save them) from a built matrix."""
     features = [f for f in FEATURES
                 if not (drop_newest_cart and f in ("newest_cart_size", "cart_size_difference"))]
     train, test, scaler = split_and_scale(matrix, features)
+    # the fits iterate over the scaled rows: write both sides once
     train = materialise(spark, train, "train-set")
     test = materialise(spark, test, "test-set")
     n_train = train.count()
@@ -88,8 +84,10 @@ def train_from_matrix(spark: SparkSession, matrix: DataFrame, out_dir: str | Non
     gbt = fit_gbt(train, features, max_iter=gbt_iter)
     if out_dir:
         write_table(test, os.path.join(out_dir, "test_set"))
-        save_model(lr, os.path.join(out_dir, "model_lr"))
-        save_model(gbt, os.path.join(out_dir, "model_gbt"))
+        for name, model in (("model_lr", lr), ("model_gbt", gbt)):
+            path = os.path.join(out_dir, name)
+            if not save_model(model, path):
+                raise OSError(f"model could not be saved to {path}")
     return BuildResult(train, test, lr, gbt, scaler)
 
 

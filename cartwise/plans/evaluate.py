@@ -5,6 +5,8 @@ few-row results reach the driver."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 from cartwise.models.train import feature_importance, positive_probability
 from cartwise.operators import evaluate as ev
 from cartwise.schema import FEATURES, ID_COL, ITEM_COL, LABEL_COL
+from cartwise.session import delete_path, scratch_path
+from cartwise.sources.sinks import write_table
 
 # Thresholds used by the reference evaluation.
 BASE_THRESHOLD = 0.5
@@ -23,24 +27,46 @@ def model_scores(model: PipelineModel, test: DataFrame) -> DataFrame:
     return positive_probability(model, test, out="score", keep=[ID_COL, ITEM_COL, LABEL_COL])
 
 
+def _at(sweep: list[dict], threshold: float) -> dict:
+    """The row of a fixed threshold (all of them lie on the sweep's grid)."""
+    return min(sweep, key=lambda r: abs(r["threshold"] - threshold))
+
+
+def _ratio(num: int, den: int) -> float:
+    return num / den if den else 0.0
+
+
 def evaluate_models(spark: SparkSession, test: DataFrame, lr: PipelineModel,
-                    gbt: PipelineModel, features: list[str] = FEATURES) -> dict:
+                    gbt: PipelineModel, features: list[str] = FEATURES,
+                    out_dir: str | None = None) -> dict:
+    """Figures of both models.  Each model scores the test set once (written to
+    the scratch folder); all fixed thresholds are read from one sweep.  With
+    ``out_dir``, per-user F1 of each model and the importances are saved there."""
     out: dict = {}
     for name, model in (("lr", lr), ("gbt", gbt)):
-        scores = model_scores(model, test)
-        base = ev.overall_metrics(scores, BASE_THRESHOLD).first().asDict()
-        adj = ev.overall_metrics(scores, ADJUSTED[name]).first().asDict()
+        path = scratch_path(spark, f"scores-{name}")
+        model_scores(model, test).write.parquet(path)
+        scores = spark.read.parquet(path)
+        sweep = [r.asDict() for r in ev.threshold_sweep(scores).collect()]  # 101 rows
+        base, adj = _at(sweep, BASE_THRESHOLD), _at(sweep, ADJUSTED[name])
+        best = max(sweep, key=lambda r: (r["f1"], -r["threshold"]))
         per_user = ev.per_user_f1(scores, PER_USER[name])
+        if out_dir:
+            write_table(per_user, os.path.join(out_dir, f"user_f1_{name}"))
         mean_user = ev.mean_user_f1(per_user).first()["mean_f1"]
-        best = ev.best_threshold(ev.threshold_sweep(scores)).first().asDict()
         hist = [r.asDict() for r in ev.f1_histogram(per_user).orderBy("bin").collect()]
         out[name] = {
-            "f1_base": round(base["f1"], 3), "precision_base": base["precision"],
-            "recall_base": base["recall"], "f1_adjusted": round(adj["f1"], 3),
+            "f1_base": round(base["f1"], 3),
+            "precision_base": _ratio(base["tp"], base["tp"] + base["fp"]),
+            "recall_base": _ratio(base["tp"], base["tp"] + base["fn"]),
+            "f1_adjusted": round(adj["f1"], 3),
             "adjusted_threshold": ADJUSTED[name], "mean_user_f1": round(mean_user or 0.0, 3),
             "per_user_threshold": PER_USER[name], "best_threshold": best,
             "f1_histogram": hist,
         }
+        delete_path(spark, path)
     imp = feature_importance(spark, lr, gbt, features)
+    if out_dir:
+        write_table(imp, os.path.join(out_dir, "feature_importance"))
     out["importance"] = [r.asDict() for r in imp.orderBy(F.desc("lrm_abs_coef")).collect()]
     return out

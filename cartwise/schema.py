@@ -51,6 +51,7 @@ ORDERS_SCHEMA = T.StructType([
     T.StructField("order_dow", T.IntegerType(), False),
     T.StructField("order_hour_of_day", T.IntegerType(), False),
     T.StructField("days_since_prior_order", T.IntegerType(), True),
+    T.StructField("eval_set", T.StringType(), True),
 ])
 
 ORDER_LINES_SCHEMA = T.StructType([

@@ -27,7 +27,7 @@ RECOMMENDED_CONF = {
 
 
 def cluster_conf(input_bytes: int, total_cores: int,
-                 partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+                 partition_bytes: int = 256 << 20) -> dict:
     """Partition sizing for a cluster run over ``input_bytes`` of line data.
 
     The line table is shuffled about twice at roughly its own size, so the
@@ -36,7 +36,6 @@ def cluster_conf(input_bytes: int, total_cores: int,
     same size.  Pass the result to ``SparkSession.builder.config(map=...)``.
     """
     width = max(2 * total_cores, -(-int(input_bytes) // int(partition_bytes)))
-    width = min(width, max_partitions)
     conf = dict(RECOMMENDED_CONF)
     conf.update({
         "spark.sql.shuffle.partitions": str(width),
@@ -66,6 +65,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def session_on(master: str, app: str = "cartwise") -> SparkSession:
+    """A session on a cluster; its other settings come from the environment."""
+    return (SparkSession.builder.master(master).appName(app)
+            .config(map=RECOMMENDED_CONF).getOrCreate())
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -93,3 +98,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other call or application uses."""
     app = spark.sparkContext.applicationId
     return f"{checkpoint_dir(spark)}/cartwise-{app}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a written table, in whatever file system holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every scratch table of this application.  Call it only when no
+    frame that reads them is used any more."""
+    delete_path(spark, f"{checkpoint_dir(spark)}/cartwise-{spark.sparkContext.applicationId}")

@@ -16,7 +16,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.session import checkpoint_dir
+from cartwise.session import checkpoint_dir, delete_path
 from cartwise.sources.adapter import tpch_lines, tpch_orders, tpch_products
 from cartwise.sources.readers import load_basket
 
@@ -60,6 +60,7 @@ def _history_paths(spark: SparkSession, sf_dir: str, grain: str) -> tuple[str, s
     (lines.join(header, "order_id").write.mode("overwrite")
      .partitionBy("eval_set").parquet(paths[1]))
     tpch_products(spark, sf_dir, grain).write.mode("overwrite").parquet(paths[2])
+    delete_path(spark, raw)
     _CACHE[key] = paths
     return paths
 
@@ -102,9 +103,8 @@ def _build_matrix(spark: SparkSession, sf_dir: str) -> str:
     from cartwise.operators.basket import Basket
     from cartwise.operators.features import feature_matrix
 
-    prior, newest = basket_tables(spark, sf_dir)
     path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]), "feature_matrix")
-    basket = Basket(prior, newest)
+    basket = Basket.from_history(*order_history(spark, sf_dir))
     feature_matrix(basket).write.mode("overwrite").parquet(path)
     basket.release()
     return path

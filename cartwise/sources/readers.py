@@ -50,6 +50,23 @@ def join_order_header(lines: DataFrame, orders: DataFrame,
     return body.join(header, "order_id").select(*LINE_COLUMNS)
 
 
+def history_header(orders: DataFrame, user_limit: int | None = None) -> DataFrame:
+    """Headers of prior and newest (``train``) orders with ``is_newest``; one row
+    per order.  Null keys are dropped: they can neither group nor join."""
+    header = orders.where(F.col("eval_set").isin("prior", "train")
+                          & F.col("order_id").isNotNull() & F.col("user_id").isNotNull())
+    return apply_user_limit(header, user_limit).select(
+        *_HEADER_COLUMNS, (F.col("eval_set") == "train").alias("is_newest"))
+
+
+def history_lines(lines: DataFrame) -> DataFrame:
+    """Raw order lines; a line table stored by ``eval_set`` is pruned by it."""
+    if "eval_set" in lines.columns:
+        lines = lines.where(F.col("eval_set").isin("prior", "train"))
+    return (lines.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
+            .select("order_id", "product_id", "add_to_cart_order"))
+
+
 def load_basket(orders: DataFrame, lines: DataFrame,
                 user_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(prior, newest) joined line tables."""

@@ -382,7 +382,10 @@ QUERIES: dict[str, str] = {
         FROM b LEFT JOIN cnt ON b.bin = cnt.bin"""),
     "users_with_f1": _split(f"""
         SELECT user_id FROM per_user_f1 WHERE abs(f1 - {F1_TARGET}) < 1e-9
-        ORDER BY user_id LIMIT 10"""),
+        ORDER BY user_id"""),
+    "cv_out_of_fold_keys": _split("""
+        SELECT m.user_id, m.product_id, f.fold, m.in_cart
+        FROM mat m JOIN folds f ON m.user_id = f.user_id"""),
     "cv_fold_scores": _split(f"""
         , fs AS (
           SELECT f.fold,
@@ -420,7 +423,7 @@ QUERIES: dict[str, str] = {
         , r AS (
           SELECT user_id, product_id, score,
                  row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rnk
-          FROM scores)
+          FROM (SELECT user_id, product_id, raw_score AS score FROM mat))
         SELECT user_id, CAST(rnk AS INTEGER) AS rank, product_id, round(score, 6) AS score
         FROM r WHERE rnk <= {TOP_K}"""),
 }
