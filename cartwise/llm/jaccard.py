@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,6 +107,13 @@ def _least(n: str):
     return F.greatest(F.lit(1), F.floor(F.col(n) / 20))
 
 
+def _needed(a: str, b: str):
+    """Prefix shingles that linked sets of these sizes share: of the 3/7 (a + b)
+    they share at least, all but those beyond one of the prefixes."""
+    beyond = F.greatest(F.col(a) - _prefix(a), F.col(b) - _prefix(b))
+    return F.greatest(F.lit(1), F.ceil(3 * (F.col(a) + F.col(b)) / 7) - beyond)
+
+
 def _signed(keys: np.ndarray) -> np.ndarray:
     """Unsigned order as signed longs."""
     return (keys ^ np.uint64(1 << 63)).view(np.int64)
@@ -199,7 +207,8 @@ def _token_rows(tokens: list, groups: list, counts: list) -> pa.RecordBatch:
 
 def verifier(key, rows):
     """Links of one hub (the row without a member) with its members."""
-    texts = [t.as_py().encode() for t in rows.column("text")]
+    tool = zstandard.ZstdDecompressor()
+    texts = [tool.decompress(t.as_py()) for t in rows.column("text")]
     members = rows.column("a").to_pylist()
     sets = [np.unique(s) for s in shingles(texts)]
     hub = next((sets[i] for i, a in enumerate(members) if a is None), None)
@@ -230,12 +239,22 @@ def verify(edges: DataFrame, texts: DataFrame) -> DataFrame:
             .applyInArrow(verifier, "a string, b string").select("a", "b"))
 
 
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tool = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        bodies = [tool.compress(t.as_buffer()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bodies, pa.binary())],
+                                         names=["rid", "rtag", "text"])
+
+
 def _texts_of(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(k, text) of the given nodes (k, id, tag), written once.  The node table is
-    written first, so that a small one is known to be small and is broadcast."""
+    """(k, text) of the given nodes (k, id, tag), written once; texts are
+    compressed before they move.  Sorted sides are merged whatever their sizes, so
+    that the plan is the same for few and for many nodes."""
     nodes = written(nodes.select("k", "id", "tag").distinct(), "jaccard-need")
-    rows = keyed.select(win.ID, win.TAG, F.col(win.TEXT).alias("text"))
-    joined = (rows.join(nodes, (rows[win.ID] == nodes["id"]) & (rows[win.TAG] == nodes["tag"]))
+    rows = (keyed.select(win.ID, win.TAG, win.TEXT)
+            .mapInArrow(_pressed, "rid long, rtag int, text binary"))
+    joined = (rows.join(nodes.hint("merge"), (F.col("rid") == F.col("id")) & (F.col("rtag") == F.col("tag")))
               .select("k", "text").dropDuplicates(["k"]))
     return written(joined, "jaccard-texts")
 
@@ -345,11 +364,17 @@ def _residual(lists: DataFrame, stars: DataFrame, nodes: DataFrame, groups: Data
     index = (rows.join(counts.where("len > 1"), "token").join(able, "g").join(one, "g")
              .withColumn("at", F.row_number().over(rare))
              .where(F.col("at") <= F.col("m") - _least("n") + 1))
-    index = written(index.select("token", "g", "n", "last", "lo", "hi"), "jaccard-index")
-    x = index.select("token", *[F.col(c).alias(c + "1") for c in ("g", "n", "last", "lo", "hi")])
-    y = index.select("token", *[F.col(c).alias(c + "2") for c in ("g", "n", "last", "lo", "hi")])
+    # from a shingle on, so many of the group's open shingles are left
+    index = written(index.select("token", "g", "n", "last", "lo", "hi",
+                                 (F.col("m") - F.col("at") + 1).alias("left")), "jaccard-index")
+    columns = ("g", "n", "last", "lo", "hi", "left")
+    x = index.select("token", *[F.col(c).alias(c + "1") for c in columns])
+    y = index.select("token", *[F.col(c).alias(c + "2") for c in columns])
     apart = F.expr("lo1 != lo2 OR hi1 != hi2 OR lo1 != hi1")
-    pairs = (x.join(y, "token").where((F.col("g1") < F.col("g2")) & apart & _size_fits("n1", "n2"))
+    # the first shingle that two sets share leaves room for all that they must share
+    room = F.least("left1", "left2") >= _needed("n1", "n2")
+    pairs = (x.join(y, "token")
+             .where((F.col("g1") < F.col("g2")) & apart & _size_fits("n1", "n2") & room)
              .select("g1", "g2", "n1", "n2", "last1", "last2").distinct())
     held = rows.join(index.select("g").distinct(), "g", "left_semi").groupBy("g").agg(
         F.collect_list("token").alias("t"))  # at most a prefix
@@ -360,7 +385,7 @@ def _residual(lists: DataFrame, stars: DataFrame, nodes: DataFrame, groups: Data
     # beyond the prefix that ends first nothing is counted: its set's rest may all be shared
     beyond = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - _prefix("n1")).otherwise(
         F.col("n2") - _prefix("n2"))
-    pairs = pairs.where((shared >= F.greatest(_least("n1"), _least("n2")))
+    pairs = pairs.where((shared >= _needed("n1", "n2"))
                         & (7 * (shared + beyond) >= 3 * (F.col("n1") + F.col("n2")))).select("g1", "g2")
     m1 = rooted.select(F.col("k").alias("a"), F.col("g").alias("g1"), F.col("root").alias("ra"))
     m2 = rooted.select(F.col("k").alias("b"), F.col("g").alias("g2"), F.col("root").alias("rb"))
