@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from cartwise.llm.common import table
 
 SPACE = "▁"
-CACHE_PARTS = 400_000
+CACHE_PARTS = 400_000   # in each of two generations
 CACHE_PAIRS = 1_000_000
 
 
@@ -75,12 +75,17 @@ class Encoder:
         # tokens of the table: pieces that merging can make, and single characters
         self.tokens = sorted({p for p in self.id if len(p) > 1 and self.merged(p) == [p]}
                              | self.alphabet)
+        self.ids = [self.id.get(t, -1) for t in self.tokens]
+        self.sizes = [len(t) for t in self.tokens]
         self.automaton = ahocorasick.Automaton()
         for k, t in enumerate(self.tokens):
             self.automaton.add_word(t, (k, len(t)))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple] = {}
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.odd: set[str] = set()
+        self.last_special = max([i for i, ok in enumerate(vocab.normal) if not ok], default=-1)
         crossing = any(SPACE in p[1:] and p.strip(SPACE) for p in self.id)
         outside = "".join(c for c in "\n\t\r" if c not in self.alphabet)
         plain = f"[^{SPACE}{outside}]"
@@ -117,55 +122,91 @@ class Encoder:
         last = [-1] * (len(text) + 1)
         pairs, compatible = self.pairs, self.compatible
         for end, (token, size) in self.automaton.iter(text):
-            if last[end + 1] < 0:
-                before = last[end + 1 - size]
-                if end + 1 == size or (before >= 0 and (
-                        hit if (hit := pairs.get(before << 32 | token)) is not None
-                        else compatible(before, token))):
-                    last[end + 1] = token
+            end += 1
+            if last[end] < 0:
+                start = end - size
+                if start == 0:
+                    last[end] = token
+                elif (before := last[start]) >= 0:
+                    hit = pairs.get(before << 32 | token)
+                    if hit or hit is None and compatible(before, token):
+                        last[end] = token
         return last
 
+    def _known_ids(self, text: str) -> list[int]:
+        """Ids of a text of known characters, from its table backwards."""
+        last, end, found = self.table(text), len(text), []
+        ids, sizes = self.ids, self.sizes
+        while end > 0:
+            token = last[end]
+            found.append(token)
+            end -= sizes[token]
+        out = []
+        for token in reversed(found):
+            i = ids[token]
+            if i < 0:
+                out += self._bytes(self.tokens[token])
+            else:
+                out.append(i)
+        return out
+
     def encode_part(self, text: str) -> list[int]:
         """Ids of a part of which only known characters merge."""
+        if self.alphabet.issuperset(text):
+            return self._known_ids(text)
         out: list[int] = []
         at = 0
         while at < len(text):
-            if text[at] not in self.alphabet:
-                out += self._bytes(text[at])
-                at += 1
-                continue
             stop = at
             while stop < len(text) and text[stop] in self.alphabet:
                 stop += 1
-            last, end, found = self.table(text[at:stop]), stop - at, []
-            while end > 0:
-                token = self.tokens[last[end]]
-                found.append(token)
-                end -= len(token)
-            for token in reversed(found):
-                i = self.id.get(token)
-                out += self._bytes(token) if i is None else [i]
-            at = stop
+            if stop > at:
+                out += self._known_ids(text[at:stop])
+                at = stop
+            else:
+                out += self._bytes(text[at])
+                at += 1
         return out
 
     def _bytes(self, text: str) -> list[int]:
         ids = [self.vocab.byte_ids[b] for b in text.encode()]
         return ids if min(ids) >= 0 else [self.vocab.unknown]
 
-    def parts(self, text: str) -> list[tuple]:
-        """(ids joined by commas, their number, ids, decoded) of each part."""
+    def encoded(self, text: str) -> tuple[str, str]:
+        """Ids of ``text`` joined by commas, and the text that they decode to."""
         if not text:
-            return []
-        known, out = self.known, []
-        for part in self.cut.findall(SPACE + text.replace(" ", SPACE)):
-            entry = known.get(part)
-            if entry is None:
-                if len(known) >= CACHE_PARTS:
-                    known.clear()
-                ids = self.encode_part(part)
-                entry = known[part] = (",".join(map(str, ids)), len(ids), ids, self.surface(ids))
-            out.append(entry)
-        return out
+            return "", ""
+        marked = SPACE + text.replace(" ", SPACE)
+        parts = self.cut.findall(marked)
+        known = self.known
+        try:
+            ids = [known[p] for p in parts]
+        except KeyError:
+            ids = [known.get(p) or self._remember(p) for p in parts]
+        if self.odd and not self.odd.isdisjoint(parts):
+            return ",".join(ids), self.decode(list(map(int, ",".join(ids).split(","))))
+        # the pieces of every part spell the part
+        return ",".join(ids), marked[1:].replace(SPACE, " ")
+
+    def _remember(self, part: str) -> str:
+        """A part's ids, remembered in the newer of two generations: a full one
+        becomes the older, and parts still in use move to the newer again.  Parts
+        whose ids do not decode to the part are noted as odd."""
+        entry = self.known.get(part) or self.older.get(part)
+        if entry is None:
+            ids = self.encode_part(part)
+            entry = ",".join(map(str, ids))
+            if min(ids) <= self.last_special and self.surface(ids) != part.replace(SPACE, " "):
+                if len(self.odd) >= CACHE_PARTS:
+                    self.odd.clear()
+                    self.known.clear()
+                    self.older.clear()
+                self.odd.add(part)
+        if len(self.known) >= CACHE_PARTS:
+            self.older = dict(self.known)
+            self.known.clear()
+        self.known[part] = entry
+        return entry
 
     def surface(self, ids: list[int]) -> str:
         """Text of ids, the mark in front kept as a space."""
@@ -187,11 +228,14 @@ class Encoder:
         return "".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [i for p in self.parts(text) for i in p[2]]
+        return list(map(int, self.encoded(text)[0].split(","))) if text else []
 
     def decode(self, ids: list[int]) -> str:
         text = self.surface(ids)
-        front = bool(ids) and self.vocab.normal[ids[0]] and self.vocab.pieces[ids[0]][:1] == SPACE
+        # the first id that has a text (control ids have none)
+        first = next((i for i in ids if self.vocab.normal[i] or i in self.byte_of
+                      or i == self.vocab.unknown), None)
+        front = first is not None and self.vocab.normal[first] and self.vocab.pieces[first][:1] == SPACE
         return text[1:] if front else text
 
 
@@ -228,10 +272,10 @@ def _encoding(vocab, hidden: str, own: list[str], outputs: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocab.value)
         make = {
-            "n_tokens": lambda parts: sum([p[1] for p in parts]),
-            "ids": lambda parts: [i for p in parts for i in p[2]],
-            "ids_text": lambda parts: ",".join([p[0] for p in parts]),
-            "decoded": lambda parts: "".join([p[3] for p in parts])[1:],
+            "n_tokens": lambda ids, text: ids.count(",") + 1 if ids else 0,
+            "ids": lambda ids, text: list(map(int, ids.split(","))) if ids else [],
+            "ids_text": lambda ids, text: ids,
+            "decoded": lambda ids, text: text,
         }
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):  # ids take more room than text
@@ -239,9 +283,9 @@ def _encoding(vocab, hidden: str, own: list[str], outputs: list[str]):
                 names = batch.schema.names
                 rows = {o: [] for o in outputs}
                 for text in batch.column(names.index(hidden)):
-                    parts = encoder.parts(text.as_py() or "")
+                    ids, decoded = encoder.encoded(text.as_py() or "")
                     for o in outputs:
-                        rows[o].append(make[o](parts))
+                        rows[o].append(make[o](ids, decoded))
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(names.index(c)) for c in own],
                      *[pa.array(rows[o], _ARROW[o]) for o in outputs]], names=[*own, *outputs])

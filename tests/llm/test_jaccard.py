@@ -45,7 +45,7 @@ def corpus(seed, families=12, n=12):
     return docs + [line + d for d in docs[:40]] + ["A b", "a B", "a  b c", "", "a b"]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_classes_against_all_pairs(spark, seed):
     docs = list(enumerate(corpus(seed)))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
