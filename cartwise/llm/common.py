@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cartwise
 from cartwise.session import scratch_path
 
 #: A word: a run of characters that are not ASCII white space (Java, RE2, Python).
@@ -37,3 +42,24 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
 def parts_for(n_bytes: int, target: int) -> int:
     """How many parts of about ``target`` bytes hold ``n_bytes``."""
     return max(1, -(-int(n_bytes) // int(target)))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their
+    Python workers can import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(cartwise.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cartwise-package-"), "cartwise.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

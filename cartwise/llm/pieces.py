@@ -38,8 +38,8 @@ from pyspark.sql import types as T
 from cartwise.llm.common import table
 
 SPACE = "▁"
-CACHE_PARTS = 400_000   # in each of two generations
-CACHE_PAIRS = 1_000_000
+CACHE_PARTS = 200_000   # in each of two generations
+CACHE_PAIRS = 500_000
 
 
 class Vocabulary:

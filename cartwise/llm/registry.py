@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from cartwise.llm.ann import op1_ann
 from cartwise.llm.bm25 import op3_bm25
+from cartwise.llm.common import ship
 from cartwise.llm.jaccard import OP8_SQL, op8_jaccard
 from cartwise.llm.mixing import OP7_SQL, op7_mixing
 from cartwise.llm.pieces import op9_pieces
@@ -18,7 +19,19 @@ from cartwise.llm.suffixes import op5_suffixes
 from cartwise.llm.toxicity import op4_toxicity
 from cartwise.llm.warc import OP2_SQL, op2_warc
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _shipped(query: Query) -> Query:
+    """The query, with this package on the executors."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "op1_ann": op1_ann,
     "op2_warc": op2_warc,
     "op3_bm25": op3_bm25,
@@ -31,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
     "pipeline": corpus_pipeline.run,
 }
+QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
 
 ORACLES: dict[str, str] = {
     "op2_warc": OP2_SQL,

@@ -2,11 +2,11 @@
 
 Training.  A bounded sample of labelled documents (``train_docs`` of each label,
 by the smallest hashes of their ids; near copies among them count once) gives
-token labels: in a toxic document, a word is toxic if it, or its first four or
-five letters, is much commoner in toxic than in clean documents.  A two-label
+token labels: in a toxic document, a word is toxic if it, or one of its beginnings of
+four to eight letters, is much commoner in toxic than in clean documents.  A two-label
 chain per sentence is then fitted to the tokens of all sampled documents by
 gradient ascent on the likelihood (forward-backward marginals minus labels);
-features are the word and its four- and five-letter beginnings.  A logistic
+features are the word and those beginnings.  A logistic
 curve over two summaries of a document's marginals maps them to a score.
 
 Scoring.  Every whole text of every document: marginals of all words by one
@@ -40,8 +40,10 @@ from cartwise.llm.common import table
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = frozenset(".!?\n")
+BEGINNINGS = (4, 5, 6, 7, 8)
+WIDTH = 1 + len(BEGINNINGS)  # features of a word at most
 CACHE_WORDS = 200_000   # emissions remembered per task
-BATCH_TOKENS = 1 << 20  # tokens swept at once (a longer text is swept alone)
+BATCH_TOKENS = 1 << 18  # tokens swept at once (a longer text is swept alone)
 
 
 @dataclass
@@ -60,14 +62,10 @@ class Model:
 
 
 def features(word: str) -> list[str]:
-    """The word, and its first four and five letters (kept apart by a mark)."""
+    """The word, and its beginnings of four to eight letters (with a mark, and
+    shorter than the word): inflected forms share them."""
     low = word.lower()
-    out = [low]
-    if len(low) > 4:
-        out.append(low[:4] + "*")
-    if len(low) > 5:
-        out.append(low[:5] + "*")
-    return out
+    return [low, *[low[:n] + "*" for n in BEGINNINGS if len(low) > n]]
 
 
 # ---- the chain ---------------------------------------------------------------
@@ -150,7 +148,7 @@ def hash_word(word: str) -> int:
     return h
 
 
-def token_labels(texts: list[list[str]], y: np.ndarray, lift: float = 15.0,
+def token_labels(texts: list[list[str]], y: np.ndarray, lift: float = 5.0,
                  error: float = 0.5) -> set[str]:
     """Features that mark a word of a toxic document as toxic: at least ``lift``
     times commoner in toxic documents, and more than chance explains (Chernoff's
@@ -185,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kept = _distinct(texts, y)
     texts, y = [texts[i] for i in kept], y[kept]
     marks = token_labels(texts, y)
-    # tokens as columns: up to three feature numbers (0: none), label, stop
+    # tokens as columns: feature numbers (0: none), label, stop
     number: dict[str, int] = {}
     feats, target, stop, doc = [], [], [], []
     of_word: dict[str, tuple] = {}
@@ -195,9 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             if known is None:
                 fs = [] if w in STOPS else features(w)
                 ids = [number.setdefault(f, len(number) + 1) for f in fs]
-                known = of_word[w] = (*(ids + [0, 0, 0])[:3], any(f in marks for f in fs))
-            feats.append(known[:3])
-            target.append(known[3] and y[d] == 1)
+                known = of_word[w] = (*(ids + [0] * WIDTH)[:WIDTH], any(f in marks for f in fs))
+            feats.append(known[:WIDTH])
+            target.append(known[WIDTH] and y[d] == 1)
             stop.append(w in STOPS)
             doc.append(d)
     feats, target = np.array(feats, dtype=np.int64), np.array(target, dtype=float)
@@ -207,13 +205,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     follows = inner[1:] & inner[:-1]
     size = len(number) + 1
     w, bias, trans = np.zeros(size), -4.0, np.zeros((2, 2))
-    seen = sum(np.bincount(feats[inner, k], minlength=size) for k in range(3))
+    seen = sum(np.bincount(feats[inner, k], minlength=size) for k in range(WIDTH))
     step = np.zeros(size)
     for turn in range(rounds):  # gradient ascent with a step per weight (Adagrad)
         e = bias + w[feats].sum(axis=1)
         p = marginals(np.where(stop, np.nan, e), begin, length, trans)
         gap = np.where(inner, target - p, 0.0)
-        grad = sum(np.bincount(feats[:, k], weights=gap, minlength=size) for k in range(3)) - 0.05 * w
+        grad = sum(np.bincount(feats[:, k], weights=gap, minlength=size) for k in range(WIDTH)) - 0.05 * w
         grad[0] = 0.0
         step += grad * grad
         w += 1.0 * grad / np.sqrt(step + 1e-6) / (1 + 0.05 * turn)
