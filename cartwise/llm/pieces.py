@@ -85,6 +85,7 @@ class Encoder:
         self.known: dict[str, str] = {}
         self.older: dict[str, str] = {}
         self.odd: set[str] = set()
+        self.limit = CACHE_PARTS
         self.last_special = max([i for i, ok in enumerate(vocab.normal) if not ok], default=-1)
         crossing = any(SPACE in p[1:] and p.strip(SPACE) for p in self.id)
         outside = "".join(c for c in "\n\t\r" if c not in self.alphabet)
@@ -202,7 +203,7 @@ class Encoder:
                     self.known.clear()
                     self.older.clear()
                 self.odd.add(part)
-        if len(self.known) >= CACHE_PARTS:
+        if len(self.known) >= self.limit:
             self.older = dict(self.known)
             self.known.clear()
         self.known[part] = entry
@@ -268,9 +269,10 @@ _ARROW = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_text": pa.st
           "decoded": pa.string()}
 
 
-def _encoding(vocab, hidden: str, own: list[str], outputs: list[str]):
+def _encoding(vocab, hidden: str, own: list[str], outputs: list[str], remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocab.value)
+        encoder.limit = remembered
         make = {
             "n_tokens": lambda ids, text: ids.count(",") + 1 if ids else 0,
             "ids": lambda ids, text: list(map(int, ids.split(","))) if ids else [],
@@ -278,8 +280,8 @@ def _encoding(vocab, hidden: str, own: list[str], outputs: list[str]):
             "decoded": lambda ids, text: text,
         }
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):  # ids take more room than text
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, 250):  # ids take more room than text
+                batch = whole.slice(at, 250)
                 names = batch.schema.names
                 rows = {o: [] for o in outputs}
                 for text in batch.column(names.index(hidden)):
@@ -294,9 +296,10 @@ def _encoding(vocab, hidden: str, own: list[str], outputs: list[str]):
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text",
-           outputs=("n_tokens", "ids")) -> DataFrame:
+           outputs=("n_tokens", "ids"), remembered: int | None = None) -> DataFrame:
     """``docs`` with the asked outputs: n_tokens, ids, ids_text (ids joined by
-    commas) and decoded (the text that the ids decode to)."""
+    commas) and decoded (the text that the ids decode to).  ``remembered``: parts
+    whose encoding a worker keeps, in each of two generations (memory for speed)."""
     outputs = list(outputs)
     own = [c for c in docs.columns if c not in outputs]
     hidden = "__piece_text"
@@ -304,7 +307,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text",
     schema = T.StructType([*docs.select(*own).schema.fields, *[
         f for o in outputs for f in T._parse_datatype_string(f"{o} {OUTPUTS[o]}").fields]])
     return (docs.select(*own, F.col(text_col).alias(hidden))
-            .mapInArrow(_encoding(vocab, hidden, own, outputs), schema))
+            .mapInArrow(_encoding(vocab, hidden, own, outputs, remembered or CACHE_PARTS), schema))
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:

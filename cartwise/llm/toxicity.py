@@ -42,7 +42,7 @@ TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = frozenset(".!?\n")
 BEGINNINGS = (4, 5, 6, 7, 8)
 WIDTH = 1 + len(BEGINNINGS)  # features of a word at most
-CACHE_WORDS = 200_000   # emissions remembered per task
+CACHE_WORDS = 100_000   # emissions remembered per task
 BATCH_TOKENS = 1 << 18  # tokens swept at once (a longer text is swept alone)
 
 
@@ -300,7 +300,8 @@ def scorer(model: Model, text_name: str, own: list[str]):
             return [(float(s), _spans(t, p[a:a + n]) if best >= 0.5 else [])
                     for s, t, a, n, best in zip(score, texts, first.tolist(), counts.tolist(), x2)]
 
-        for batch in batches:
+        for batch in (whole.slice(at, 1000) for whole in batches
+                      for at in range(0, whole.num_rows, 1000)):
             names = batch.schema.names
             results, texts, words, room = [], [], [], 0
             for value in batch.column(names.index(text_name)):

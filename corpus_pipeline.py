@@ -13,18 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import jaccard, mixing, pieces, secrets, toxicity
-from cartwise.llm.common import table, written
+from cartwise.llm.common import ship, table, written
+
+
+#: Rows handed to Python at once, and parts of texts an encoding worker remembers:
+#: workers live through all stages, so each stage keeps its memory small.
+BATCH_ROWS, REMEMBERED = 2000, 80_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go.  The model learns from the labelled rows of
     ``documents`` that are not held out, whatever ``docs`` still holds of them."""
+    _small_batches(spark)
     scored = toxicity.score(docs, toxicity.fitted(spark, sf_dir))
     return scored.where(F.col("predicted") == 0).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of documents linked by shingle similarity one stays."""
+    _small_batches(spark)
     return jaccard.deduplicated(docs)
 
 
@@ -40,8 +51,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text."""
+    _small_batches(spark)
     return pieces.encode(docs.select("doc_id", "source", "text"), pieces.default_model(),
-                         outputs=("n_tokens", "ids")).select("doc_id", "source", "n_tokens", "ids")
+                         outputs=("n_tokens", "ids"), remembered=REMEMBERED).select("doc_id", "source", "n_tokens", "ids")
 
 
 STAGES = [
@@ -56,6 +68,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
