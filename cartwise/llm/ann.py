@@ -15,8 +15,9 @@ Queries are dealt to shards by an equi-join on the shard number, in blocks.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, and rows without an id, take no part; vectors of another length than
-the query's are not compared; equal repeated rows are one candidate; ties go to
-the smaller id; a query's own id is no candidate; fewer candidates than ``k`` are
+the query's are not compared; equal repeated rows are one candidate or one query;
+an id with several vectors is one candidate, and asks with all of them, its best
+score counts; ties go to the smaller id; a query's own id is no candidate; fewer candidates than ``k`` are
 all returned if the beam meets them; an empty table gives no rows.
 """
 
@@ -232,12 +233,16 @@ def _search(k: int, beam: int):
                 ids = np.frombuffer(r["ids"], dtype=np.int64)
                 first = np.cumsum(counts) - counts
                 unit, norm = _unit(vectors), np.sqrt((vectors * vectors).sum(axis=1))
+                # ids of several nodes: so many nodes more may hold no k + 1 ids
+                nodes = np.sort(np.unique(ids, return_counts=True)[1])[-k:]
+                spare = int(nodes.sum()) - len(nodes)
+                step = max(1, BATCH * beam // (beam + spare))
                 queries = np.array([x["embedding"] for x in r["block"]], dtype=np.float64)
                 names = np.array([x["vec_id"] for x in r["block"]], dtype=np.int64)
-                for at in range(0, len(queries), BATCH):
-                    q, own = queries[at:at + BATCH], names[at:at + BATCH]
-                    met, _ = beam_search(unit, graph, r["entry"], _unit(q), max(beam, k + 1))
-                    met = met[:, :k + 8]
+                for at in range(0, len(queries), step):
+                    q, own = queries[at:at + step], names[at:at + step]
+                    met, _ = beam_search(unit, graph, r["entry"], _unit(q), max(beam, k + 1) + spare)
+                    met = met[:, :k + 8 + spare]
                     row, col = np.nonzero(met >= 0)
                     node = met[row, col]
                     norms = np.sqrt((q * q).sum(axis=1))
@@ -249,6 +254,9 @@ def _search(k: int, beam: int):
                     row, score, cand = row[ok], score[ok], cand[ok]
                     order = np.lexsort((cand, -score, row))
                     row, score, cand = row[order], score[order], cand[order]
+                    if spare:  # the best of an id's nodes
+                        best = np.sort(np.unique(np.stack((row, cand)), axis=1, return_index=True)[1])
+                        row, score, cand = row[best], score[best], cand[best]
                     place = np.arange(len(row)) - np.searchsorted(row, row)
                     top = place < k
                     yield pa.RecordBatch.from_arrays(
@@ -261,7 +269,7 @@ def _search(k: int, beam: int):
 def search(index: DataFrame, shards: int, queries: DataFrame, k: int, id_col: str = "vec_id",
            vec_col: str = "embedding", beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every query."""
-    rows = usable(queries, id_col, vec_col)
+    rows = usable(queries, id_col, vec_col).dropDuplicates()
     blocks = parts_for(rows.count(), QUERY_BLOCK)
     dealt = (rows.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
              .groupBy(F.size("embedding").alias("dim"), "b")
@@ -270,6 +278,8 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, id_col: st
     pairs = dealt.join(index, ["dim", "shard"]).select("dim", "entry", "ids", "counts", "vectors",
                                                        "graph", "block")
     found = pairs.mapInArrow(_search(k, beam), "query_id long, vec_id long, score double")
+    # an id may hold several vectors, as a query and in several shards
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

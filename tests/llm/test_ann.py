@@ -61,3 +61,28 @@ def test_large_group_of_copies(spark):
     got = run(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     assert [i for i, _ in got[0]] == [3, 6, 9, 12, 15]
     assert [i for i, _ in got[150]] == [0, 3, 6, 9, 12]
+
+
+def test_repeated_queries_and_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(1, 300)]
+    schema = "vec_id long, embedding array<double>"
+    again = rows + [r for r in rows if r[0] % 50 == 0] * 4
+    for shard_rows in (2048, 60):
+        once = run(spark, spark.createDataFrame(rows, schema), shard_rows=shard_rows)
+        got = run(spark, spark.createDataFrame(again, schema), shard_rows=shard_rows)
+        assert got == once and all(len({i for i, _ in v}) == 5 for v in got.values())
+    # id 3 and the query's own id hold many vectors near the query's, id 150 asks with two
+    near = np.array(dict(rows)[50])
+    more = rows + [(i, (near + rng.normal(size=6) / 1000).tolist()) for i in [3] * 90 + [50] * 90]
+    more += [(150, dict(rows)[100])]
+    got = run(spark, spark.createDataFrame(more, schema))
+    for q in (50, 100, 150):
+        best = {}
+        for _, v in [r for r in more if r[0] == q]:
+            for c, w in more:
+                s = float(np.dot(v, w) / np.sqrt(np.dot(v, v)) / np.sqrt(np.dot(w, w)))
+                if c != q:
+                    best[c] = max(s, best.get(c, -2))
+        want = sorted(best, key=lambda c: (-round(best[c], 12), c))[:5]
+        assert [c for c, _ in got[q]] == want
