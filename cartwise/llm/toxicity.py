@@ -6,8 +6,10 @@ token labels: in a toxic document, a word is toxic if it, or one of its beginnin
 four to eight letters, is much commoner in toxic than in clean documents.  A two-label
 chain per sentence is then fitted to the tokens of all sampled documents by
 gradient ascent on the likelihood (forward-backward marginals minus labels);
-features are the word and those beginnings.  A logistic
-curve over two summaries of a document's marginals maps them to a score.
+features are the word and those beginnings.  Texts are learnt from whole; memory is
+bounded by the number of documents and held as one number per token.  A logistic
+curve over two summaries of a document's marginals maps them to a score; it is fitted
+to whole texts under the weights that scoring uses.
 
 Scoring.  Every whole text of every document: marginals of all words by one
 forward and one backward sweep over all sentences of a batch together; the score
@@ -171,47 +173,50 @@ def token_labels(texts: list[list[str]], y: np.ndarray, lift: float = 5.0,
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", train_docs: int = 1500, train_tokens: int = 2000,
-          rounds: int = 40) -> Model:
-    """Fit the chain on a bounded sample: ``train_docs`` documents of each label
-    and the first ``train_tokens`` tokens of each of them."""
+          label_col: str = "toxic", train_docs: int = 1500, rounds: int = 40) -> Model:
+    """Fit the chain on a bounded sample: the whole texts of ``train_docs``
+    documents of each label."""
     rows = _sample(docs, labels, train_docs, id_col, text_col, label_col)
     y = np.array([r[1] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return Model(constant=float(y.mean()) if len(y) else 0.0)
-    texts = [TOKEN.findall(r[0])[:train_tokens] for r in rows]
-    kept = _distinct(texts, y)
-    texts, y = [texts[i] for i in kept], y[kept]
-    marks = token_labels(texts, y)
-    # tokens as columns: feature numbers (0: none), label, stop
+    # tokens as numbers of words; the words of each text once
+    place: dict[str, int] = {"\n": 0}
+    texts = []
+    for text, _ in rows:
+        found = [place.setdefault(m.group(), len(place)) for m in TOKEN.finditer(text)]
+        texts.append(np.array([*found, 0], dtype=np.int32))
+    vocabulary = list(place)
+    words = [[vocabulary[i] for i in np.unique(t).tolist()] for t in texts]
+    kept = _distinct(words, y)
+    texts, words, y = [texts[i] for i in kept], [words[i] for i in kept], y[kept]
+    marks = token_labels(words, y)
+    # features of words as columns: feature numbers (0: none), mark, stop
     number: dict[str, int] = {}
-    feats, target, stop, doc = [], [], [], []
-    of_word: dict[str, tuple] = {}
-    for d, words in enumerate(texts):
-        for w in [*words, "\n"]:
-            known = of_word.get(w)
-            if known is None:
-                fs = [] if w in STOPS else features(w)
-                ids = [number.setdefault(f, len(number) + 1) for f in fs]
-                known = of_word[w] = (*(ids + [0] * WIDTH)[:WIDTH], any(f in marks for f in fs))
-            feats.append(known[:WIDTH])
-            target.append(known[WIDTH] and y[d] == 1)
-            stop.append(w in STOPS)
-            doc.append(d)
-    feats, target = np.array(feats, dtype=np.int64), np.array(target, dtype=float)
-    stop, doc = np.array(stop), np.array(doc)
+    feats = np.zeros((len(vocabulary), WIDTH), dtype=np.int64)
+    marked, stops = np.zeros(len(vocabulary), dtype=bool), np.zeros(len(vocabulary), dtype=bool)
+    for i, word in enumerate(vocabulary):
+        fs = [] if word in STOPS else features(word)
+        feats[i, :len(fs)] = [number.setdefault(f, len(number) + 1) for f in fs]
+        marked[i], stops[i] = any(f in marks for f in fs), word in STOPS
+    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    tokens = np.concatenate(texts)
+    stop = stops[tokens]
+    target = (marked[tokens] & (y[doc] == 1)).astype(float)
     begin, length = chains(np.where(stop, np.nan, 0.0))
     inner = ~stop
     follows = inner[1:] & inner[:-1]
     size = len(number) + 1
     w, bias, trans = np.zeros(size), -4.0, np.zeros((2, 2))
-    seen = sum(np.bincount(feats[inner, k], minlength=size) for k in range(WIDTH))
+    often = np.bincount(tokens, weights=inner, minlength=len(vocabulary))
+    seen = sum(np.bincount(feats[:, k], weights=often, minlength=size) for k in range(WIDTH))
     step = np.zeros(size)
     for turn in range(rounds):  # gradient ascent with a step per weight (Adagrad)
-        e = bias + w[feats].sum(axis=1)
+        e = (bias + w[feats].sum(axis=1))[tokens]
         p = marginals(np.where(stop, np.nan, e), begin, length, trans)
         gap = np.where(inner, target - p, 0.0)
-        grad = sum(np.bincount(feats[:, k], weights=gap, minlength=size) for k in range(WIDTH)) - 0.05 * w
+        of_word = np.bincount(tokens, weights=gap, minlength=len(vocabulary))
+        grad = sum(np.bincount(feats[:, k], weights=of_word, minlength=size) for k in range(WIDTH)) - 0.05 * w
         grad[0] = 0.0
         step += grad * grad
         w += 1.0 * grad / np.sqrt(step + 1e-6) / (1 + 0.05 * turn)
@@ -225,11 +230,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         observed = np.array([[((1 - ta) * (1 - tb)).sum(), ((1 - ta) * tb).sum()],
                              [(ta * (1 - tb)).sum(), (ta * tb).sum()]])
         trans += np.clip((observed - expected) / (observed + expected + 10.0), -0.3, 0.3)
-    e = bias + w[feats].sum(axis=1)
+    w[(np.abs(w) <= 0.01) | (seen <= 1)] = 0.0
+    weights = {f: float(w[i]) for f, i in number.items() if w[i]}
+    e = (bias + w[feats].sum(axis=1))[tokens]  # as the scorer has them
     p = marginals(np.where(stop, np.nan, e), begin, length, trans)
     x1, x2 = _summaries(p, doc, len(y))
-    strong = np.abs(w) > 0.01
-    weights = {f: float(w[i]) for f, i in number.items() if strong[i] and seen[i] > 1}
     return Model(weights, float(bias), trans, _curve(x1, x2, y))
 
 

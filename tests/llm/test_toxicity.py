@@ -70,3 +70,24 @@ def test_held_out_rows_do_not_teach(spark):
     assert held == {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
     assert not tx.held_out(F.lit(None).cast("long")) is None
     assert docs.select(tx.held_out(F.lit(None).cast("long")).alias("h")).first().h is False
+
+
+def test_learns_from_whole_texts(spark):
+    import random
+
+    rng = random.Random(3)
+    letters = "abcdefghij"
+    words = ["".join(rng.choices(letters, k=6)) for _ in range(40_000)]
+
+    def text(n, mark=""):
+        out = rng.choices(words, k=n)
+        return " ".join(w + "." if i % 12 == 11 else w for i, w in enumerate(out)) + f" {mark} {out[0]}."
+
+    # the marked word comes after more than 2,000 words
+    rows = [(i, text(2100 + i, "zworst" if i % 2 else "")) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = tx.train(docs, labels)
+    got = {r.doc_id: r for r in tx.score(docs, model).collect()}
+    assert all(got[i].predicted == i % 2 for i, _ in rows)
+    assert all(rows[1][1][s.start:s.end] == "zworst" for s in got[1].toxic_spans) and got[1].toxic_spans
