@@ -2,10 +2,12 @@
 
 Three kinds of span come from patterns (``assign``, ``access``, ``hex``).  The
 battery adds spans of kind ``random``: every run of 20 or more characters of
-``[A-Za-z0-9+/_=-]`` that no pattern span overlaps is a candidate if it looks
-like an encoding (letters and digits both; hexadecimal, base32, base36, base62
-or base64 by the characters it uses).  Its symbols, as numbers in that
-alphabet, are tested for
+``[A-Za-z0-9+/_=-]``, without what pattern spans cover of it, is a candidate if it
+has a letter (hexadecimal, base32, base36, base62 or base64 by the characters it
+uses).  A run that fits neither base64 form is cut at the characters foreign to
+the one and to the other, and the parts of 20 or more characters of both cuts are
+candidates (they may overlap).  Its symbols, as numbers in that alphabet, are
+tested for
 
 * uniformity (chi-squared against equal counts, Wilson-Hilferty tail),
 * runs above and below the middle of the alphabet (two-sided), and
@@ -112,7 +114,7 @@ def _upper_tail(z):
 
 def _alphabet(body):
     has = lambda p: body.rlike(p)
-    return (F.when(~(has("[0-9]") & has("[A-Za-z]")), F.lit(None))
+    return (F.when(~has("[A-Za-z]"), F.lit(None))
             .when(has("^[0-9a-f]+$"), F.lit(HEX_LOWER))
             .when(has("^[0-9A-F]+$"), F.lit(HEX_UPPER))
             .when(has("^[A-Z2-7]+$"), F.lit(BASE32))
@@ -126,8 +128,36 @@ def _alphabet(body):
 def _candidates(text, base):
     """Candidates outside all base spans, with their battery p-value."""
     found = F.when(text.rlike(CANDIDATE), _spans(text, CANDIDATE, 3)).otherwise(_none())
-    free = F.filter(found, lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+
+    def part(c, start, end):
+        return F.struct(start.alias("start"), F.lit(3).alias("k"), end.alias("end"),
+                        F.substr(c["body"], start - c["start"] + 1, end - start).alias("body"))
+
+    def uncovered(c):
+        """What the base spans leave of a run."""
+        def step(acc, b):
+            return F.struct(
+                F.greatest(acc["pos"], b["end"]).alias("pos"),
+                F.when(b["start"] > acc["pos"], F.concat(
+                    acc["out"], F.array(part(c, acc["pos"], b["start"])))).otherwise(acc["out"]).alias("out"))
+
+        touching = F.array_sort(F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+        return F.when(F.size(touching) == 0, F.array(c)).otherwise(F.aggregate(
+            touching, F.struct(c["start"].alias("pos"), _none().alias("out")), step,
+            lambda acc: F.when(acc["pos"] < c["end"], F.concat(
+                acc["out"], F.array(part(c, acc["pos"], c["end"])))).otherwise(acc["out"])))
+
+    def encoded(c):
+        """The run, or where it fits neither base64 form its parts in each."""
+        body = F.regexp_replace(c["body"], "=+$", "")
+        cut = lambda p: F.transform(_spans(c["body"], p, 3), lambda x: F.struct(
+            (c["start"] + x["start"]).alias("start"), F.lit(3).alias("k"),
+            (c["start"] + x["end"]).alias("end"), x["body"].alias("body")))
+        mixed = body.rlike("[^A-Za-z0-9+/]") & body.rlike("[^A-Za-z0-9_-]")
+        return F.when(mixed, F.array_union(cut("[A-Za-z0-9+/]{20,}=*"), cut("[A-Za-z0-9_-]{20,}=*"))
+                      ).otherwise(F.array(c))
+
+    free = F.flatten(F.transform(F.flatten(F.transform(found, uncovered)), encoded))
 
     def symbols(c):
         body = F.regexp_replace(c["body"], "=+$", "")  # padding is no symbol

@@ -74,3 +74,19 @@ def test_redaction(spark):
     assert text == ['pw: [SECRET]" end', None, "", "😀 [SECRET]é", "clean", "clean", "[SECRET]"]
     assert [r.n_chars for r in got][3:6] == [11, 5, 5]
     assert secrets.redact(df.limit(0)).count() == 0
+
+
+def test_letter_runs_mixed_runs_and_rests_of_runs_are_tested(spark):
+    rng = random.Random(12)
+    key = lambda n, abc: "".join(rng.choice(abc) for _ in range(n))
+    letters, both = string.ascii_letters, string.ascii_letters + string.digits
+    only = [key(40, letters) for _ in range(20)]
+    mixed = [key(20, both) + "/" + key(19, both) for _ in range(20)]
+    rest = [key(40, both) for _ in range(20)]
+    rows = [f"see {k} here" for k in only] + [f"see sk-{k} here" for k in mixed]
+    rows += [f"see {k}_token=abcdefgh here" for k in rest]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [rows[r.doc_id][s.start:s.end] for s in r.found if s.k == 3]
+           for r in secrets.find_secrets(df).collect()}
+    hits = [any(k in span for span in got[i]) for i, k in enumerate([*only, *mixed, *rest])]
+    assert [sum(hits[a:a + 20]) >= 18 for a in (0, 20, 40)] == [True] * 3
