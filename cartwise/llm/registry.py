@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from cartwise.llm.ann import op1_ann
 from cartwise.llm.bm25 import op3_bm25
+from cartwise.llm.chat import OP11_SQL, op11_chat
 from cartwise.llm.common import ship
 from cartwise.llm.jaccard import OP8_SQL, op8_jaccard
 from cartwise.llm.mixing import OP7_SQL, op7_mixing
@@ -42,6 +43,7 @@ _QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_pieces": op9_pieces,
     "op10_secrets": op10_secrets,
+    "op11_chat": op11_chat,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
@@ -51,6 +53,7 @@ ORACLES: dict[str, str] = {
     "op6_substrings": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op8_jaccard": OP8_SQL,
+    "op11_chat": OP11_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -6,7 +6,8 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op6_substrings", "op7_mixing", "op8_jaccard"])
+@pytest.mark.parametrize("name", ["op2_warc", "op6_substrings", "op7_mixing", "op8_jaccard",
+                                  "op11_chat"])
 def test_query_matches_sql(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = duck(entry.oracle_sql()[name])
