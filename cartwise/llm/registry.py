@@ -14,6 +14,7 @@ from cartwise.llm.common import ship
 from cartwise.llm.jaccard import OP8_SQL, op8_jaccard
 from cartwise.llm.mixing import OP7_SQL, op7_mixing
 from cartwise.llm.pieces import op9_pieces
+from cartwise.llm.repair import op12_repair
 from cartwise.llm.secrets import op10_secrets
 from cartwise.llm.substrings import OP6_SQL, op6_substrings
 from cartwise.llm.suffixes import op5_suffixes
@@ -44,6 +45,7 @@ _QUERIES: dict[str, Query] = {
     "op9_pieces": op9_pieces,
     "op10_secrets": op10_secrets,
     "op11_chat": op11_chat,
+    "op12_repair": op12_repair,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
