@@ -13,6 +13,7 @@ from cartwise.llm.chat import OP11_SQL, op11_chat
 from cartwise.llm.common import ship
 from cartwise.llm.jaccard import OP8_SQL, op8_jaccard
 from cartwise.llm.mixing import OP7_SQL, op7_mixing
+from cartwise.llm.negatives import OP13_SQL, op13_negatives
 from cartwise.llm.pieces import op9_pieces
 from cartwise.llm.repair import op12_repair
 from cartwise.llm.secrets import op10_secrets
@@ -46,6 +47,7 @@ _QUERIES: dict[str, Query] = {
     "op10_secrets": op10_secrets,
     "op11_chat": op11_chat,
     "op12_repair": op12_repair,
+    "op13_negatives": op13_negatives,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
@@ -56,6 +58,7 @@ ORACLES: dict[str, str] = {
     "op7_mixing": OP7_SQL,
     "op8_jaccard": OP8_SQL,
     "op11_chat": OP11_SQL,
+    "op13_negatives": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
