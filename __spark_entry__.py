@@ -156,6 +156,14 @@ def q_best_threshold(spark, sf_dir):
     return _rounded(best.select("threshold", "f1"))
 
 
+def q_user_threshold_sweep(spark, sf_dir):
+    return _rounded(ev.user_threshold_sweep(_scores(spark, sf_dir), 100))
+
+
+def q_best_user_threshold(spark, sf_dir):
+    return _rounded(ev.best_user_threshold(ev.user_threshold_sweep(_scores(spark, sf_dir), 100)))
+
+
 def _per_user(spark, sf_dir):
     return ev.per_user_f1(_scores(spark, sf_dir), ADJUSTED_THRESHOLD)
 
@@ -282,6 +290,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overall_metrics_adjusted": q_overall_metrics_adjusted,
     "threshold_sweep": q_threshold_sweep,
     "best_threshold": q_best_threshold,
+    "user_threshold_sweep": q_user_threshold_sweep,
+    "best_user_threshold": q_best_user_threshold,
     "per_user_f1": q_per_user_f1,
     "mean_user_f1": q_mean_user_f1,
     "f1_histogram": q_f1_histogram,

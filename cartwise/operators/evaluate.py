@@ -7,7 +7,8 @@ above all numbers), here and in the sweep alike.
 Everything is an aggregation: the overall confusion counts are one global
 aggregate, per-user F1 one ``groupBy(user_id)`` (map-side combined), the
 threshold sweep one ``groupBy`` over score buckets followed by running sums
-over at most ``steps + 1`` rows (no cross join of rows with thresholds).
+over at most ``steps + 1`` rows (no cross join of rows with thresholds), and the
+sweep of the mean per-user F1 the same over changes of the users' F1.
 """
 
 from __future__ import annotations
@@ -102,6 +103,46 @@ def per_user_f1(scores: DataFrame, threshold: float = 0.5, score_col: str = "sco
     return c.select(group_col, "tp", "fp", "fn", f1_from_counts("tp", "fp", "fn").alias("f1"))
 
 
+def user_threshold_sweep(scores: DataFrame, steps: int = 100, score_col: str = "score",
+                         label: str = "in_cart", group_col: str = "user_id") -> DataFrame:
+    """threshold (k / steps for k = 0..steps), n_users, mean_f1: the mean of the
+    users' F1 at every threshold.
+
+    A user's F1 changes only at the user's own score buckets.  Rows are combined
+    by (user, bucket) before the shuffle; a window over at most steps + 2 rows per
+    user turns them into changes of F1, which are summed by bucket; running sums
+    from the top over that small grid are the sweep.  No row meets a threshold.
+    """
+    spark = scores.sparkSession
+    cells = scores.groupBy(group_col, threshold_bucket(score_col, steps).alias("_k")).agg(
+        F.sum(F.col(label).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
+    mine = Window.partitionBy(group_col)
+    falling = mine.orderBy(F.desc("_k"))
+    above = falling.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tp, pp = F.sum("_pos").over(above), F.sum("_cnt").over(above)
+    f1 = f1_from_counts(tp, pp - tp, F.sum("_pos").over(mine) - tp)
+    changes = cells.select(group_col, "_k", f1.alias("_f1")).select(
+        "_k", (F.col("_f1") - F.coalesce(F.lag("_f1").over(falling), F.lit(0.0))).alias("_change"),
+        F.when(F.lag("_k").over(falling).isNull(), 1).otherwise(0).alias("_first"))
+    buckets = changes.groupBy(F.col("_k").alias("k")).agg(
+        F.sum("_change").alias("change"), F.sum("_first").alias("users"))
+    grid = spark.range(-1, steps + 1).select(F.col("id").cast("int").alias("k"))
+    g = grid.join(F.broadcast(buckets), "k", "left")  # steps + 2 rows
+    top = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    g = g.select("k", F.coalesce(F.sum("change").over(top), F.lit(0.0)).alias("f1"),
+                 F.coalesce(F.sum("users").over(whole), F.lit(0)).cast("long").alias("n_users"))
+    return g.where("k >= 0").select(
+        (F.col("k").cast("double") / F.lit(float(steps))).alias("threshold"), "n_users",
+        F.try_divide(F.col("f1"), F.col("n_users").cast("double")).alias("mean_f1"))
+
+
+def best_user_threshold(sweep: DataFrame) -> DataFrame:
+    """The threshold with the highest mean per-user F1.  Means that agree to nine
+    decimals are ties (they are sums in no fixed order) and go to the lower one."""
+    return sweep.orderBy(F.desc(F.round("mean_f1", 9)), "threshold").limit(1)
+
+
 def mean_user_f1(per_user: DataFrame) -> DataFrame:
     return per_user.agg(F.count(F.lit(1)).alias("n_users"), F.avg("f1").alias("mean_f1"))
 

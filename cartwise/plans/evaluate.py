@@ -1,7 +1,7 @@
 """Evaluation job: probabilities of both models on the test set, F1 at the
-default and adjusted thresholds, mean per-user F1, the best threshold from a
-sweep, per-user F1 histograms and feature importances.  Only one-row or
-few-row results reach the driver."""
+default and adjusted thresholds, mean per-user F1, the best thresholds for overall
+and for mean per-user F1 from sweeps, per-user F1 histograms and feature
+importances.  Only one-row or few-row results reach the driver."""
 
 from __future__ import annotations
 
@@ -50,8 +50,12 @@ def evaluate_models(spark: SparkSession, test: DataFrame, lr: PipelineModel,
         sweep = [r.asDict() for r in ev.threshold_sweep(scores).collect()]  # 101 rows
         base, adj = _at(sweep, BASE_THRESHOLD), _at(sweep, ADJUSTED[name])
         best = max(sweep, key=lambda r: (r["f1"], -r["threshold"]))
+        by_user = [r.asDict() for r in ev.user_threshold_sweep(scores).collect()]  # 101 rows
+        best_user = max(by_user, key=lambda r: (round(r["mean_f1"] or 0.0, 9), -r["threshold"]))
         per_user = ev.per_user_f1(scores, PER_USER[name])
         if out_dir:
+            write_table(spark.createDataFrame(by_user, "threshold double, n_users long, mean_f1 double"),
+                        os.path.join(out_dir, f"user_thresholds_{name}"))
             write_table(per_user, os.path.join(out_dir, f"user_f1_{name}"))
         mean_user = ev.mean_user_f1(per_user).first()["mean_f1"]
         hist = [r.asDict() for r in ev.f1_histogram(per_user).orderBy("bin").collect()]
@@ -62,6 +66,7 @@ def evaluate_models(spark: SparkSession, test: DataFrame, lr: PipelineModel,
             "f1_adjusted": round(adj["f1"], 3),
             "adjusted_threshold": ADJUSTED[name], "mean_user_f1": round(mean_user or 0.0, 3),
             "per_user_threshold": PER_USER[name], "best_threshold": best,
+            "best_user_threshold": best_user,
             "f1_histogram": hist,
         }
         delete_path(spark, path)

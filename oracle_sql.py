@@ -268,6 +268,23 @@ def _overall(th: float) -> str:
         FROM c"""
 
 
+# every user's F1 recomputed at every threshold
+_USER_SWEEP = """
+        , th AS (SELECT CAST(range AS DOUBLE) / 100 AS threshold FROM range(0, 101))
+        , uc AS (
+          SELECT th.threshold, s.user_id,
+                 sum(CASE WHEN s.score >= th.threshold AND s.in_cart = 1 THEN 1 ELSE 0 END) AS tp,
+                 sum(CASE WHEN s.score >= th.threshold AND s.in_cart = 0 THEN 1 ELSE 0 END) AS fp,
+                 sum(CASE WHEN s.score < th.threshold AND s.in_cart = 1 THEN 1 ELSE 0 END) AS fn
+          FROM th CROSS JOIN scores s GROUP BY th.threshold, s.user_id)
+        , us AS (
+          SELECT threshold, count(*) AS n_users,
+                 avg(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
+                          ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END) AS mean_f1
+          FROM uc GROUP BY threshold)
+"""
+
+
 _LINE_COLS = ("order_id, product_id, add_to_cart_order, user_id, order_number, order_dow, "
               "order_hour_of_day, days_since_prior_order")
 
@@ -361,6 +378,11 @@ QUERIES: dict[str, str] = {
           FROM cm)
         SELECT threshold, round(f1, 6) AS f1 FROM fm
         ORDER BY f1 DESC, threshold LIMIT 1"""),
+    "user_threshold_sweep": _split(_USER_SWEEP + """
+        SELECT threshold, n_users, round(mean_f1, 6) AS mean_f1 FROM us"""),
+    "best_user_threshold": _split(_USER_SWEEP + """
+        SELECT threshold, n_users, round(mean_f1, 6) AS mean_f1 FROM us
+        ORDER BY round(us.mean_f1, 9) DESC, threshold LIMIT 1"""),
     "per_user_f1": _split("SELECT user_id, tp, fp, fn, round(f1, 6) AS f1 FROM per_user_f1"),
     "mean_user_f1": _split("""
         SELECT count(*) AS n_users, round(avg(f1), 6) AS mean_f1 FROM per_user_f1"""),
