@@ -64,17 +64,47 @@ FOUND = "anchor_id long, anchor_key long, slot int, vec_id long, score long"
 
 
 # ---- rows that take part ----------------------------------------------------------
-def usable(df: DataFrame, scale: float, id_col: str, label_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, label, vector): vectors are whole numbers, as doubles."""
-    v = F.transform(F.col(vec_col).cast("array<double>"), lambda x: x * F.lit(float(scale)))
-    bad = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    # floor() of a double is a long in Spark; numbers beyond 2^53 are whole already
-    whole = F.transform("_v", lambda x: F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double"))
-                        .otherwise(x))
-    return (df.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"),
-                    v.alias("_v"))
-            .where(~bad).select("vec_id", "label", whole.alias("vector")))
+def _whole(batch: pa.RecordBatch, scale: float) -> pa.RecordBatch:
+    """The rows that take part, with whole-number vectors and their lengths."""
+    lists = batch.column("vector")
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)  # null components are NaN
+    row = np.repeat(np.arange(len(size)), size)
+    with np.errstate(all="ignore"):
+        whole = np.floor(flat * scale)
+    ok = pc.is_valid(lists).to_numpy(zero_copy_only=False)
+    ok &= np.bincount(row[~np.isfinite(whole)], minlength=len(size)) == 0
+    keep = ok[row]
+    batch, whole, row = batch.filter(pa.array(ok)), whole[keep], (np.cumsum(ok) - 1)[row[keep]]
+    size = size[ok]
+    first = np.concatenate(([0], np.cumsum(size)))
+    some = size > 0
+    peak = np.ones(len(size))  # squares of large numbers would overflow
+    if some.any():
+        peak[some] = np.maximum.reduceat(np.abs(whole), first[:-1][some])
+    peak[peak == 0] = 1
+    part = whole / peak[row]
+    length = np.sqrt(np.bincount(row, part * part, minlength=len(size))) * peak
+    vector = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(whole))
+    return pa.RecordBatch.from_arrays(
+        [batch.column("vec_id"), batch.column("label"), batch.column("anchor"), vector, pa.array(length)],
+        names=["vec_id", "label", "anchor", "vector", "length"])
+
+
+def usable(df: DataFrame, is_anchor: Column, scale: float, id_col: str, label_col: str,
+           vec_col: str) -> DataFrame:
+    """(vec_id, label, anchor, vector, length) of the rows that take part, as a written
+    table: vectors are whole numbers, as doubles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _whole(batch, scale)
+
+    rows = df.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"),
+        F.coalesce(is_anchor, F.lit(False)).alias("anchor"),
+        F.col(vec_col).cast("array<double>").alias("vector"))
+    return written(rows.mapInArrow(run, "vec_id long, label long, anchor boolean, vector array<double>, "
+                                        "length double"), "negatives-rows")
 
 
 # ---- index --------------------------------------------------------------------------
@@ -103,7 +133,9 @@ def _bucket(key, rows):
     ids = rows.column("vec_id").to_numpy()
     labels = rows.column("label").to_numpy()
     v = _matrix(rows.column("vector")) if key[0].as_py() else np.zeros((len(ids), 0))
-    order = np.lexsort((*v.T[::-1], labels, ids))
+    order = np.argsort(ids, kind="stable")
+    if (np.diff(ids[order]) == 0).any():
+        order = np.lexsort((*v.T[::-1], labels, ids))
     ids, labels, v = ids[order], labels[order], v[order]
     new = np.ones(len(ids), dtype=bool)  # equal rows are one
     new[1:] = (ids[1:] != ids[:-1]) | (labels[1:] != labels[:-1]) | (v[1:] != v[:-1]).any(axis=1)
@@ -120,18 +152,14 @@ def build_index(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFr
     """Buckets as a written table, and how many ranks (longest first) they have.  The
     driver reads the quantiles and the sizes of at most ``CLASSES`` classes."""
     n = rows.count()
-    peak = F.array_max(F.transform("vector", F.abs))
-    length = F.when(peak > 0, peak * F.sqrt(F.aggregate(
-        F.transform("vector", lambda x: (x / peak) * (x / peak)), F.lit(0.0), lambda a, x: a + x)))
-    rows = rows.withColumn("_length", F.coalesce(length, F.lit(0.0)))
     classes = min(CLASSES, parts_for(n, bucket_rows))
     cuts = []
     if classes > 1:
         shares = [1 - (i + 1) / classes for i in range(classes - 1)]
-        cuts = rows.agg(F.percentile_approx("_length", shares, 10_000)).first()[0]
+        cuts = rows.agg(F.percentile_approx("length", shares, 10_000)).first()[0]
     klass = F.lit(0)
     for cut in cuts:
-        klass = klass + F.when(F.col("_length") < F.lit(cut), 1).otherwise(0)
+        klass = klass + F.when(F.col("length") < F.lit(cut), 1).otherwise(0)
     rows = rows.withColumn("_class", klass)
     sizes = {r["_class"]: r["count"] for r in rows.groupBy("_class").count().collect()}
     parts = [parts_for(sizes.get(c, 0), bucket_rows) for c in range(classes)]
@@ -330,11 +358,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     row of ``vectors`` that ``is_anchor`` selects and each of its ``positives`` best rows
     of the same label, the ``negatives`` best rows of other labels with
     ``low`` * positive_score <= 100 * negative_score <= 100 * positive_score."""
-    index, ranks = build_index(usable(vectors, scale, id_col, label_col, vec_col), bucket_rows)
-    anchors = usable(vectors.where(is_anchor), scale, id_col, label_col, vec_col).dropDuplicates()
-    anchors = written(anchors.select(F.col("vec_id").alias("anchor_id"),
-                                     F.xxhash64("label", "vector").alias("anchor_key"), "label", "vector"),
-                      "negatives-anchors")
+    rows = usable(vectors, is_anchor, scale, id_col, label_col, vec_col)
+    index, ranks = build_index(rows, bucket_rows)
+    anchors = rows.where("anchor").select(
+        F.col("vec_id").alias("anchor_id"), F.xxhash64("label", "vector").alias("anchor_key"), "label",
+        "vector").dropDuplicates()
+    anchors = written(anchors, "negatives-anchors")
     everything = anchors.select("anchor_id", "anchor_key", F.lit(0).alias("slot"),
                                 F.lit(LEAST).alias("floor"), F.lit(MOST).alias("top"))
     near = search(index, ranks, anchors, everything, positives, same=True)

@@ -127,7 +127,8 @@ def test_hot_group_of_copies_and_one_label(spark):
 def test_rows_found_stay_near_the_number_asked_for(spark):
     """Before they are merged, whatever the number of buckets."""
     rows = clustered(4000, 8, 2)
-    df = neg.usable(spark.createDataFrame(rows, SCHEMA), 256, "vec_id", "label", "embedding")
+    df = neg.usable(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, 256, "vec_id", "label",
+                    "embedding")
     seen, real = [], neg.found_between
 
     def counted(*args):
@@ -135,7 +136,7 @@ def test_rows_found_stay_near_the_number_asked_for(spark):
         seen.append(out.count())
         return out
 
-    anchors = df.where("vec_id % 100 = 0").select(F.col("vec_id").alias("anchor_id"), F.lit(0).cast("long").alias(
+    anchors = df.where("anchor").select(F.col("vec_id").alias("anchor_id"), F.lit(0).cast("long").alias(
         "anchor_key"), "label", "vector")
     ranges = anchors.select("anchor_id", "anchor_key", F.lit(0).alias("slot"), F.lit(neg.LEAST).alias("floor"),
                             F.lit(neg.MOST).alias("top"))
