@@ -19,6 +19,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
@@ -27,11 +28,14 @@ import oracle_sql as _oracle  # noqa: E402
 from cartwise.operators import evaluate as ev  # noqa: E402
 from cartwise.operators import features as fx  # noqa: E402
 from cartwise.operators import recommend as rec  # noqa: E402
+from cartwise.operators.rank import rank_metrics  # noqa: E402
 from cartwise.operators import split as sp  # noqa: E402
 from cartwise.operators.basket import Basket  # noqa: E402
 from cartwise.operators.scale import fit_min_max  # noqa: E402
 from cartwise.schema import FEATURES, LINE_COLUMNS  # noqa: E402
+from cartwise.models.certify import optimality_certificate  # noqa: E402
 from cartwise.models.cv import GroupCrossValidation  # noqa: E402
+from cartwise.models.expressions import probability_expression  # noqa: E402
 from cartwise.models.train import (feature_importance, logistic_regression_estimator,  # noqa: E402
                                    positive_probability)
 from cartwise.plans.build import train_from_matrix  # noqa: E402
@@ -236,6 +240,34 @@ def q_gbt_scores(spark, sf_dir):
     return _model_scores(r.gbt, r.test)
 
 
+def q_logreg_certificate(spark, sf_dir):
+    """Gradient of the penalised objective at the fitted model, by feature: zero at
+    the optimum.  Rounded as every double here, to a millionth of the per-row loss."""
+    r = _trained(spark, sf_dir)
+    found = optimality_certificate(r.lr, r.train)
+    # adding zero turns a rounded -0.0 into 0.0
+    return found.select("feature", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("gradient", "gap")])
+
+
+def q_expression_scores(spark, sf_dir):
+    """Rows of the test set that each model scores otherwise as a column expression
+    (difference over 1e-9) than as a Spark ML model, and how many were compared."""
+    r = _trained(spark, sf_dir)
+    parts = []
+    for name, model in (("gbt", r.gbt), ("lr", r.lr)):
+        both = model.transform(r.test).select(
+            vector_to_array("probability")[1].alias("p"), probability_expression(model).alias("q"))
+        parts.append(both.agg(F.count(F.lit(1)).alias("n_rows"),
+                              F.count_if(~F.coalesce(F.abs(F.col("p") - F.col("q")) <= 1e-9, F.lit(False)))
+                              .alias("n_different"))
+                     .select(F.lit(name).alias("model"), "n_rows", "n_different"))
+    return parts[0].unionByName(parts[1])
+
+
+def q_cv_fold_auc(spark, sf_dir):
+    return _rounded(rank_metrics(_fold_scored(spark, sf_dir), "score", "in_cart", ["fold"]))
+
+
 def q_feature_importance(spark, sf_dir):
     r = _trained(spark, sf_dir)
     return _rounded(feature_importance(spark, r.lr, r.gbt))
@@ -302,6 +334,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommend_topk": q_recommend_topk,
     "logreg_scores": q_logreg_scores,
     "gbt_scores": q_gbt_scores,
+    "logreg_certificate": q_logreg_certificate,
+    "expression_scores": q_expression_scores,
+    "cv_fold_auc": q_cv_fold_auc,
     "feature_importance": q_feature_importance,
     "cv_out_of_fold": q_cv_out_of_fold,
     "cv_out_of_fold_keys": q_cv_out_of_fold_keys,

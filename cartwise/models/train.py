@@ -8,11 +8,14 @@ min-max scaled, so ``standardization`` is off (it would change the penalty).
 
 Gradient-boosted trees: depth 3, learning rate 0.5, row subsample 0.08,
 feature subsample 0.8, as in the reference.  Spark's GBT is first-order and
-samples features per node.  The number of rounds is chosen by a rule: a tenth of
-the users is held out; the loss on them is read after every round; when no round
-of the last 20 is better than the best before them, that best number of rounds is
-used for a fit on all users.  If the best is among the last 20, the rounds are
-doubled (40, 80, ... up to 10,000) and the fit is repeated.
+samples features per node.  A child needs at least as many rows as the reference's
+least child weight implies: that weight sums p(1 - p), which is a quarter at most.
+The number of rounds is chosen by a rule: a tenth of the users is held out; the AUC
+on them is read after every round; when no round of the last 20 is better than the
+best before them, that best number of rounds is used for a fit on all users.  If the
+best is among the last 20, the rounds are doubled (40, 80, ... up to 10,000) and the
+fit is repeated.  The AUC of all rounds of a fit comes from one aggregation of the
+held-out rows by (round, score bucket); beyond 64 rounds, one for each 64.
 
 Both models are fitted as ``PipelineModel`` (assembler + classifier), so one
 object scores a frame of raw feature columns and can be saved and loaded.
@@ -20,16 +23,21 @@ object scores a frame of raw feature columns and can be saved and loaded.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.models.expressions import balanced_sum, boosted_probability, tree_expressions
+from cartwise.operators.rank import auc_by_group
 from cartwise.operators.split import train_test_by_group
 from cartwise.schema import FEATURES, ID_COL, LABEL_COL
+from cartwise.session import delete_path, scratch_path
 
 # Fixed values of the reference models.
 LR_C = 10.0
@@ -38,11 +46,15 @@ GBT_DEPTH = 3
 GBT_STEP = 0.5
 GBT_SUBSAMPLE = 0.08
 GBT_COLSAMPLE = "0.8"
+GBT_CHILD_WEIGHT = 0.5
 GBT_SEED = 29
 GBT_MAX_ROUNDS = 10_000
 GBT_PATIENCE = 20
 GBT_FIRST_ROUNDS = 40
 
+ROUNDS_AT_ONCE = 64
+AUC_BUCKETS = 10_000
+
 
 def assembler(features: list[str] = FEATURES) -> VectorAssembler:
     # nulls are a data error here (every candidate has all features)
@@ -66,6 +78,7 @@ def gbt_estimator(max_iter: int = 50, seed: int = GBT_SEED,
         featuresCol="features", labelCol=label, maxDepth=GBT_DEPTH, stepSize=GBT_STEP,
         subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_COLSAMPLE,
         maxIter=max_iter, seed=seed, lossType="logistic",
+        minInstancesPerNode=math.ceil(GBT_CHILD_WEIGHT / 0.25),
         # depth-3 trees gain little from caching node ids (measured slower);
         # the boosting state is still checkpointed every 10 rounds to the
         # session's checkpoint folder, so lineage stays short over many rounds
@@ -89,18 +102,55 @@ def fit_logistic_regression(train: DataFrame, features: list[str] = FEATURES,
     return _pipeline(est, features).fit(_labelled(train, label))
 
 
+def auc_by_round(model: GBTClassificationModel, rows: DataFrame, features: list[str] = FEATURES,
+                 label: str = LABEL_COL) -> list[float]:
+    """AUC on ``rows`` of the ensemble cut after each of its rounds (0.5 where the rows
+    hold one label only), to the resolution of ``AUC_BUCKETS`` equal score buckets."""
+    spark, trees = rows.sparkSession, tree_expressions(model, features)
+    out, path = [], None
+    now = rows.select(F.col(label).cast("long").alias("_y"), *features, F.lit(0.0).alias("_m"))
+    for at in range(0, len(trees), ROUNDS_AT_ONCE):
+        some = trees[at:at + ROUNDS_AT_ONCE]
+        # the margin after each of these rounds: sums over the beginnings of an array
+        upto = F.sequence(F.lit(1), F.lit(len(some)))
+        margins = F.transform(upto, lambda i: F.aggregate(
+            F.slice("_t", F.lit(1), i), F.col("_m"), lambda a, x: a + x))
+        # two uses of _t, so that no tree is computed again for every round
+        each = (now.select("_y", "_m", F.array(*some).alias("_t"))
+                .select("_y", F.posexplode(F.when(F.size("_t") > 0, margins)).alias("_r", "_margin")))
+        scored = each.select("_y", "_r", F.floor(boosted_probability(F.col("_margin")) * AUC_BUCKETS)
+                             .alias("_s"))
+        found = {r["_r"]: r["auc"] for r in auc_by_group(scored, "_s", "_y", ["_r"]).collect()}
+        out += [found.get(i) for i in range(len(some))]  # one row per round
+        if at + ROUNDS_AT_ONCE < len(trees):
+            before, path = path, scratch_path(spark, "margins")
+            (now.select("_y", *features, (F.col("_m") + balanced_sum(some)).alias("_m"))
+             .write.parquet(path))
+            now = spark.read.schema(now.schema).parquet(path)
+            if before:
+                delete_path(spark, before)
+    if path:
+        delete_path(spark, path)
+    return [0.5 if x is None else x for x in out]
+
+
+def best_round(scores: list[float], patience: int, most: int) -> int | None:
+    """The number of rounds with the best score, if that is settled: no later score
+    of the last ``patience`` rounds is better, or there may be no more rounds."""
+    best = max(range(len(scores)), key=scores.__getitem__)
+    return best + 1 if best + patience < len(scores) or len(scores) >= most else None
+
+
 def boosting_rounds(train: DataFrame, held_out: DataFrame, features: list[str] = FEATURES,
                     label: str = LABEL_COL, seed: int = GBT_SEED, patience: int = GBT_PATIENCE,
                     first: int = GBT_FIRST_ROUNDS, most: int = GBT_MAX_ROUNDS) -> int:
-    """How many rounds the held-out loss asks for (see the module's text)."""
-    watched = assembler(features).transform(_labelled(held_out, label))
+    """How many rounds the held-out AUC asks for (see the module's text)."""
     rounds = min(first, most)
     while True:
         model = _pipeline(gbt_estimator(rounds, seed, label), features).fit(_labelled(train, label))
-        losses = model.stages[-1].evaluateEachIteration(watched)  # one number per round
-        best = min(range(len(losses)), key=losses.__getitem__)
-        if best + patience < rounds or rounds >= most:
-            return best + 1
+        best = best_round(auc_by_round(model.stages[-1], held_out, features, label), patience, most)
+        if best is not None:
+            return best
         rounds = min(2 * rounds, most)
 
 

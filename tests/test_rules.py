@@ -51,11 +51,10 @@ def test_rounds_grow_until_the_best_is_behind(monkeypatch, data):
         def fit(self, df):
             return self
 
-        def evaluateEachIteration(self, df):
-            return [abs(i - 70) for i in range(self.n)]
-
     monkeypatch.setattr("cartwise.models.train._pipeline",
                         lambda est, feats: asked.append(est.getMaxIter()) or Fitted(est.getMaxIter()))
+    monkeypatch.setattr("cartwise.models.train.auc_by_round",
+                        lambda model, *_: [1 - abs(i - 70) / 10_000 for i in range(model.n)])
     assert boosting_rounds(data, data, FEATS) == 71
     assert asked == [40, 80, 160]
 
