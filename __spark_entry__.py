@@ -213,7 +213,14 @@ def q_recommend_topk(spark, sf_dir):
     return _rounded(rec.recommend_topk(every, TOP_K))
 
 
-# ---- model queries (no SQL oracle: rows-only) ----------------------------
+def q_recommend_topk_products(spark, sf_dir):
+    """Every user's list with name, aisle and department, from the product CSV."""
+    every = _matrix(spark, sf_dir).select("user_id", "product_id",
+                                          F.col("percent_in_user_orders").alias("score"))
+    return _rounded(rec.recommend_topk(every, TOP_K, products=history.product_attributes(spark, sf_dir)))
+
+
+# ---- model queries (no SQL oracle unless stated: rows-only) ----------------------------
 _TRAINED: dict = {}
 
 
@@ -332,6 +339,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cv_score": q_cv_score,
     "recommend_for_user": q_recommend_for_user,
     "recommend_topk": q_recommend_topk,
+    "recommend_topk_products": q_recommend_topk_products,
     "logreg_scores": q_logreg_scores,
     "gbt_scores": q_gbt_scores,
     "logreg_certificate": q_logreg_certificate,

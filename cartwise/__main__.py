@@ -22,7 +22,7 @@ from cartwise.plans.build import build_models, load_or_build
 from cartwise.plans.evaluate import evaluate_models
 from cartwise.schema import FEATURES, ORDER_LINES_SCHEMA, ORDERS_SCHEMA
 from cartwise.session import local_session, session_on
-from cartwise.sources.readers import read_jdbc_table
+from cartwise.sources.jdbc import MOST_TASKS, ROWS_PER_TASK, JdbcSource
 
 
 def _history(spark, args):
@@ -30,11 +30,10 @@ def _history(spark, args):
         from cartwise.sources import history
         return history.order_history(spark, args.testdata)
     if args.jdbc_url:
-        properties = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
-        read = lambda name, bound: read_jdbc_table(
-            spark, args.jdbc_url, name, "order_id", 0, bound, args.jdbc_partitions, properties)
-        return (read(args.orders or "orders", args.jdbc_max_order_id),
-                read(args.lines or "order_lines", args.jdbc_max_order_id))
+        source = JdbcSource(args.jdbc_url, args.jdbc_driver, rows_per_task=args.jdbc_rows,
+                            most_tasks=args.jdbc_connections, balanced=args.jdbc_balanced)
+        lines = (args.lines or "order_lines").split(",")
+        return source.order_history(spark, args.orders or "orders", lines, args.user_limit)
     if not (args.orders and args.lines):
         raise SystemExit("no input: give --testdata, --orders and --lines, or --jdbc-url")
     return (spark.read.schema(ORDERS_SCHEMA).parquet(args.orders),
@@ -54,7 +53,7 @@ def main(argv=None) -> None:
     ap.add_argument("command", choices=["build", "evaluate"])
     ap.add_argument("--testdata", help="folder of TPC-H-style test tables")
     ap.add_argument("--orders", help="orders header (parquet)")
-    ap.add_argument("--lines", help="order lines (parquet)")
+    ap.add_argument("--lines", help="order lines (parquet; in a database, tables joined by commas)")
     ap.add_argument("--out", required=True, help="folder for the test set and models")
     ap.add_argument("--user-limit", type=int, default=-1)
     ap.add_argument("--gbt-iter", type=int, help="boosting rounds (default: chosen on held-out users)")
@@ -62,8 +61,10 @@ def main(argv=None) -> None:
                     help="leave out the two features that describe the basket to be predicted")
     ap.add_argument("--jdbc-url", help="read the tables --orders and --lines from a database")
     ap.add_argument("--jdbc-driver")
-    ap.add_argument("--jdbc-partitions", type=int, default=200)
-    ap.add_argument("--jdbc-max-order-id", type=int, default=1 << 32)
+    ap.add_argument("--jdbc-rows", type=int, default=ROWS_PER_TASK, help="rows a task reads")
+    ap.add_argument("--jdbc-connections", type=int, default=MOST_TASKS, help="most tasks of a read")
+    ap.add_argument("--jdbc-balanced", action="store_true",
+                    help="cut the ids at equal shares of the rows (a sort in the database)")
     ap.add_argument("--rebuild", action="store_true")
     ap.add_argument("--master", default=os.environ.get("CARTWISE_MASTER"))
     args = ap.parse_args(argv)

@@ -25,11 +25,17 @@ def recommend_for_user(scores: DataFrame, products: DataFrame, user_id: int | No
             .orderBy(F.desc(score_col), "product_id"))
 
 
-def recommend_topk(scores: DataFrame, k: int = 5, score_col: str = "score") -> DataFrame:
-    """Top-k products per user (rank 1 = highest score; ties: lower id).
-    A user's window holds only that user's candidates (bounded by the
-    catalogue size)."""
+def recommend_topk(scores: DataFrame, k: int = 5, score_col: str = "score",
+                   products: DataFrame | None = None) -> DataFrame:
+    """Top-k products per user (rank 1 = highest score; ties: lower id), with the
+    attributes of ``products`` if given.  A user's window holds only that user's
+    candidates (bounded by the catalogue size); attributes join the few rows kept."""
     w = Window.partitionBy("user_id").orderBy(F.desc(score_col), "product_id")
-    return (scores.withColumn("rank", F.row_number().over(w).cast("int"))
-            .where(F.col("rank") <= k)
-            .select("user_id", "rank", "product_id", score_col))
+    top = (scores.withColumn("rank", F.row_number().over(w).cast("int"))
+           .where(F.col("rank") <= k)
+           .select("user_id", "rank", "product_id", score_col))
+    if products is None:
+        return top
+    extra = [c for c in products.columns if c not in top.columns]
+    return (top.join(products.select("product_id", *extra), "product_id", "left")
+            .select("user_id", "rank", "product_id", *extra, score_col))

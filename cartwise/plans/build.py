@@ -3,7 +3,9 @@
 orders + lines -> (prior, newest) -> feature matrix (written once to the
 shared checkpoint folder: the ML stages iterate over it, and the written
 table cuts the lineage) -> group split -> min-max scaling fitted on train ->
-logistic regression and gradient-boosted trees -> saved test set and models.
+logistic regression and gradient-boosted trees -> saved test set and models, in a
+fresh folder, published by a manifest once all of them are there (see
+``sources.artefacts``).
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from cartwise.operators.scale import MinMaxModel, fit_min_max
 from cartwise.operators.split import train_test_by_group
 from cartwise.schema import FEATURES, ID_COL, ITEM_COL, LABEL_COL
 from cartwise.session import scratch_path
+from cartwise.sources.artefacts import ArtefactStore
 from cartwise.sources.sinks import load_model, save_model, try_read_table, write_table
 
 # Fixed values of the reference split.
@@ -83,23 +86,38 @@ def train_from_matrix(spark: SparkSession, matrix: DataFrame, out_dir: str | Non
     lr = fit_logistic_regression(train, features, n_train=n_train)
     gbt = fit_gbt(train, features, max_iter=gbt_iter)
     if out_dir:
-        write_table(test, os.path.join(out_dir, "test_set"))
-        for name, model in (("model_lr", lr), ("model_gbt", gbt)):
-            path = os.path.join(out_dir, name)
-            if not save_model(model, path):
-                raise OSError(f"model could not be saved to {path}")
+        with ArtefactStore(spark, out_dir).begin() as run:
+            write_table(test, run.part("test_set"))
+            for name, model in (("model_lr", lr), ("model_gbt", gbt)):
+                path = run.part(name)
+                if not save_model(model, path):
+                    raise OSError(f"model could not be saved to {path}")
+            run.publish()
     return BuildResult(train, test, lr, gbt, scaler)
 
 
+def load_saved(spark: SparkSession, out_dir: str) -> BuildResult | None:
+    """The newest published test set and models that can all be read, from one and the
+    same manifest; without manifests, what lies in ``out_dir`` itself."""
+    store = ArtefactStore(spark, out_dir)
+    sets = [[store.path(m, name) for name in ("test_set", "model_lr", "model_gbt")]
+            for m in store.manifests()]
+    if not sets:
+        sets = [[os.path.join(out_dir, name) for name in ("test_set", "model_lr", "model_gbt")]]
+    for paths in sets:
+        if None in paths:
+            continue
+        test = try_read_table(spark, paths[0])
+        lr, gbt = (load_model(p) for p in paths[1:])
+        if test is not None and lr is not None and gbt is not None:
+            return BuildResult(None, test, lr, gbt)
+    return None
+
+
 def load_or_build(spark: SparkSession, out_dir: str, build, force_rebuild: bool = False
                   ) -> BuildResult:
     """Reuse the saved test set and models; rebuild (``build()``, which must
     save into ``out_dir``) when asked to or when any of them is missing or
     unreadable."""
-    if not force_rebuild:
-        test = try_read_table(spark, os.path.join(out_dir, "test_set"))
-        lr = load_model(os.path.join(out_dir, "model_lr"))
-        gbt = load_model(os.path.join(out_dir, "model_gbt"))
-        if test is not None and lr is not None and gbt is not None:
-            return BuildResult(None, test, lr, gbt)
-    return build()
+    saved = None if force_rebuild else load_saved(spark, out_dir)
+    return build() if saved is None else saved

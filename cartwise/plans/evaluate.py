@@ -5,8 +5,6 @@ importances.  Only one-row or few-row results reach the driver."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +13,7 @@ from cartwise.models.train import feature_importance, positive_probability
 from cartwise.operators import evaluate as ev
 from cartwise.schema import FEATURES, ID_COL, ITEM_COL, LABEL_COL
 from cartwise.session import delete_path, scratch_path
+from cartwise.sources.artefacts import ArtefactStore
 from cartwise.sources.sinks import write_table
 
 # Thresholds used by the reference evaluation.
@@ -41,7 +40,19 @@ def evaluate_models(spark: SparkSession, test: DataFrame, lr: PipelineModel,
                     out_dir: str | None = None) -> dict:
     """Figures of both models.  Each model scores the test set once (written to
     the scratch folder); all fixed thresholds are read from one sweep.  With
-    ``out_dir``, per-user F1 of each model and the importances are saved there."""
+    ``out_dir``, each model's per-user F1 and mean F1 by threshold and the importances
+    are saved there, published together with the artefacts published before."""
+    if not out_dir:
+        return _evaluate(spark, test, lr, gbt, features, None)
+    store = ArtefactStore(spark, out_dir)
+    base = store.current()
+    with store.begin() as run:
+        out = _evaluate(spark, test, lr, gbt, features, run)
+        run.publish(base)
+    return out
+
+
+def _evaluate(spark, test, lr, gbt, features, run) -> dict:
     out: dict = {}
     for name, model in (("lr", lr), ("gbt", gbt)):
         path = scratch_path(spark, f"scores-{name}")
@@ -53,10 +64,10 @@ def evaluate_models(spark: SparkSession, test: DataFrame, lr: PipelineModel,
         by_user = [r.asDict() for r in ev.user_threshold_sweep(scores).collect()]  # 101 rows
         best_user = max(by_user, key=lambda r: (round(r["mean_f1"] or 0.0, 9), -r["threshold"]))
         per_user = ev.per_user_f1(scores, PER_USER[name])
-        if out_dir:
+        if run:
             write_table(spark.createDataFrame(by_user, "threshold double, n_users long, mean_f1 double"),
-                        os.path.join(out_dir, f"user_thresholds_{name}"))
-            write_table(per_user, os.path.join(out_dir, f"user_f1_{name}"))
+                        run.part(f"user_thresholds_{name}"))
+            write_table(per_user, run.part(f"user_f1_{name}"))
         mean_user = ev.mean_user_f1(per_user).first()["mean_f1"]
         hist = [r.asDict() for r in ev.f1_histogram(per_user).orderBy("bin").collect()]
         out[name] = {
@@ -71,7 +82,7 @@ def evaluate_models(spark: SparkSession, test: DataFrame, lr: PipelineModel,
         }
         delete_path(spark, path)
     imp = feature_importance(spark, lr, gbt, features)
-    if out_dir:
-        write_table(imp, os.path.join(out_dir, "feature_importance"))
+    if run:
+        write_table(imp, run.part("feature_importance"))
     out["importance"] = [r.asDict() for r in imp.orderBy(F.desc("lrm_abs_coef")).collect()]
     return out

@@ -74,6 +74,8 @@ LINES_SCHEMA = T.StructType([
 PRODUCTS_SCHEMA = T.StructType([
     T.StructField("product_id", T.LongType(), False),
     T.StructField("product_name", T.StringType(), True),
+    T.StructField("aisle_id", T.IntegerType(), True),
+    T.StructField("department_id", T.IntegerType(), True),
 ])
 
 # Feature types in the assembled matrix.

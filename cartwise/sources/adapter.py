@@ -118,3 +118,14 @@ def tpch_products(spark: SparkSession, sf_dir: str, grain: str = "brand") -> Dat
     return (part.where(F.col("p_brand").isNotNull())
             .groupBy(_product("brand").alias("product_id"))
             .agg(F.min("p_brand").alias("product_name")))
+
+
+def tpch_product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product dimension with aisle and department, one row per brand; names hold a
+    comma and quotes, as those of a real catalogue may."""
+    part = read_table(spark, sf_dir, "part", ["p_brand", "p_name", "p_size", "p_type"])
+    name = F.concat(F.min("p_brand"), F.lit(', "'), F.min("p_name"), F.lit('"'))
+    return (part.where(F.col("p_brand").isNotNull())
+            .groupBy(_product("brand").alias("product_id"))
+            .agg(name.alias("product_name"), F.min("p_size").cast("int").alias("aisle_id"),
+                 F.count_distinct("p_type").cast("int").alias("department_id")))

@@ -17,8 +17,10 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwise.session import checkpoint_dir, delete_path
-from cartwise.sources.adapter import tpch_lines, tpch_orders, tpch_products
-from cartwise.sources.readers import load_basket
+from cartwise.sources.adapter import (tpch_lines, tpch_orders, tpch_product_attributes,
+                                       tpch_products)
+from cartwise.sources.readers import load_basket, read_products_csv
+from cartwise.sources.sinks import write_table
 
 _CACHE: dict[tuple[str, str, str], tuple[str, str, str]] = {}
 _LOCK = threading.RLock()
@@ -76,6 +78,22 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(history_paths(spark, sf_dir)[2])
 
 
+_PRODUCT_CSV: dict[tuple[str, str], str] = {}
+
+
+def product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension as users of the original have it: a CSV file, written once
+    per application from the test tables and read by ``read_products_csv``."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        path = _PRODUCT_CSV.get(key)
+        if path is None:
+            path = os.path.join(os.path.dirname(history_paths(spark, sf_dir)[0]), "products_csv")
+            write_table(tpch_product_attributes(spark, sf_dir), path, fmt="csv")
+            _PRODUCT_CSV[key] = path
+    return read_products_csv(spark, path)
+
+
 def basket_tables(spark: SparkSession, sf_dir: str, user_limit: int | None = None,
                   grain: str = "brand") -> tuple[DataFrame, DataFrame]:
     """(prior, newest) joined line tables for ``sf_dir``."""

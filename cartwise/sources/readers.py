@@ -4,15 +4,17 @@ The engine consumes two *joined* line tables (line + order header):
 ``prior`` (every earlier order) and ``newest`` (each user's newest order,
 whose basket is the label).  They come from an orders header and a line
 table joined on ``order_id``; the same function serves parquet, CSV and
-JDBC inputs.
+JDBC inputs (``sources.jdbc``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwise.schema import LINE_COLUMNS, PRODUCTS_SCHEMA
+from cartwise.sources.sinks import CSV
 
 _HEADER_COLUMNS = ["order_id", "user_id", "order_number", "order_dow",
                    "order_hour_of_day", "days_since_prior_order"]
@@ -76,16 +78,12 @@ def load_basket(orders: DataFrame, lines: DataFrame,
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Product dimension from a CSV with a header row (explicit schema)."""
-    return spark.read.schema(PRODUCTS_SCHEMA).option("header", True).csv(path)
-
-
-def read_jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str,
-                    lower_bound: int, upper_bound: int, num_partitions: int,
-                    properties: dict | None = None) -> DataFrame:
-    """Partitioned JDBC read: ``num_partitions`` range queries on
-    ``partition_column`` run in parallel instead of one cursor on the driver."""
-    return spark.read.jdbc(url, table, column=partition_column,
-                           lowerBound=lower_bound, upperBound=upper_bound,
-                           numPartitions=num_partitions,
-                           properties=properties or {})
+    """Product dimension from a CSV with a header row, every column kept: those of the
+    schema with its types, others as text.  A quote inside a quoted field is doubled;
+    quoted fields may hold commas and line feeds (files are read whole for that, which
+    a dimension allows).  The header is the only thing read before the scan."""
+    options = {**CSV, "multiLine": True}
+    names = spark.read.options(**options).csv(path).columns
+    known = {f.name: f for f in PRODUCTS_SCHEMA.fields}
+    fields = [known.get(n, T.StructField(n, T.StringType(), True)) for n in names]
+    return spark.read.options(**options).schema(T.StructType(fields)).csv(path)

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+# Quotes inside quoted fields are doubled, as most other CSV readers and writers do.
+CSV = {"header": True, "quote": '"', "escape": '"'}
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
@@ -16,7 +19,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV).csv(path)
     else:
         w.format(fmt).save(path)
 
@@ -26,7 +29,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        return r.option("header", True).csv(path)
+        return r.options(**CSV).csv(path)
     return r.format(fmt).load(path)
 
 

@@ -471,4 +471,18 @@ QUERIES: dict[str, str] = {
           FROM (SELECT user_id, product_id, raw_score AS score FROM mat))
         SELECT user_id, CAST(rnk AS INTEGER) AS rank, product_id, round(score, 6) AS score
         FROM r WHERE rnk <= {TOP_K}"""),
+    "recommend_topk_products": _split(f"""
+        , pa AS (
+          SELECT CAST(regexp_extract(p_brand, '[0-9]+', 0) AS BIGINT) AS product_id,
+                 min(p_brand) || ', "' || min(p_name) || '"' AS product_name,
+                 CAST(min(p_size) AS INTEGER) AS aisle_id,
+                 CAST(count(DISTINCT p_type) AS INTEGER) AS department_id
+          FROM part WHERE p_brand IS NOT NULL GROUP BY 1)
+        , r AS (
+          SELECT user_id, product_id, score,
+                 row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rnk
+          FROM (SELECT user_id, product_id, raw_score AS score FROM mat))
+        SELECT r.user_id, CAST(r.rnk AS INTEGER) AS rank, r.product_id, pa.product_name, pa.aisle_id,
+               pa.department_id, round(r.score, 6) AS score
+        FROM r LEFT JOIN pa ON r.product_id = pa.product_id WHERE r.rnk <= {TOP_K}"""),
 }

@@ -26,7 +26,8 @@ def test_cli_build_then_evaluate(spark, tmp_path, capsys):
     out = str(tmp_path / "run")
     main(["build", "--testdata", SF_SMALL, "--out", out, "--gbt-iter", "3",
           "--master", "local[4]"])
-    assert {"test_set", "model_lr", "model_gbt"} <= set(os.listdir(out))
+    (run,) = os.listdir(os.path.join(out, "runs"))
+    assert {"test_set", "model_lr", "model_gbt"} == set(os.listdir(os.path.join(out, "runs", run)))
     capsys.readouterr()
     main(["evaluate", "--out", out, "--master", "local[4]"])
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])

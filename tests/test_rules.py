@@ -14,6 +14,7 @@ from cartwise.operators import recommend as rec
 from cartwise.operators.split import train_test_by_group
 from cartwise.plans import build
 from cartwise.plans.evaluate import evaluate_models
+from cartwise.sources.artefacts import ArtefactStore
 
 FEATS = ["a", "b", "c"]
 
@@ -107,11 +108,17 @@ def test_recommendations_keep_product_columns(spark):
 def test_evaluation_writes_its_tables(spark, data, tmp_path):
     lr, gbt = fit_logistic_regression(data, FEATS), fit_gbt(data, FEATS, max_iter=3)
     out = evaluate_models(spark, data, lr, gbt, FEATS, str(tmp_path))
+    store = ArtefactStore(spark, str(tmp_path))
+    current = store.current()
     for name in ("lr", "gbt"):
-        saved = spark.read.parquet(str(tmp_path / f"user_f1_{name}"))
+        saved = spark.read.parquet(store.path(current, f"user_f1_{name}"))
         assert saved.count() == 200
+        by_threshold = spark.read.parquet(store.path(current, f"user_thresholds_{name}")).collect()
+        best = out[name]["best_user_threshold"]
+        assert len(by_threshold) == 101 and best["n_users"] == 200
+        assert best["mean_f1"] == pytest.approx(max(r.mean_f1 for r in by_threshold))
         assert out[name]["mean_user_f1"] == pytest.approx(saved.agg(F.avg("f1")).first()[0], abs=6e-4)
-    assert spark.read.parquet(str(tmp_path / "feature_importance")).count() == 3
+    assert spark.read.parquet(store.path(current, "feature_importance")).count() == 3
 
 
 def test_a_failed_save_is_an_error(spark, data, tmp_path, monkeypatch):
@@ -122,21 +129,6 @@ def test_a_failed_save_is_an_error(spark, data, tmp_path, monkeypatch):
         build.train_from_matrix(spark, matrix, str(tmp_path), gbt_iter=1)
 
 
-def test_jdbc_options(monkeypatch):
-    from cartwise import __main__ as cli
-
-    seen = []
-    monkeypatch.setattr(cli, "read_jdbc_table", lambda *a: seen.append(a) or "df")
-    args = type("A", (), dict(testdata=None, jdbc_url="jdbc:x", jdbc_driver="d", orders="o", lines=None,
-                              jdbc_partitions=7, jdbc_max_order_id=99))
-    assert cli._history("spark", args) == ("df", "df")
-    assert seen[0] == ("spark", "jdbc:x", "o", "order_id", 0, 99, 7, {"driver": "d"})
-    assert seen[1][2] == "order_lines"
-    args.jdbc_url = None
-    with pytest.raises(SystemExit):
-        cli._history("spark", args)
-
-
 def test_master_is_passed_on(monkeypatch):
     from cartwise import __main__ as cli
 
