@@ -223,14 +223,22 @@ def verifier(key, rows):
                     names=["a", "b"])
 
 
-def verify(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """The edges (a, b) that are links.  Members of a hub b are dealt over salts,
-    each of which gets the hub's text."""
+def salted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, salt) of the edges and (hub, salts): members of a hub b are dealt over
+    salts.  ``edges`` is a written table, and so are the salts: the join has plain
+    shuffles below it, and a hot hub's rows can be split."""
     counts = edges.groupBy("b").agg(F.count(F.lit(1)).alias("c"))
-    salts = counts.select(F.col("b").alias("hub"),
-                          F.ceil(F.col("c") / HUB_MEMBERS).cast("int").alias("salts"))
+    salts = written(counts.select(F.col("b").alias("hub"),
+                                  F.ceil(F.col("c") / HUB_MEMBERS).cast("int").alias("salts")),
+                    "jaccard-salts")
     dealt = (edges.join(salts, edges["b"] == salts["hub"])
              .select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt")))
+    return dealt, salts
+
+
+def verify(edges: DataFrame, texts: DataFrame) -> DataFrame:
+    """The edges (a, b) that are links; each salt of a hub gets the hub's text."""
+    dealt, salts = salted(edges)
     members = (dealt.join(texts, dealt["a"] == texts["k"]).select("b", "salt", "a", "text"))
     hubs = (salts.join(texts, salts["hub"] == texts["k"])
             .select(F.col("hub").alias("b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
@@ -398,14 +406,20 @@ def _residual(lists: DataFrame, stars: DataFrame, nodes: DataFrame, groups: Data
     return across.unionByName(within).distinct()
 
 
+def component_ids(rooted: DataFrame) -> DataFrame:
+    """(kk, component_id) of nodes (k, id, root).  The components' ids are written, so
+    that the rows of a large component can be split in the join."""
+    smallest = written(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "jaccard-smallest")
+    return rooted.join(smallest, "root").select(F.col("k").alias("kk"), "component_id")
+
+
 def _labelled(keyed: DataFrame, sets: DataFrame, nodes: DataFrame, roots: DataFrame,
               own: list[str], id_col: str) -> DataFrame:
     # a null id stands as the smallest number in keys; it is no component's id
     real = F.when(F.col("id") == win.MIN_ID, F.lit(None)).otherwise(F.col("id"))
     ids = sets.where("n > 0").groupBy("k").agg(F.min(real).alias("id"))
     rooted = written(_with_root(ids, "k", roots, "root"), "jaccard-labels")
-    smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_node = rooted.join(smallest, "root").select(F.col("k").alias("kk"), "component_id")
+    of_node = component_ids(rooted)
     rows = (sets.select("id", "tag", "n", "k").distinct()
             .join(of_node, F.col("k") == F.col("kk"), "left")
             .select(F.col("id").alias("__jid"), F.col("tag").alias("__jtag"),

@@ -44,7 +44,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     IsNull, LessThan, LessThanOrEqual, StringStartsWith,
                                     WriterCommitMessage)
 
-from cartwise.llm.common import table
+from cartwise.llm.common import table, written
 from cartwise.session import scratch_path
 
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, "
@@ -419,6 +419,16 @@ def _urn(*parts):
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
+def revisited(large: DataFrame) -> DataFrame:
+    """(rid, rdigest, first): the pages whose payload a page of smaller id holds.  The
+    first pages are written, so that the pages of one common body can be split in the
+    join."""
+    firsts = written(large.groupBy("digest").agg(F.min("id").alias("first"), F.count("id").alias("c"))
+                     .where("c > 1").select("digest", "first"), "warc-firsts")
+    return (large.select("id", "digest").join(firsts, "digest").where("id > first").distinct()
+            .select(F.col("id").alias("rid"), F.col("digest").alias("rdigest"), "first"))
+
+
 def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                  body_col: str = "html", date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """A record per page.  Of the pages with equal payloads of at least 100 bytes
@@ -432,11 +442,7 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     keyed = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                          F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("n"),
                          body.alias("body"))
-    large = keyed.where(F.col("n") >= MIN_DUPLICATE_BYTES)
-    firsts = (large.groupBy("digest").agg(F.min("id").alias("first"), F.count("id").alias("c"))
-              .where("c > 1").select("digest", "first"))
-    revisits = (large.select("id", "digest").join(firsts, "digest").where("id > first").distinct()
-                .select(F.col("id").alias("rid"), F.col("digest").alias("rdigest"), "first"))
+    revisits = revisited(keyed.where(F.col("n") >= MIN_DUPLICATE_BYTES))
     rows = keyed.join(revisits, (F.col("id") == F.col("rid"))
                       & (F.col("digest") == F.col("rdigest")), "left")
     again = F.col("first").isNotNull()

@@ -327,6 +327,9 @@ def flagged(entries: np.ndarray, string: np.ndarray, offset: np.ndarray,
 
 
 # ---- frequent grams of a sample -------------------------------------------
+SLOTS = 1 << 60
+
+
 def frequent_grams(docs: DataFrame, kind: Windows, sample_docs: int, share: float) -> np.ndarray:
     """Gram hashes in at least ``share`` of a bounded sample of documents.
 
@@ -336,9 +339,9 @@ def frequent_grams(docs: DataFrame, kind: Windows, sample_docs: int, share: floa
     n = docs.count()
     if n == 0:
         return np.zeros(0, dtype=np.uint64)
-    keep = min(1.0, sample_docs / n)
-    slot = F.pmod(F.xxhash64(F.col(ID), F.col(TAG)), F.lit(1_000_000))
-    sample = docs.where(slot < int(keep * 1_000_000) + 1).select(TEXT)
+    # so many slots that the sample stays near sample_docs for any number of documents
+    slot = F.pmod(F.xxhash64(F.col(ID), F.col(TAG)), F.lit(SLOTS))
+    sample = docs.where(slot < max(1, SLOTS * min(n, sample_docs) // n)).select(TEXT)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
