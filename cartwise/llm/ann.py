@@ -1,17 +1,21 @@
 """Approximate nearest neighbours on robust-pruned directed graphs, one per shard.
 
 Equal vectors are one node (with the ids that a result can hold); nodes are dealt
-to shards of about 2,048 by a hash.  A shard's graph starts with random edges;
+to shards of about 2 MB of vectors by a hash.  A shard's graph starts with random edges;
 for every node, in batches, a greedy search from the shard's most central node
 proposes neighbours, and relaxed pruning keeps the nearest and then each that is
 not ``alpha`` times nearer to a kept one (two passes, alpha 1 and 1.2).  Reverse
 edges are added and pruned the same way; nodes that cannot be reached get an edge
-from their nearest reached node.  A query runs a beam search in every shard; what
-a shard's beam holds is scored exactly (cosine, double precision, original
-vectors), and the shards' best are merged.
+from their nearest reached node.  A query runs a beam search in every shard, by
+distances in double precision, so that near copies keep their order; all that a
+shard's beam holds is scored exactly (cosine, double precision, original vectors),
+and the shards' best are merged.
 
-Every vector is indexed.  Memory is bounded by a shard and a block of queries.
-Queries are dealt to shards by an equi-join on the shard number, in blocks.
+Every vector is indexed.  Memory is bounded by a shard and a block of queries.  The
+queries are a written table that each task reads in blocks; no row carries a block
+or a shard to another task.  Shards are searched in rounds that grow fourfold; after
+each, a query's ``k``-th best score so far is its floor, and later shards return
+nothing below it, so that rows before the merge stay near ``4 k`` per query and round.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, and rows without an id, take no part; vectors of another length than
@@ -27,17 +31,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import parts_for, table, written
+from cartwise.llm.common import parquet_batches, parts_for, table, written
+from cartwise.session import scratch_path
 
-SHARD_ROWS = 2048
-QUERY_BLOCK = 1024
+SHARD_BYTES = 2 << 20      # of vectors in double precision
+FIRST_ROUND, GROWTH = 4, 4
 DEGREE, SPARE = 24, 4      # edges of a node, and places for edges that join islands
 BUILD_BEAM, BEAM, EXPAND = 48, 64, 4
 ALPHAS = (1.0, 1.2)
 BATCH = 256
+QUERY_ROWS = 1024          # read at once
 
 
 # ---- graph in numpy ----------------------------------------------------------
@@ -47,7 +54,7 @@ def beam_search(unit: np.ndarray, graph: np.ndarray, entry: int, queries: np.nda
     -1 where fewer were met.  All queries advance together."""
     n, q = len(unit), len(queries)
     ids = np.full((q, beam), -1, dtype=np.int64)
-    dist = np.full((q, beam), np.inf, dtype=np.float32)
+    dist = np.full((q, beam), np.inf, dtype=unit.dtype)
     done = np.zeros((q, beam), dtype=bool)
     seen = np.zeros((q, n), dtype=bool)
     ids[:, 0], seen[:, entry] = entry, True
@@ -72,7 +79,7 @@ def beam_search(unit: np.ndarray, graph: np.ndarray, entry: int, queries: np.nda
         fresh &= ~seen[live[:, None], near]
         row, col = np.nonzero(fresh)
         seen[live[row], near[row, col]] = True
-        d = np.full(near.shape, np.inf, dtype=np.float32)
+        d = np.full(near.shape, np.inf, dtype=unit.dtype)
         d[row, col] = 1 - np.einsum("ij,ij->i", queries[live[row]], unit[near[row, col]])
         all_d = np.concatenate((dist[live], d), axis=1)
         all_i = np.concatenate((ids[live], np.where(fresh, near, -1)), axis=1)
@@ -179,7 +186,8 @@ INDEX = ("dim int, shard int, entry int, ids binary, counts binary, vectors bina
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    peak = np.abs(vectors).max(axis=1)[:, None]  # squares of large numbers would overflow
+    return vectors / peak / np.linalg.norm(vectors / peak, axis=1)[:, None]
 
 
 def _build(key, rows):
@@ -209,59 +217,77 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-                shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
+                shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
     """Shards' graphs as a written table, and the number of shards.  ``k``: the
     most neighbours a search will ask for (ids kept of equal vectors: k + 1)."""
     rows = usable(vectors, id_col, vec_col)
-    shards = parts_for(rows.count(), shard_rows)
+    n_bytes = rows.agg(F.sum(F.size("embedding").cast("long") * 8)).first()[0]
+    shards = parts_for(n_bytes or 0, shard_bytes)
     order = Window.partitionBy("embedding").orderBy("vec_id")
     nodes = (rows.withColumn("_r", F.dense_rank().over(order)).where(F.col("_r") <= k + 1)
              .groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
              .select("ids", "embedding", F.size("embedding").alias("dim"),
                      F.pmod(F.xxhash64(F.element_at("ids", 1)), F.lit(shards)).cast("int").alias("shard")))
-    return written(nodes.groupBy("dim", "shard").applyInArrow(_build, INDEX), "ann-index"), shards
+    # a fixed number of partitions: graphs are much work for few bytes, and must not
+    # be merged into few tasks for their size
+    graphs = nodes.repartition(shards, "dim", "shard").groupBy("dim", "shard").applyInArrow(_build, INDEX)
+    return written(graphs, "ann-index"), shards
 
 
 # ---- search -----------------------------------------------------------------
-def _search(k: int, beam: int):
+class Shard:
+    def __init__(self, row: dict):
+        self.dim, self.entry = row["dim"], row["entry"]
+        self.vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(-1, self.dim)
+        self.graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(len(self.vectors), -1).astype(np.int64)
+        self.counts = np.frombuffer(row["counts"], dtype=np.int32)
+        self.ids = np.frombuffer(row["ids"], dtype=np.int64)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.unit = _unit(self.vectors)
+        self.norm = np.sqrt((self.vectors * self.vectors).sum(axis=1))
+
+    def search(self, queries: np.ndarray, names: np.ndarray, floors: np.ndarray, k: int, beam: int):
+        """(query id, vec_id, score) arrays: the best ``k`` found that reach the floor,
+        for some queries at a time."""
+        # ids of several nodes: so many nodes more may hold no k + 1 ids
+        nodes = np.sort(np.unique(self.ids, return_counts=True)[1])[-k:]
+        spare = int(nodes.sum()) - len(nodes)
+        step = max(1, BATCH * beam // (beam + spare))
+        for at in range(0, len(queries), step):
+            q, own = queries[at:at + step], names[at:at + step]
+            met, _ = beam_search(self.unit, self.graph, self.entry, _unit(q), max(beam, k + 1) + spare)
+            row, col = np.nonzero(met >= 0)
+            node = met[row, col]
+            norms = np.sqrt((q * q).sum(axis=1))
+            score = (q[row] * self.vectors[node]).sum(axis=1) / (norms[row] * self.norm[node])
+            many = self.counts[node]
+            at_id = np.repeat(self.first[node] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            row, score, cand = np.repeat(row, many), np.repeat(score, many), self.ids[at_id]
+            ok = (cand != own[row]) & (score >= floors[at:at + step][row])
+            row, score, cand = row[ok], score[ok], cand[ok]
+            order = np.lexsort((cand, -score, row))
+            row, score, cand = row[order], score[order], cand[order]
+            if spare:  # the best of an id's nodes
+                best = np.sort(np.unique(np.stack((row, cand)), axis=1, return_index=True)[1])
+                row, score, cand = row[best], score[best], cand[best]
+            top = np.arange(len(row)) - np.searchsorted(row, row) < k
+            yield own[row[top]], cand[top], score[top]
+
+
+def _searcher(path: str, k: int, beam: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                vectors = np.frombuffer(r["vectors"], dtype=np.float64).reshape(-1, r["dim"])
-                graph = np.frombuffer(r["graph"], dtype=np.int32).reshape(len(vectors), -1).astype(np.int64)
-                counts = np.frombuffer(r["counts"], dtype=np.int32)
-                ids = np.frombuffer(r["ids"], dtype=np.int64)
-                first = np.cumsum(counts) - counts
-                unit, norm = _unit(vectors), np.sqrt((vectors * vectors).sum(axis=1))
-                # ids of several nodes: so many nodes more may hold no k + 1 ids
-                nodes = np.sort(np.unique(ids, return_counts=True)[1])[-k:]
-                spare = int(nodes.sum()) - len(nodes)
-                step = max(1, BATCH * beam // (beam + spare))
-                queries = np.array([x["embedding"] for x in r["block"]], dtype=np.float64)
-                names = np.array([x["vec_id"] for x in r["block"]], dtype=np.int64)
-                for at in range(0, len(queries), step):
-                    q, own = queries[at:at + step], names[at:at + step]
-                    met, _ = beam_search(unit, graph, r["entry"], _unit(q), max(beam, k + 1) + spare)
-                    met = met[:, :k + 8 + spare]
-                    row, col = np.nonzero(met >= 0)
-                    node = met[row, col]
-                    norms = np.sqrt((q * q).sum(axis=1))
-                    score = (q[row] * vectors[node]).sum(axis=1) / (norms[row] * norm[node])
-                    many = counts[node]
-                    at_id = np.repeat(first[node] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                    row, score, cand = np.repeat(row, many), np.repeat(score, many), ids[at_id]
-                    ok = cand != own[row]
-                    row, score, cand = row[ok], score[ok], cand[ok]
-                    order = np.lexsort((cand, -score, row))
-                    row, score, cand = row[order], score[order], cand[order]
-                    if spare:  # the best of an id's nodes
-                        best = np.sort(np.unique(np.stack((row, cand)), axis=1, return_index=True)[1])
-                        row, score, cand = row[best], score[best], cand[best]
-                    place = np.arange(len(row)) - np.searchsorted(row, row)
-                    top = place < k
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[row[top]]), pa.array(cand[top]), pa.array(score[top])],
-                        names=["query_id", "vec_id", "score"])
+            for at in range(batch.num_rows):
+                shard = Shard(batch.slice(at, 1).to_pylist()[0])
+                for rows in parquet_batches(path, QUERY_ROWS):
+                    rows = rows.filter(pc.equal(rows.column("dim"), shard.dim))
+                    if not rows.num_rows:
+                        continue
+                    q = rows.column("embedding").flatten().to_numpy().reshape(-1, shard.dim)
+                    for found in shard.search(q, rows.column("vec_id").to_numpy(),
+                                              rows.column("floor").to_numpy(), k, beam):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found],
+                                                         names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -269,20 +295,31 @@ def _search(k: int, beam: int):
 def search(index: DataFrame, shards: int, queries: DataFrame, k: int, id_col: str = "vec_id",
            vec_col: str = "embedding", beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every query."""
-    rows = usable(queries, id_col, vec_col).dropDuplicates()
-    blocks = parts_for(rows.count(), QUERY_BLOCK)
-    dealt = (rows.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-             .groupBy(F.size("embedding").alias("dim"), "b")
-             .agg(F.collect_list(F.struct("vec_id", "embedding")).alias("block"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    pairs = dealt.join(index, ["dim", "shard"]).select("dim", "entry", "ids", "counts", "vectors",
-                                                       "graph", "block")
-    found = pairs.mapInArrow(_search(k, beam), "query_id long, vec_id long, score double")
-    # an id may hold several vectors, as a query and in several shards
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    asked = written(usable(queries, id_col, vec_col).dropDuplicates()
+                    .withColumn("dim", F.size("embedding")), "ann-queries")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    found, begin, size = None, 0, FIRST_ROUND
+    while begin < shards:
+        path = scratch_path(index.sparkSession, "ann-asked")
+        floor = F.lit(float("-inf"))
+        if found is not None:  # what is worse than the k-th best found is no result
+            least = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+            now = asked.join(least, F.col("vec_id") == F.col("query_id"), "left")
+            floor = F.coalesce("least", floor)
+        else:
+            now = asked
+        now.select("vec_id", "embedding", "dim", floor.alias("floor")).write.parquet(path)
+        end = min(shards, begin + size)
+        new = (index.where((F.col("shard") >= begin) & (F.col("shard") < end))
+               .repartition(end - begin, "shard")
+               .mapInArrow(_searcher(path, k, beam), "query_id long, vec_id long, score double"))
+        every = new if found is None else new.unionByName(found.drop("rank"))
+        # an id may hold several vectors, as a query and in several shards
+        every = every.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        found = written(every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k),
+                        "ann-found")
+        begin, size = end, size * GROWTH
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op1_ann(spark, sf_dir):

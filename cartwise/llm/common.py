@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parquet_batches(path: str, rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of a written table, read inside a task by its path, in the order of the
+    files' names."""
+    fs, base = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    for info in sorted(fs.get_file_info(pafs.FileSelector(base)), key=lambda i: i.path):
+        if info.base_name.endswith(".parquet"):
+            with fs.open_input_file(info.path) as file:
+                yield from pq.ParquetFile(file).iter_batches(batch_size=rows)
+
+
 def word_count(text) -> F.Column:
     """Number of words of a text as a long; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

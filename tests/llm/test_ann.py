@@ -30,7 +30,7 @@ def run(spark, df, k=5, **kw):
 def test_recall_against_brute_force_over_several_shards(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
-    got = run(spark, df, shard_rows=150)
+    got = run(spark, df, shard_bytes=150 * 64 * 8)
     want = brute(rows, [r for r in rows if r[0] % 50 == 0], 5)
     hits = sum(len({i for i, _ in want[q]} & {i for i, _ in got[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
@@ -68,9 +68,9 @@ def test_repeated_queries_and_ids_with_several_vectors(spark):
     rows = [(i, rng.normal(size=6).tolist()) for i in range(1, 300)]
     schema = "vec_id long, embedding array<double>"
     again = rows + [r for r in rows if r[0] % 50 == 0] * 4
-    for shard_rows in (2048, 60):
-        once = run(spark, spark.createDataFrame(rows, schema), shard_rows=shard_rows)
-        got = run(spark, spark.createDataFrame(again, schema), shard_rows=shard_rows)
+    for shard_bytes in (1 << 20, 60 * 48):
+        once = run(spark, spark.createDataFrame(rows, schema), shard_bytes=shard_bytes)
+        got = run(spark, spark.createDataFrame(again, schema), shard_bytes=shard_bytes)
         assert got == once and all(len({i for i, _ in v}) == 5 for v in got.values())
     # id 3 and the query's own id hold many vectors near the query's, id 150 asks with two
     near = np.array(dict(rows)[50])
@@ -86,3 +86,54 @@ def test_repeated_queries_and_ids_with_several_vectors(spark):
                     best[c] = max(s, best.get(c, -2))
         want = sorted(best, key=lambda c: (-round(best[c], 12), c))[:5]
         assert [c for c, _ in got[q]] == want
+
+
+def near_copies(seed, n=300, copies=60, dim=64):
+    """Vectors, and copies of the query's that differ by 1e-5 to 4e-4 of it."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.normal(size=dim).tolist()) for i in range(n)]
+    q = np.array(rows[0][1])
+    size = np.geomspace(1e-5, 4e-4, copies)
+    rng.shuffle(size)
+    return rows + [(1001 + i, (q + s * np.linalg.norm(q) * (v := rng.normal(size=dim)) / np.linalg.norm(v)).tolist())
+                   for i, s in enumerate(size)]
+
+
+def test_recall_among_near_copies(spark):
+    for seed, copies, shard_bytes in ((1, 60, 4 << 20), (2, 60, 100 * 512), (3, 200, 4 << 20)):
+        rows = near_copies(seed, copies=copies)
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        index, shards = ann.build_index(df, 5, shard_bytes=shard_bytes)
+        queries = [r for r in rows if r[0] == 0 or r[0] % 100 == 1 or r[0] > 1000 and r[0] % 7 == 0]
+        asked = spark.createDataFrame(queries, df.schema)
+        got = {}
+        for r in ann.search(index, shards, asked, 5).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        want = brute(rows, queries, 5)
+        # scores of copies differ beyond what rounding to 12 places keeps
+        hits = total = 0
+        for q, v in queries:
+            d = sorted((float(((np.array(w) / np.linalg.norm(w) - np.array(v) / np.linalg.norm(v)) ** 2).sum()), i)
+                       for i, w in rows if i != q)[:5]
+            hits, total = hits + len({i for _, i in d} & got[q]), total + 5
+        assert hits >= 0.9 * total and len(want) == len(got)
+
+
+def test_rows_before_the_merge_stay_near_the_rows_asked_for(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index, shards = ann.build_index(df, 5, shard_bytes=100 * 128)
+    assert shards == 30
+    seen, real = [], type(df).mapInArrow
+
+    def counted(self, *args, **kw):
+        out = real(self, *args, **kw)
+        if out.columns == ["query_id", "vec_id", "score"]:
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(df), "mapInArrow", counted)
+    found = ann.search(index, shards, df.where("vec_id % 50 = 0"), 5)
+    assert found.count() == 300
+    assert len(seen) == 3 and seen[0] <= 60 * 20 and max(seen[1:]) <= 60 * 5 * 8  # 30 shards may give 9,000
