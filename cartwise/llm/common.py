@@ -47,6 +47,51 @@ def word_count(text) -> F.Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def let(value: F.Column, body) -> F.Column:
+    """``body`` of a lambda variable that holds ``value``: computed once, where a named
+    column could be inlined into a lambda and computed for each of its elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def indices(n) -> F.Column:
+    """0 .. n - 1 (empty for 0)."""
+    return F.slice(F.sequence(F.lit(0), n), F.lit(1), n)
+
+
+RUN = 64  # numbers that totals_before sums at once
+
+
+def totals_before(numbers: F.Column) -> F.Column:
+    """For each element of an array of numbers the sum of those before it: two-level
+    sums over runs, so that no array grows by copying (``numbers`` is a variable)."""
+    def total(x):
+        return F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + y)
+
+    n = F.size(numbers)
+    runs = indices(F.ceil(n / F.lit(float(RUN))).cast("int"))
+    sums = F.transform(runs, lambda r: total(F.slice(numbers, r * RUN + 1, F.lit(RUN))))
+    return let(sums, lambda s: let(
+        F.transform(runs, lambda r: total(F.slice(s, F.lit(1), r))),
+        lambda before: F.transform(indices(n), lambda i: F.get(before, F.floor(i / F.lit(RUN)).cast("int")) + total(
+            F.slice(numbers, i - i % RUN + 1, i % RUN)))))
+
+
+def highest_before(numbers: F.Column) -> F.Column:
+    """For each element of an array of positive numbers the highest of those before it
+    (0 for the first); linear as :func:`totals_before`."""
+    def high(x):
+        return F.coalesce(F.array_max(x), F.lit(0))
+
+    n = F.size(numbers)
+    runs = indices(F.ceil(n / F.lit(float(RUN))).cast("int"))
+    highs = F.transform(runs, lambda r: high(F.slice(numbers, r * RUN + 1, F.lit(RUN))))
+    return let(highs, lambda s: let(
+        F.transform(runs, lambda r: high(F.slice(s, F.lit(1), r))),
+        lambda before: F.transform(indices(n), lambda i: F.greatest(
+            F.get(before, F.floor(i / F.lit(RUN)).cast("int")),
+            high(F.slice(numbers, i - i % RUN + 1, i % RUN))))))
+
+
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     """UTF-8 bytes of all texts: what shard counts are derived from."""
     row = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()

@@ -21,7 +21,9 @@ corpus, and what is not rejected is reported.  The ranking needs only counts by
 quantised p-value, summed before any shuffle; at most one threshold per length
 class (32) comes back to the driver.
 
-Only DataFrame and SQL functions are used.  Offsets are code points, end
+Only DataFrame and SQL functions are used; a text costs time in proportion to its
+length, however many matches it holds.  The scanned spans are written once, without
+the texts where the caller does not ask for them.  Offsets are code points, end
 exclusive.  Defined results: null text is empty (no spans); a text is scanned
 whole; repeated rows are scanned each for itself; an empty table gives no rows;
 extra columns are kept, and columns this operator adds replace their namesakes.
@@ -32,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.common import highest_before, let, totals_before, written
+
 P = "__sec_"
 KINDS = ("assign", "access", "hex", "random")
 
@@ -64,20 +68,45 @@ def _pieces(text, pattern: str):
 
 
 def _spans(text, pattern: str, kind: int):
-    """array<struct<start, k, end, body>> of all matches of one pattern."""
-    def step(acc, piece):
-        body = F.regexp_extract(piece, "(?s)^.*?(" + pattern + r")\z", 1)
-        end = acc["pos"] + F.char_length(piece)
-        hit = F.array(F.struct((end - F.char_length(body)).alias("start"), F.lit(kind).alias("k"),
-                               end.alias("end"), body.alias("body")))
-        return F.struct(end.alias("pos"),
-                        F.when(body != "", F.concat(acc["found"], hit)).otherwise(acc["found"])
-                        .alias("found"))
-
-    none = F.array().cast("array<struct<start:int,k:int,end:int,body:string>>")
-    return F.aggregate(_pieces(text, pattern),
-                       F.struct(F.lit(0).alias("pos"), none.alias("found")), step,
-                       lambda acc: acc["found"])
+    """array<struct<start, k, end, body>> of all matches of one pattern.  Linear in the
+    text: pieces' lengths are summed in runs, no array grows match by match."""
+    def found(pieces):
+        def located(before):
+            def span(piece, i):
+                body = F.regexp_extract(piece, "(?s)^.*?(" + pattern + r")\z", 1)
+                end = (F.get(before, i) + F.char_length(piece)).cast("int")
+                return F.struct((end - F.char_length(body)).alias("start"), F.lit(kind).alias("k"),
+                                end.alias("end"), body.alias("body"))
+
+            return F.filter(F.transform(pieces, span), lambda x: x["body"] != "")
+
+        lengths = F.transform(pieces, lambda p: F.char_length(p).cast("long"))
+        return let(let(lengths, totals_before), located)
+
+    return let(_pieces(text, pattern), found)
+
+
+def _cut(wide, start, end):
+    """Characters [start, end) of a text in fixed-width UTF-32, where a cut costs no more
+    than what it takes."""
+    return F.decode(F.substring(wide, (start * 4 + 1).cast("int"), ((end - start) * 4).cast("int")), "UTF-32")
+
+
+def _characters(wide):
+    return (F.octet_length(wide) / 4).cast("int")
+
+
+def _blanked(text, spans):
+    """The text with the characters of spans (sorted, apart) as spaces."""
+    def cut(wide):
+        def blank(x, i):
+            before = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
+            return F.concat(_cut(wide, before, x["start"]), F.repeat(F.lit(" "), x["end"] - x["start"]))
+
+        last = F.get(spans, F.size(spans) - 1)["end"]
+        return F.concat(F.array_join(F.transform(spans, blank), ""), _cut(wide, last, _characters(wide)))
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.encode(text, "UTF-32"), cut))
 
 
 def _none():
@@ -125,27 +154,22 @@ def _alphabet(body):
             .when(has("^[0-9A-Za-z_-]+$"), F.lit(BASE64_URL)))
 
 
-def _candidates(text, base):
-    """Candidates outside all base spans, with their battery p-value."""
-    found = F.when(text.rlike(CANDIDATE), _spans(text, CANDIDATE, 3)).otherwise(_none())
+def _free(text, base):
+    """The text without what base spans cover: the spans of one kind at a time, which
+    are sorted and apart."""
+    for kind in range(3):
+        text = let(text, lambda t, k=kind: let(  # noqa: B023
+            F.filter(base, lambda x: x["k"] == k), lambda s: _blanked(t, s)))
+    return text
 
-    def part(c, start, end):
-        return F.struct(start.alias("start"), F.lit(3).alias("k"), end.alias("end"),
-                        F.substr(c["body"], start - c["start"] + 1, end - start).alias("body"))
 
-    def uncovered(c):
-        """What the base spans leave of a run."""
-        def step(acc, b):
-            return F.struct(
-                F.greatest(acc["pos"], b["end"]).alias("pos"),
-                F.when(b["start"] > acc["pos"], F.concat(
-                    acc["out"], F.array(part(c, acc["pos"], b["start"])))).otherwise(acc["out"]).alias("out"))
+def _candidates(text, base):
+    """Candidates outside all base spans, with their battery p-value.  What base spans
+    leave of a run of 20 or more characters is a run of the text without them."""
+    def runs(t):
+        return F.when(t.rlike(CANDIDATE), _spans(t, CANDIDATE, 3)).otherwise(_none())
 
-        touching = F.array_sort(F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-        return F.when(F.size(touching) == 0, F.array(c)).otherwise(F.aggregate(
-            touching, F.struct(c["start"].alias("pos"), _none().alias("out")), step,
-            lambda acc: F.when(acc["pos"] < c["end"], F.concat(
-                acc["out"], F.array(part(c, acc["pos"], c["end"])))).otherwise(acc["out"])))
+    found = F.when(F.size(base) == 0, runs(text)).otherwise(let(_free(text, base), runs))
 
     def encoded(c):
         """The run, or where it fits neither base64 form its parts in each."""
@@ -157,7 +181,7 @@ def _candidates(text, base):
         return F.when(mixed, F.array_union(cut("[A-Za-z0-9+/]{20,}=*"), cut("[A-Za-z0-9_-]{20,}=*"))
                       ).otherwise(F.array(c))
 
-    free = F.flatten(F.transform(F.flatten(F.transform(found, uncovered)), encoded))
+    free = F.flatten(F.transform(found, encoded))
 
     def symbols(c):
         body = F.regexp_replace(c["body"], "=+$", "")  # padding is no symbol
@@ -173,24 +197,25 @@ def _candidates(text, base):
                                     lambda x: (F.instr(c["abc"], x) - 1).cast("double")).alias("v"))
 
     def stats(c):
-        n, v = c["n"], c["v"]
-        squares = F.aggregate(F.array_distinct(v), F.lit(0.0), lambda acc, s: acc
-                              + F.pow(F.size(F.filter(v, lambda y: y == s)).cast("double"), F.lit(2)))
-        high = F.transform(v, lambda x: (x >= c["k"] / 2).cast("int"))
-        mean = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x) / n
-        pairs = F.zip_with(F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1),
-                           lambda x, y: (x - mean) * (y - mean))
-        turns = F.zip_with(F.slice(high, F.lit(1), F.size(high) - 1),
-                           F.slice(high, F.lit(2), F.size(high) - 1),
-                           lambda x, y: (x != y).cast("int"))
         add = lambda arr, zero: F.aggregate(arr, zero, lambda acc, x: acc + x)
-        return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"), n.alias("n"), c["k"].alias("k"),
-            (c["k"] / n * squares - n).alias("chi"),
-            add(high, F.lit(0)).cast("double").alias("n1"),
-            (add(turns, F.lit(0)) + 1).cast("double").alias("runs"),
-            add(pairs, F.lit(0.0)).alias("cov"),
-            add(F.transform(v, lambda x: (x - mean) * (x - mean)), F.lit(0.0)).alias("var"))
+
+        def of(v, mean, half):
+            """Moments of the numbers v; the mean is a variable, computed once."""
+            squares = F.aggregate(F.array_distinct(v), F.lit(0.0), lambda acc, s: acc
+                                  + F.pow(F.size(F.filter(v, lambda y: y == s)).cast("double"), F.lit(2)))
+            first, second = F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1)
+            pairs = F.zip_with(first, second, lambda x, y: (x - mean) * (y - mean))
+            turns = F.zip_with(first, second, lambda x, y: ((x >= half) != (y >= half)).cast("int"))
+            return F.struct(
+                c["start"].alias("start"), c["end"].alias("end"), c["n"].alias("n"), c["k"].alias("k"),
+                (c["k"] / c["n"] * squares - c["n"]).alias("chi"),
+                F.size(F.filter(v, lambda x: x >= half)).cast("double").alias("n1"),
+                (add(turns, F.lit(0)) + 1).cast("double").alias("runs"),
+                add(pairs, F.lit(0.0)).alias("cov"),
+                add(F.transform(v, lambda x: (x - mean) * (x - mean)), F.lit(0.0)).alias("var"))
+
+        return let(c["v"], lambda v: let(add(v, F.lit(0.0)) / c["n"], lambda mean: let(
+            c["k"] / 2, lambda half: of(v, mean, half))))
 
     def scores(c):
         n, df = c["n"], c["k"] - 1
@@ -216,13 +241,16 @@ def _candidates(text, base):
     return F.transform(F.transform(F.transform(F.transform(coded, numbers), stats), scores), decided)
 
 
-def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with base (pattern spans) and candidates (with class and bin)."""
+def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its ``keep`` columns) with base (pattern spans) and candidates (with
+    class and bin): a written table, as thresholds and spans both read it, and each text
+    is scanned once."""
     own = [c for c in docs.columns if c not in (P + "base", P + "cand")]
+    kept = own if keep is None else list(keep)
     text = F.coalesce(F.col(text_col), F.lit(""))
     with_base = docs.select(*own, _base(text).alias(P + "base"))
-    return with_base.select(*own, _strip(P + "base").alias(P + "base"),
-                            _candidates(text, F.col(P + "base")).alias(P + "cand"))
+    return written(with_base.select(*kept, _strip(P + "base").alias(P + "base"),
+                                    _candidates(text, F.col(P + "base")).alias(P + "cand")), "secrets-scan")
 
 
 def thresholds(scanned: DataFrame, q: float) -> dict[int, int]:
@@ -245,12 +273,13 @@ def thresholds(scanned: DataFrame, q: float) -> dict[int, int]:
     return {r["cls"]: r["bin"] for r in hit.groupBy("cls").agg(F.min("bin").alias("bin")).collect()}
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", q: float = 0.01) -> DataFrame:
-    """``docs`` with n_assign, n_access, n_hex, n_random and ``found``: all
+def find_secrets(docs: DataFrame, text_col: str = "text", q: float = 0.01,
+                 keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its ``keep`` columns) with n_assign, n_access, n_hex, n_random and ``found``: all
     spans as array<struct<start, k, end>> by start, then kind (see KINDS)."""
     added = ["n_assign", "n_access", "n_hex", "n_random", "found", "base_found"]
     docs = docs.select(*[c for c in docs.columns if c not in added])
-    scanned = scan(docs, text_col)
+    scanned = scan(docs, text_col, keep)
     cut = thresholds(scanned, q)
     kept = F.col(P + "cand")
     if cut:
@@ -260,7 +289,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", q: float = 0.01) -> Da
     base = F.array_sort(F.col(P + "base"))
     count = lambda k: F.size(F.filter(P + "base", lambda x: x["k"] == k)).cast("long")
     return scanned.select(
-        *docs.columns, count(0).alias("n_assign"), count(1).alias("n_access"),
+        *(docs.columns if keep is None else keep), count(0).alias("n_assign"), count(1).alias("n_access"),
         count(2).alias("n_hex"), F.size(kept).cast("long").alias("n_random"),
         F.array_sort(F.concat(F.col(P + "base"), _strip(kept))).alias("found"),
         base.alias("base_found"))
@@ -280,15 +309,21 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars",
     found = find_secrets(docs.select(*docs.columns), text_col, q)
     text = F.col(text_col)
 
-    def step(acc, x):
-        gap = F.substr(text, acc["pos"] + 1, x["start"] - acc["pos"])
-        return (F.when(x["start"] >= acc["pos"], F.struct(
-                    x["end"].alias("pos"), F.concat(acc["out"], gap, F.lit(mark)).alias("out")))
-                .otherwise(F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"),
-                                    acc["out"].alias("out"))))
+    def marked(spans, wide):
+        """Each span that begins after all before it have ended gets a mark."""
+        ends = F.transform(spans, lambda x: x["end"])
+
+        def cut(before):
+            def shown(x, i):
+                return F.when(x["start"] >= F.get(before, i), F.concat(
+                    _cut(wide, F.get(before, i), x["start"]), F.lit(mark))).otherwise(F.lit(""))
+
+            return F.concat(F.array_join(F.transform(spans, shown), ""),
+                            _cut(wide, F.array_max(ends), _characters(wide)))
+
+        return let(let(ends, highest_before), cut)
 
-    done = F.aggregate(F.col("found"), F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substr(text, acc["pos"] + 1)))
+    done = let(F.col("found"), lambda spans: let(F.encode(text, "UTF-32"), lambda w: marked(spans, w)))
     clean = F.when(F.size("found") > 0, done).otherwise(text)
     out = found.select(*[c for c in docs.columns if c != text_col], clean.alias(text_col),
                        (F.size("found") > 0).alias(P + "hit"))
@@ -300,7 +335,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars",
 
 def op10_secrets(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = find_secrets(docs)
+    found = find_secrets(docs, keep=["doc_id"])
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(spans_text(F.col("base_found")), 256).alias("base_sha256"),
                         spans_text(F.col("found")).alias("spans"))

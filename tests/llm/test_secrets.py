@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -68,7 +69,8 @@ def test_redaction(spark):
             (4, "😀 0123456789abcdef01234567é", 27, None), (5, "clean", 5, None), (5, "clean", 5, None),
             (None, "secret=0123456789abcdef01234567", 31, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, found string")
-    got = secrets.redact(df).collect()
+    # rows come in no order: those with an id by it, then the one without
+    got = sorted(secrets.redact(df).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
     assert got[0].__fields__ == df.columns
     text = [r.text for r in got]
     assert text == ['pw: [SECRET]" end', None, "", "😀 [SECRET]é", "clean", "clean", "[SECRET]"]
@@ -90,3 +92,55 @@ def test_letter_runs_mixed_runs_and_rests_of_runs_are_tested(spark):
            for r in secrets.find_secrets(df).collect()}
     hits = [any(k in span for span in got[i]) for i, k in enumerate([*only, *mixed, *rest])]
     assert [sum(hits[a:a + 20]) >= 18 for a in (0, 20, 40)] == [True] * 3
+
+
+def test_running_totals_and_highest(spark):
+    from cartwise.llm.common import highest_before, let, totals_before
+
+    rng = random.Random(1)
+    rows = [([rng.randrange(1, 9) for _ in range(n)],) for n in (0, 1, 2, 63, 64, 65, 128, 500)]
+    df = spark.createDataFrame(rows, "x array<long>").select(
+        "x", let(F.col("x"), totals_before).alias("t"), let(F.col("x"), highest_before).alias("h"))
+    for r in df.collect():
+        assert r.t == [sum(r.x[:i]) for i in range(len(r.x))]
+        assert r.h == [max([0, *r.x[:i]]) for i in range(len(r.x))]
+
+
+def test_redaction_against_a_loop(spark):
+    texts = [*noisy(5), None, "", "no secret", "token=abcdef", "😀 token: abcdef\n😀"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn(
+        "n_chars", F.coalesce(F.char_length("text"), F.lit(0)))
+    found = {r.doc_id: r.found for r in secrets.find_secrets(df).collect()}
+    out = {r.doc_id: r for r in secrets.redact(df).collect()}
+    for i, text in enumerate(texts):
+        want, at = [], 0
+        for s in found[i]:
+            if s.start >= at:
+                want += [text[at:s.start], "[SECRET]"]
+            at = max(at, s.end)
+        assert out[i].text == (text if not found[i] else "".join(want) + text[at:])
+        assert out[i].n_chars == len(out[i].text or "")
+
+
+def test_one_long_text_in_linear_time(spark):
+    def seconds(n):
+        rng = random.Random(n)
+        word = lambda k: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(k))
+        text = " ".join(f"token=abc{i}def {word(24)}-" for i in range(n // 2))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        r = secrets.redact(df).crossJoin(secrets.find_secrets(df, keep=["doc_id"]).drop("doc_id")).first()
+        assert r.n_assign == n // 2 and len(r.found) >= n * 0.95 and r.text.count("[SECRET]") >= n * 0.95
+        return time.time() - began
+
+    seconds(1000)
+    few = max(1.0, seconds(4000))
+    assert seconds(32_000) < 12 * few
+
+
+def test_texts_are_scanned_once_and_not_kept(spark):
+    df = spark.createDataFrame([(1, "token=abcdef", 2)], "doc_id long, text string, other int")
+    scanned = secrets.scan(df, keep=["other"])
+    assert scanned.columns == ["other", "__sec_base", "__sec_cand"]
+    plan = secrets.find_secrets(df, keep=["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" not in plan and "text" not in plan
