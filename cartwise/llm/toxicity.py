@@ -1,13 +1,16 @@
 """Toxicity by a linear-chain conditional random field over words.
 
-Training.  A bounded sample of labelled documents (``train_docs`` of each label,
-by the smallest hashes of their ids; near copies among them count once) gives
+Training.  A bounded sample of labelled documents (``train_docs`` and ``train_bytes``
+of each label, whole texts in the order of hashes of their ids; near copies among them
+count once) gives
 token labels: in a toxic document, a word is toxic if it, or one of its beginnings of
 four to eight letters, is much commoner in toxic than in clean documents.  A two-label
 chain per sentence is then fitted to the tokens of all sampled documents by
-gradient ascent on the likelihood (forward-backward marginals minus labels);
-features are the word and those beginnings.  Texts are learnt from whole; memory is
-bounded by the number of documents and held as one number per token.  A logistic
+gradient ascent on the penalised likelihood: what is observed minus what is expected,
+of every feature from the marginals and of every pair of neighbouring labels from the
+pairwise marginals, both of one forward and one backward sweep, with a step of its own
+for each parameter (Adagrad); features are the word and those beginnings.  Texts are
+learnt from whole; memory is bounded by the sample's bytes.  A logistic
 curve over two summaries of a document's marginals maps them to a score; it is fitted
 to whole texts under the weights that scoring uses.
 
@@ -34,7 +37,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +48,8 @@ STOPS = frozenset(".!?\n")
 BEGINNINGS = (4, 5, 6, 7, 8)
 WIDTH = 1 + len(BEGINNINGS)  # features of a word at most
 CACHE_WORDS = 100_000   # emissions remembered per task
+TRAIN_BYTES = 32 << 20  # of texts of each label in the sample
+RIDGE = 0.05            # penalty of the likelihood: half of it times the squared weights
 BATCH_TOKENS = 1 << 18  # tokens swept at once (a longer text is swept alone)
 
 
@@ -79,41 +84,72 @@ def chains(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.flatnonzero(edge == -1) - begin
 
 
-def marginals(emissions: np.ndarray, begin: np.ndarray, length: np.ndarray,
-              trans: np.ndarray) -> np.ndarray:
-    """P(label 1) of every place of every chain, by forward and backward ratios;
-    all chains advance together, longest first."""
-    out = np.zeros(len(emissions))
+@dataclass
+class Sweeps:
+    """Ratios of label 1 to label 0 at every place: of the emission, of all before the
+    place and itself, and of all behind it; and the log of each chain's normaliser."""
+
+    e: np.ndarray
+    forward: np.ndarray
+    back: np.ndarray
+    log_z: float
+    trans: np.ndarray
+
+    def marginals(self) -> np.ndarray:
+        """P(label 1) of every place (0 outside of chains)."""
+        ratio = self.forward * self.back
+        return ratio / (1.0 + ratio)
+
+    def pairs(self, follows: np.ndarray) -> np.ndarray:
+        """Expected number of each pair of labels over places ``follows`` and the next."""
+        f, behind = self.forward[follows], (self.e * self.back)[follows + 1]
+        (t00, t01), (t10, t11) = np.exp(self.trans)
+        joint = np.stack([np.full(len(f), t00), t01 * behind, t10 * f, t11 * f * behind])
+        return (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+
+
+def sweeps(emissions: np.ndarray, begin: np.ndarray, length: np.ndarray, trans: np.ndarray) -> Sweeps:
+    """One forward and one backward sweep; all chains advance together, longest first."""
+    forward, behind = np.zeros(len(emissions)), np.ones(len(emissions))
+    e = np.exp(np.clip(np.nan_to_num(emissions), -30, 30))
     if not len(begin):
-        return out
+        return Sweeps(e, forward, behind, 0.0, trans)
     order = np.argsort(-length, kind="stable")
     begin, length = begin[order], length[order]
-    e = np.exp(np.clip(np.nan_to_num(emissions), -30, 30))
     (t00, t01), (t10, t11) = np.exp(trans)
     active = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")
-    forward = np.empty(len(emissions))
     r = e[begin]
     forward[begin] = r
+    log_z = 0.0
     for step in range(1, int(length[0])):
         k = active[step]
         at = begin[:k] + step
-        r = e[at] * (t01 + r[:k] * t11) / (t00 + r[:k] * t10)
+        scale = t00 + r[:k] * t10
+        log_z += np.log(scale).sum()
+        r = e[at] * (t01 + r[:k] * t11) / scale
         forward[at] = r
+    log_z += np.log1p(forward[begin + length - 1]).sum()
     back = np.ones(len(begin))
     for step in range(int(length[0]) - 1, -1, -1):
         k = active[step]
         at = begin[:k] + step
-        ratio = forward[at] * back[:k]
-        out[at] = ratio / (1.0 + ratio)
+        behind[at] = back[:k]
         ahead = e[at] * back[:k]
         back[:k] = (t10 + t11 * ahead) / (t00 + t01 * ahead)
-    return out
+    return Sweeps(e, forward, behind, log_z, trans)
+
+
+def marginals(emissions: np.ndarray, begin: np.ndarray, length: np.ndarray,
+              trans: np.ndarray) -> np.ndarray:
+    """P(label 1) of every place of every chain."""
+    return sweeps(emissions, begin, length, trans).marginals()
 
 
 # ---- training ------------------------------------------------------------------
-def _sample(docs: DataFrame, labels: DataFrame, per_label: int, id_col: str, text_col: str,
-            label_col: str) -> list[tuple[str, int]]:
-    """At most ``per_label`` texts of each label, those of smallest id hash."""
+def _sample(docs: DataFrame, labels: DataFrame, per_label: int, most_bytes: int, id_col: str,
+            text_col: str, label_col: str) -> list[tuple[str, int]]:
+    """At most ``per_label`` whole texts of each label, those of smallest id hash, as
+    long as they hold ``most_bytes`` together (the first is taken whatever its size)."""
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y")))
     chosen = None
@@ -125,7 +161,11 @@ def _sample(docs: DataFrame, labels: DataFrame, per_label: int, id_col: str, tex
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
             .join(F.broadcast(chosen), "_id").where(F.length("_text") > 0)
             .groupBy("_id", "_y").agg(F.max("_text").alias("_text")))
-    return [(r["_text"], int(r["_y"])) for r in rows.orderBy("_id").collect()]
+    first = Window.partitionBy("_y").orderBy(F.xxhash64("_id", F.lit(11)), "_id")
+    size = F.sum(F.octet_length("_text")).over(first.rowsBetween(Window.unboundedPreceding, 0))
+    rows = (rows.withColumn("_size", size).withColumn("_place", F.row_number().over(first))
+            .where((F.col("_size") <= most_bytes) | (F.col("_place") == 1)))
+    return [(r["_text"], int(r["_y"])) for r in rows.orderBy("_id").select("_text", "_y").collect()]
 
 
 def _distinct(texts: list[list[str]], labels: np.ndarray) -> list[int]:
@@ -172,11 +212,42 @@ def token_labels(texts: list[list[str]], y: np.ndarray, lift: float = 5.0,
             and evidence(c, counts[0][f]) >= needed}
 
 
+@dataclass
+class Tokens:
+    """The sampled tokens: words' numbers, features of words, stops, labels, chains."""
+
+    tokens: np.ndarray
+    feats: np.ndarray
+    stop: np.ndarray
+    target: np.ndarray
+    begin: np.ndarray
+    length: np.ndarray
+
+
+def likelihood(data: Tokens, w: np.ndarray, bias: float, trans: np.ndarray):
+    """The penalised log likelihood of the labels, and its gradient for the weights
+    (number 0 is no feature), the bias and the transitions."""
+    inner = ~data.stop
+    emission = (bias + w[data.feats].sum(axis=1))[data.tokens]
+    found = sweeps(np.where(data.stop, np.nan, emission), data.begin, data.length, trans)
+    follows = np.flatnonzero(inner[1:] & inner[:-1])
+    label = data.target.astype(np.int64)
+    observed = np.bincount(2 * label[follows] + label[follows + 1], minlength=4).reshape(2, 2)
+    value = (emission * data.target)[inner].sum() + (observed * trans).sum() - found.log_z
+    gap = np.where(inner, data.target - found.marginals(), 0.0)
+    of_word = np.bincount(data.tokens, weights=gap, minlength=len(data.feats))
+    grad = sum(np.bincount(data.feats[:, k], weights=of_word, minlength=len(w)) for k in range(WIDTH))
+    grad[0] = 0.0
+    return (value - RIDGE / 2 * ((w * w).sum() + (trans * trans).sum()),
+            (grad - RIDGE * w, np.array([gap.sum()]), observed - found.pairs(follows) - RIDGE * trans))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", train_docs: int = 1500, rounds: int = 40) -> Model:
+          label_col: str = "toxic", train_docs: int = 1500, train_bytes: int = TRAIN_BYTES,
+          rounds: int = 40) -> Model:
     """Fit the chain on a bounded sample: the whole texts of ``train_docs``
-    documents of each label."""
-    rows = _sample(docs, labels, train_docs, id_col, text_col, label_col)
+    documents, or ``train_bytes`` of them, of each label."""
+    rows = _sample(docs, labels, train_docs, train_bytes, id_col, text_col, label_col)
     y = np.array([r[1] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return Model(constant=float(y.mean()) if len(y) else 0.0)
@@ -204,32 +275,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     stop = stops[tokens]
     target = (marked[tokens] & (y[doc] == 1)).astype(float)
     begin, length = chains(np.where(stop, np.nan, 0.0))
-    inner = ~stop
-    follows = inner[1:] & inner[:-1]
-    size = len(number) + 1
-    w, bias, trans = np.zeros(size), -4.0, np.zeros((2, 2))
-    often = np.bincount(tokens, weights=inner, minlength=len(vocabulary))
-    seen = sum(np.bincount(feats[:, k], weights=often, minlength=size) for k in range(WIDTH))
-    step = np.zeros(size)
-    for turn in range(rounds):  # gradient ascent with a step per weight (Adagrad)
-        e = (bias + w[feats].sum(axis=1))[tokens]
-        p = marginals(np.where(stop, np.nan, e), begin, length, trans)
-        gap = np.where(inner, target - p, 0.0)
-        of_word = np.bincount(tokens, weights=gap, minlength=len(vocabulary))
-        grad = sum(np.bincount(feats[:, k], weights=of_word, minlength=size) for k in range(WIDTH)) - 0.05 * w
-        grad[0] = 0.0
-        step += grad * grad
-        w += 1.0 * grad / np.sqrt(step + 1e-6) / (1 + 0.05 * turn)
-        w[0] = 0.0
-        bias += np.clip(gap.sum() / max(1, inner.sum()) * 50, -0.5, 0.5)
-        # expected pairs of labels, from marginals of neighbours
-        a, b = p[:-1][follows], p[1:][follows]
-        ta, tb = target[:-1][follows], target[1:][follows]
-        expected = np.array([[((1 - a) * (1 - b)).sum(), ((1 - a) * b).sum()],
-                             [(a * (1 - b)).sum(), (a * b).sum()]])
-        observed = np.array([[((1 - ta) * (1 - tb)).sum(), ((1 - ta) * tb).sum()],
-                             [(ta * (1 - tb)).sum(), (ta * tb).sum()]])
-        trans += np.clip((observed - expected) / (observed + expected + 10.0), -0.3, 0.3)
+    data = Tokens(tokens, feats, stop, target, begin, length)
+    w, bias, trans = np.zeros(len(number) + 1), -4.0, np.zeros((2, 2))
+    sums = [np.zeros_like(w), np.zeros(1), np.zeros((2, 2))]
+    for turn in range(rounds):
+        _, grads = likelihood(data, w, bias, trans)
+        moves = []
+        for total, grad in zip(sums, grads):  # a step for each parameter (Adagrad)
+            total += grad * grad
+            moves.append(grad / np.sqrt(total + 1e-6) / (1 + 0.05 * turn))
+        w, bias, trans = w + moves[0], bias + 0.5 * float(moves[1][0]), trans + 0.5 * moves[2]
+    often = np.bincount(tokens, weights=~stop, minlength=len(vocabulary))
+    seen = sum(np.bincount(feats[:, k], weights=often, minlength=len(w)) for k in range(WIDTH))
     w[(np.abs(w) <= 0.01) | (seen <= 1)] = 0.0
     weights = {f: float(w[i]) for f, i in number.items() if w[i]}
     e = (bias + w[feats].sum(axis=1))[tokens]  # as the scorer has them

@@ -23,6 +23,81 @@ def test_marginals_are_those_of_all_labellings():
         assert np.allclose(got[b:b + n], ones / total)
 
 
+def test_pairwise_marginals_and_normalisers_are_those_of_all_labellings():
+    two = tx.sweeps(np.zeros(2), np.array([0]), np.array([2]), np.array([[2.0, 0.0], [0.0, 2.0]]))
+    assert two.pairs(np.array([0]))[1, 1] == np.exp(2) / (2 * np.exp(2) + 2)  # .44, not .25
+    rng = np.random.default_rng(4)
+    trans = rng.normal(size=(2, 2))
+    emissions = np.array([*rng.normal(size=4), np.nan, *rng.normal(size=5), np.nan, 0.7])
+    begin, length = tx.chains(emissions)
+    found = tx.sweeps(emissions, begin, length, trans)
+    want, log_z = np.zeros((2, 2)), 0.0
+    for b, n in zip(begin, length):
+        total, pairs = 0.0, np.zeros((2, 2))
+        for ys in itertools.product((0, 1), repeat=int(n)):
+            s = np.exp(sum(emissions[b + i] * y for i, y in enumerate(ys))
+                       + sum(trans[a, c] for a, c in zip(ys, ys[1:])))
+            total += s
+            for a, c in zip(ys, ys[1:]):
+                pairs[a, c] += s
+        want, log_z = want + pairs / total, log_z + np.log(total)
+    word = ~np.isnan(emissions)
+    assert np.allclose(found.pairs(np.flatnonzero(word[1:] & word[:-1])), want)
+    assert np.isclose(found.log_z, log_z)
+
+
+def _tokens(seed):
+    rng = np.random.default_rng(seed)
+    words, n = 6, 40
+    stop_word = words - 1
+    tokens = rng.integers(0, words, n)
+    stops = np.arange(words) == stop_word
+    feats = np.zeros((words, tx.WIDTH), dtype=np.int64)
+    for i in range(words - 1):
+        feats[i, :2] = [i + 1, 6 + i % 2]
+    stop = stops[tokens]
+    target = np.where(stop, 0.0, rng.integers(0, 2, n))
+    begin, length = tx.chains(np.where(stop, np.nan, 0.0))
+    return tx.Tokens(tokens, feats, stop, target, begin, length), rng
+
+
+def test_gradient_equals_finite_differences():
+    for seed in (1, 2):
+        data, rng = _tokens(seed)
+        w, bias, trans = rng.normal(size=8), -0.3, rng.normal(size=(2, 2))
+        w[0] = 0.0
+        _, (gw, gb, gt) = tx.likelihood(data, w, bias, trans)
+        h = 1e-6
+
+        def slope(f):
+            return (f(h) - f(-h)) / (2 * h)
+
+        for i in range(1, 8):
+            step = np.zeros(8)
+            step[i] = 1.0
+            assert np.isclose(gw[i], slope(lambda x: tx.likelihood(data, w + x * step, bias, trans)[0]), atol=1e-5)
+        assert np.isclose(gb[0], slope(lambda x: tx.likelihood(data, w, bias + x, trans)[0]), atol=1e-5)
+        for a, b in itertools.product((0, 1), repeat=2):
+            step = np.zeros((2, 2))
+            step[a, b] = 1.0
+            assert np.isclose(gt[a, b], slope(lambda x: tx.likelihood(data, w, bias, trans + x * step)[0]), atol=1e-5)
+
+
+def test_sample_is_bounded_in_documents_and_bytes_and_holds_whole_texts(spark):
+    rows = [(i, f"w{i} " * (2000 if i % 10 == 0 else 20)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    texts = dict(rows)
+    got = tx._sample(docs, labels, 50, 1 << 30, "doc_id", "text", "toxic")
+    assert len(got) == 100 and {t for t, _ in got} <= set(texts.values())
+    small = tx._sample(docs, labels, 50, 30_000, "doc_id", "text", "toxic")
+    for y in (0, 1):
+        mine = [t for t, label in small if label == y]
+        assert mine and set(mine) <= set(texts.values())
+        assert sum(map(len, mine)) <= 30_000 or len(mine) == 1
+    assert len(tx._sample(docs, labels, 50, 1, "doc_id", "text", "toxic")) == 2
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
