@@ -39,6 +39,8 @@ from cartwise.llm.common import table
 
 SPACE = "▁"
 CACHE_PARTS = 200_000   # in each of two generations
+LONGEST = 48            # characters of a part that is remembered; longer ones seldom recur
+PART_ROOM = 24          # and characters of parts and their ids, a part, that a generation holds
 CACHE_PAIRS = 500_000
 
 
@@ -86,6 +88,8 @@ class Encoder:
         self.older: dict[str, str] = {}
         self.odd: set[str] = set()
         self.limit = CACHE_PARTS
+        self.room = 0       # characters held by the newer generation
+        self.unsure = False  # the text in hand has an odd part that is not remembered
         self.last_special = max([i for i, ok in enumerate(vocab.normal) if not ok], default=-1)
         crossing = any(SPACE in p[1:] and p.strip(SPACE) for p in self.id)
         outside = "".join(c for c in "\n\t\r" if c not in self.alphabet)
@@ -180,33 +184,42 @@ class Encoder:
         marked = SPACE + text.replace(" ", SPACE)
         parts = self.cut.findall(marked)
         known = self.known
+        self.unsure = False
         try:
             ids = [known[p] for p in parts]
         except KeyError:
             ids = [known.get(p) or self._remember(p) for p in parts]
-        if self.odd and not self.odd.isdisjoint(parts):
+        if self.unsure or self.odd and not self.odd.isdisjoint(parts):
             return ",".join(ids), self.decode(list(map(int, ",".join(ids).split(","))))
         # the pieces of every part spell the part
         return ",".join(ids), marked[1:].replace(SPACE, " ")
 
     def _remember(self, part: str) -> str:
         """A part's ids, remembered in the newer of two generations: a full one
-        becomes the older, and parts still in use move to the newer again.  Parts
-        whose ids do not decode to the part are noted as odd."""
+        becomes the older, and parts still in use move to the newer again.  Long
+        parts are encoded each time: memory is bounded in characters, not only in
+        parts.  Parts whose ids do not decode to the part are noted as odd."""
         entry = self.known.get(part) or self.older.get(part)
         if entry is None:
             ids = self.encode_part(part)
             entry = ",".join(map(str, ids))
-            if min(ids) <= self.last_special and self.surface(ids) != part.replace(SPACE, " "):
+            odd = min(ids) <= self.last_special and self.surface(ids) != part.replace(SPACE, " ")
+            if len(part) > LONGEST:
+                self.unsure |= odd
+                return entry
+            if odd:
                 if len(self.odd) >= CACHE_PARTS:
                     self.odd.clear()
                     self.known.clear()
                     self.older.clear()
+                    self.room, self.unsure = 0, True  # odd parts of this text are forgotten
                 self.odd.add(part)
-        if len(self.known) >= self.limit:
+        if len(self.known) >= self.limit or self.room >= PART_ROOM * self.limit:
             self.older = dict(self.known)
             self.known.clear()
+            self.room = 0
         self.known[part] = entry
+        self.room += len(part) + len(entry)
         return entry
 
     def surface(self, ids: list[int]) -> str:

@@ -43,6 +43,38 @@ def test_small_memories_change_nothing(model, monkeypatch):
     assert encoder.encode(text) == model.encode(text)
 
 
+def test_remembered_characters_are_bounded(model, monkeypatch):
+    """Texts without spaces are one part each; scripts without spaces, many long ones."""
+    monkeypatch.setattr(pieces, "CACHE_PARTS", 200)
+    encoder = pieces.Encoder(pieces.Vocabulary.load(pieces.default_model()))
+    rng = random.Random(6)
+    alphabet = sorted(encoder.alphabet)
+
+    def held():
+        return sum(len(k) + len(v) for d in (encoder.known, encoder.older) for k, v in d.items())
+
+    most = 2 * (200 * pieces.PART_ROOM + 10 * pieces.LONGEST)
+    for n in (5, 40, 48, 49, 400, 60_000):
+        for _ in range(300 if n < 100 else 3):
+            text = "".join(rng.choices(alphabet[200:], k=n)) if n % 2 else "".join(rng.choices("abcdef", k=n))
+            encoder.encoded(text)
+            assert held() <= most
+    assert all(len(k) <= pieces.LONGEST for k in encoder.known)
+    text = "x" * 100_000 + "\x00" + "é😀" * 10_000
+    assert encoder.encode(text) == model.encode(text)
+
+
+def test_odd_parts_forgotten_within_a_text(model, monkeypatch):
+    """A text with more odd parts than are remembered decodes as ever."""
+    monkeypatch.setattr(pieces, "CACHE_PARTS", 4)
+    encoder = pieces.Encoder(pieces.Vocabulary.load(pieces.default_model()))
+    bad = [f"{chr(0xE000 + i)}{'q' * (i % 60)}" for i in range(40)]
+    for text in (" ".join(bad), " ".join(bad[:6] + ["plain"] * 20), bad[0] + "z" * 60, "ok " + bad[5], "▁x ok"):
+        ids, decoded = encoder.encoded(text)
+        assert list(map(int, ids.split(","))) == model.encode(text)
+        assert decoded == model.decode(model.encode(text))
+
+
 def test_query_against_the_library(spark, model, texts):
     from conftest import SF_SMALL
 
