@@ -32,10 +32,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
+def file_batches(path: str, rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of one Parquet file, read inside a task."""
+    fs, name = _opened(path)
+    with fs.open_input_file(name) as file:
+        yield from pq.ParquetFile(file).iter_batches(batch_size=rows)
+
+
 def parquet_batches(path: str, rows: int) -> Iterator[pa.RecordBatch]:
     """Batches of a written table, read inside a task by its path, in the order of the
     files' names."""
-    fs, base = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    fs, base = _opened(path)
     for info in sorted(fs.get_file_info(pafs.FileSelector(base)), key=lambda i: i.path):
         if info.base_name.endswith(".parquet"):
             with fs.open_input_file(info.path) as file:
