@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.expr import cart_percentile_sum, hour_of_week
 from cartwise.operators.sequence import DEFAULT_BLOCK, running_sums
-from cartwise.session import delete_path, scratch_path
+from cartwise.session import delete_path, scratch_path, spread
 from cartwise.sources.readers import history_header, history_lines
 
 # Fixed value: "last five orders" means order_number >= N - 5.
@@ -66,8 +66,8 @@ class Basket:
 
         body = ["order_id", "product_id", "add_to_cart_order"]
         headers = rows(prior, False).unionByName(rows(newest, True))
-        self._init(headers, headers, prior.select(*body).unionByName(newest.select(*body)),
-                   block_size, materialize)
+        lines = prior.select(*body).unionByName(newest.select(*body))
+        self._init(headers, headers, lines, lines, block_size, materialize)
 
     @classmethod
     def from_history(cls, orders: DataFrame, lines: DataFrame, user_limit: int | None = None,
@@ -77,13 +77,15 @@ class Basket:
         header = history_header(orders, user_limit)
         body = history_lines(lines)
         carts = body.groupBy("order_id").agg(F.max("add_to_cart_order").alias("cart_size"))
-        self._init(header, header.join(carts, "order_id"), body, block_size, materialize)
+        dealt = spread(header, orders.count(), "order_id")
+        self._init(header, dealt.join(carts, "order_id"), body, lines, block_size, materialize)
         return self
 
-    def _init(self, keys, headers, lines, block_size, materialize) -> None:
+    def _init(self, keys, headers, lines, counted, block_size, materialize) -> None:
         self._keys = keys.select("order_id", "user_id", "is_newest")
         self._headers = headers
         self._lines = lines
+        self._counted = counted  # the lines as they are stored: files know their number of rows
         self.block_size = block_size
         self.materialize = materialize
         self._staged: list[str] = []
@@ -108,6 +110,11 @@ class Basket:
             delete_path(self._lines.sparkSession, path)
         self._staged.clear()
 
+    @cached_property
+    def n_lines(self) -> int:
+        """Rows of the line table given, some of which may not be read."""
+        return self._counted.count()
+
     # ---- order level -------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
@@ -166,7 +173,9 @@ class Basket:
     # ---- (user, product) level ---------------------------------------
     def pair_rows(self, level: str) -> DataFrame:
         """The plan of ``pairs(level)``, newest-only pairs included."""
-        joined = self._lines.join(self._order_values(level), "order_id")
+        # tasks of a bounded number of lines; an order is small
+        lines = spread(self._lines, self.n_lines, "order_id")
+        joined = lines.join(self._order_values(level), "order_id")
         # the order_id partitioning of the join satisfies this grouping; it makes
         # distinct-order counts exact even if a product repeats within an order
         values = {"orders": ["order_number", "cart_size", "how", "recent"],

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartwise.session import spread
 from cartwise.sources.tables import read_table
 
 
@@ -43,13 +44,15 @@ def tpch_lines(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFr
                           ["l_orderkey", "l_partkey", "l_linenumber"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
     brand = _product(grain)
-    firsts = (
+    bought = (
         lineitem.where(F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull())
         .join(part.select("p_partkey", brand.alias("product_id")),
               F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
-        .agg(F.min("l_linenumber").alias("ln"))
+        .select(F.col("l_orderkey").alias("order_id"), "product_id", "l_linenumber")
     )
+    # by order: serves the grouping and the window below
+    firsts = (spread(bought, lineitem.count(), "order_id").groupBy("order_id", "product_id")
+              .agg(F.min("l_linenumber").alias("ln")))
     # A cart holds at most one row per product and an order has few lines
     # (at most 7 in TPC-H), so this window is bounded.
     w = Window.partitionBy("order_id").orderBy("ln", "product_id")
@@ -63,12 +66,15 @@ def tpch_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame
     """Order header with order_number, gaps and eval_set."""
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"])
+    n_orders = orders.count()
+    with_lines = lines.select(F.col("order_id").alias("o_orderkey")).distinct()
     kept = (
-        orders.where(F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull())
-        .join(lines.select(F.col("order_id").alias("o_orderkey")).distinct(),
-              "o_orderkey", "left_semi")
+        spread(orders.where(F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull()),
+               n_orders, "o_orderkey")
+        .join(with_lines, "o_orderkey", "left_semi")
         .withColumn("day", F.to_date("o_orderdate"))
     )
+    kept = spread(kept, n_orders, "o_custkey", "day")
     in_day = Window.partitionBy("o_custkey", "day").orderBy("o_orderdate", "o_orderkey")
     numbered = kept.withColumn("rn", F.row_number().over(in_day))
 

@@ -16,7 +16,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.session import checkpoint_dir, delete_path
+from cartwise.session import checkpoint_dir, delete_path, spread
 from cartwise.sources.adapter import (tpch_lines, tpch_orders, tpch_product_attributes,
                                        tpch_products)
 from cartwise.sources.readers import load_basket, read_products_csv
@@ -59,7 +59,7 @@ def _history_paths(spark: SparkSession, sf_dir: str, grain: str) -> tuple[str, s
     lines = spark.read.parquet(raw)
     tpch_orders(spark, sf_dir, lines).write.mode("overwrite").parquet(paths[0])
     header = spark.read.parquet(paths[0]).select("order_id", "eval_set")
-    (lines.join(header, "order_id").write.mode("overwrite")
+    (spread(lines, lines.count(), "order_id").join(header, "order_id").write.mode("overwrite")
      .partitionBy("eval_set").parquet(paths[1]))
     tpch_products(spark, sf_dir, grain).write.mode("overwrite").parquet(paths[2])
     delete_path(spark, raw)
