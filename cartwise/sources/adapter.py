@@ -66,12 +66,15 @@ def tpch_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame
     """Order header with order_number, gaps and eval_set."""
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"])
-    n_orders = orders.count()
-    with_lines = lines.select(F.col("order_id").alias("o_orderkey")).distinct()
+    n_orders, n_lines = orders.count(), lines.count()
+    # both sides dealt alike, as one left to the session has both dealt anew, by bytes; an
+    # inner join with distinct ids, as a semi join is pushed below the dealing of its rows
+    with_lines = spread(lines.select(F.col("order_id").alias("o_orderkey")),
+                        n_lines, "o_orderkey").distinct()
     kept = (
         spread(orders.where(F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull()),
-               n_orders, "o_orderkey")
-        .join(with_lines, "o_orderkey", "left_semi")
+               n_lines, "o_orderkey")
+        .join(with_lines, "o_orderkey")
         .withColumn("day", F.to_date("o_orderdate"))
     )
     kept = spread(kept, n_orders, "o_custkey", "day")

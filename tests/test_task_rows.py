@@ -53,3 +53,34 @@ def test_pairs_and_history_are_the_same_in_tasks_of_few_rows(spark, monkeypatch)
            base.join(header.select("order_id", "eval_set"), "order_id").select(*lines.columns),
            header.select(*orders.columns)]
     assert [_rows(df) for df in got] == wanted
+
+
+def test_orders_meet_their_lines_in_tasks_of_few_rows(spark, monkeypatch):
+    base = tpch_lines(spark, SF)
+    wanted = _rows(tpch_orders(spark, SF, base))
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        header = tpch_orders(spark, SF, base)
+        plan = header._jdf.queryExecution().executedPlan().toString()
+        # adaptive execution may merge what it dealt itself, so nothing is dealt by it here
+        assert not re.findall(r"hashpartitioning\(o_orderkey[^()]*\), ENSURE_REQUIREMENTS", plan)
+        assert re.findall(r"hashpartitioning\(o_orderkey[^()]*\), REPARTITION_BY_NUM", plan)
+        assert _rows(header) == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_an_order_given_twice_or_without_lines(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    day = datetime(2020, 1, 2)
+    orders = [(1, 7, day, "F"), (1, 7, day, "F"), (2, 7, day, "F"), (None, 7, day, "F"), (3, None, day, "F")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderstatus string"
+                          ).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.createDataFrame([(1, 4), (1, 5), (3, 4), (None, 4)], "order_id long, product_id long")
+    for rows in (500_000, 1):
+        monkeypatch.setattr(session, "TASK_ROWS", rows)
+        got = tpch_orders(spark, str(tmp_path), lines).select("order_id", "order_number").collect()
+        assert sorted(map(tuple, got)) == [(1, 1), (1, 2)]
