@@ -80,6 +80,31 @@ def test_hub_with_more_members_than_one_group_holds(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(df).collect()} == classes(docs)
 
 
+def test_copies_that_do_not_link_meet_once(spark, monkeypatch):
+    """Copies below the similarity share hundreds of shingles, and make one pair each,
+    not one for every shingle."""
+    made, met = [], jaccard._met
+
+    def counted(index):
+        rows = met(index)
+        made.append((rows.count(), rows.distinct().count()))
+        return rows
+
+    monkeypatch.setattr(jaccard, "_met", counted)
+    monkeypatch.setattr(jaccard, "SAMPLE_SHARE", 2.0)  # none is frequent among so few texts
+    rng, docs = np.random.default_rng(3), []
+    base = [f"w{i}" for i in range(400)]
+    for k in range(16):
+        own = list(base)
+        for at in rng.choice(400, 16 if k % 4 else 4, replace=False):
+            own[at] = f"x{k}-{at}"
+        docs.append((k, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(df).collect()} == classes(docs)
+    rows, pairs = made[0]
+    assert pairs > 20 and rows <= 2 * pairs
+
+
 def test_edge_cases(spark):
     p = "one two three four five six seven"
     rows = [(5, p, 1, "k"), (3, p.upper(), 1, None), (3, p.upper(), 1, None), (None, p, 1, None),
