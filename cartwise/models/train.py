@@ -15,7 +15,8 @@ on them is read after every round; when no round of the last 20 is better than t
 best before them, that best number of rounds is used for a fit on all users.  If the
 best is among the last 20, the rounds are doubled (40, 80, ... up to 10,000) and the
 fit is repeated.  The AUC of all rounds of a fit comes from one aggregation of the
-held-out rows by (round, score bucket); beyond 64 rounds, one for each 64.
+held-out rows by (round, score bucket), counted in the tasks that read them; beyond 64
+rounds, one for each 64.
 
 Both models are fitted as ``PipelineModel`` (assembler + classifier), so one
 object scores a frame of raw feature columns and can be saved and loaded.
@@ -24,7 +25,10 @@ object scores a frame of raw feature columns and can be saved and loaded.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwise.models.expressions import balanced_sum, boosted_probability, tree_expressions
+from cartwise.models.expressions import balanced_sum, tree_expressions
 from cartwise.operators.rank import auc_by_group
 from cartwise.operators.split import train_test_by_group
 from cartwise.schema import FEATURES, ID_COL, LABEL_COL
@@ -102,6 +106,32 @@ def fit_logistic_regression(train: DataFrame, features: list[str] = FEATURES,
     return _pipeline(est, features).fit(_labelled(train, label))
 
 
+def _cell_counter(rounds: int, buckets: int) -> Callable:
+    """Counts a task's rows by (round, score bucket, label) from the predictions of each
+    row's trees, so that no row is repeated for every round.  (A nested function: the
+    executors need not import this module.)"""
+    def count(batches):
+        at_round = np.arange(rounds) * (buckets + 1)
+        seen = np.zeros((2, rounds * (buckets + 1)), dtype=np.int64)
+        for batch in batches:
+            trees = batch.column("_t").flatten().to_numpy(zero_copy_only=False).reshape(-1, rounds)
+            before = batch.column("_m").to_numpy(zero_copy_only=False)
+            positive = batch.column("_p").to_numpy(zero_copy_only=False)
+            # summed in the order of boosting; the column before the first tree is dropped
+            margins = np.cumsum(np.column_stack([before, trees]), axis=1)[:, 1:]
+            with np.errstate(over="ignore"):  # exp may become infinite: a score of zero
+                scores = 1.0 / (1.0 + np.exp(-(2.0 * margins)))  # as ``boosted_probability``
+            cells = np.floor(scores * buckets).astype(np.int64) + at_round
+            for label, rows in enumerate((~positive, positive)):
+                seen[label] += np.bincount(cells[rows].ravel(), minlength=seen.shape[1])
+        found = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((found // (buckets + 1)).astype(np.int32)), pa.array(found % (buckets + 1)),
+             pa.array(seen[1][found]), pa.array(seen[0][found])], names=["_r", "_s", "_pos", "_neg"])
+
+    return count
+
+
 def auc_by_round(model: GBTClassificationModel, rows: DataFrame, features: list[str] = FEATURES,
                  label: str = LABEL_COL) -> list[float]:
     """AUC on ``rows`` of the ensemble cut after each of its rounds (0.5 where the rows
@@ -111,16 +141,11 @@ def auc_by_round(model: GBTClassificationModel, rows: DataFrame, features: list[
     now = rows.select(F.col(label).cast("long").alias("_y"), *features, F.lit(0.0).alias("_m"))
     for at in range(0, len(trees), ROUNDS_AT_ONCE):
         some = trees[at:at + ROUNDS_AT_ONCE]
-        # the margin after each of these rounds: sums over the beginnings of an array
-        upto = F.sequence(F.lit(1), F.lit(len(some)))
-        margins = F.transform(upto, lambda i: F.aggregate(
-            F.slice("_t", F.lit(1), i), F.col("_m"), lambda a, x: a + x))
-        # two uses of _t, so that no tree is computed again for every round
-        each = (now.select("_y", "_m", F.array(*some).alias("_t"))
-                .select("_y", F.posexplode(F.when(F.size("_t") > 0, margins)).alias("_r", "_margin")))
-        scored = each.select("_y", "_r", F.floor(boosted_probability(F.col("_margin")) * AUC_BUCKETS)
-                             .alias("_s"))
-        found = {r["_r"]: r["auc"] for r in auc_by_group(scored, "_s", "_y", ["_r"]).collect()}
+        each = (now.where(F.col("_y").isNotNull())
+                .select((F.col("_y") == 1).alias("_p"), "_m", F.array(*some).alias("_t")))
+        counts = each.mapInArrow(_cell_counter(len(some), AUC_BUCKETS),
+                                 "_r int, _s long, _pos long, _neg long")
+        found = {r["_r"]: r["auc"] for r in auc_by_group(counts, ["_r"]).collect()}
         out += [found.get(i) for i in range(len(some))]  # one row per round
         if at + ROUNDS_AT_ONCE < len(trees):
             before, path = path, scratch_path(spark, "margins")

@@ -71,10 +71,12 @@ def rank_metrics(scored: DataFrame, score_col: str = "score", label: str = "in_c
                        F.try_divide(F.col("_loss"), F.col("_p") + F.col("_n")).alias("log_loss"))
 
 
-def auc_by_group(scored: DataFrame, score_col: str, label: str, groups: list[str]) -> DataFrame:
-    """groups, auc, for scores of few distinct values: one shuffle of the counts, then
-    a window over a group's distinct scores."""
-    cells = _counts(scored, score_col, label, groups)
+def auc_by_group(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """groups, auc, from counts (groups, _s, _pos, _neg) of few distinct scores, which
+    may hold a score several times: one shuffle of the counts, then a window over a
+    group's distinct scores."""
+    cells = counts.groupBy(*groups, "_s").agg(
+        F.sum("_pos").cast("double").alias("_pos"), F.sum("_neg").cast("double").alias("_neg"))
     below = Window.partitionBy(*groups).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = cells.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0.0)))
     won = F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from cartwise.models import train as tr
 from cartwise.models.certify import INTERCEPT, optimality_certificate
 from cartwise.models.cv import GroupCrossValidation
-from cartwise.models.expressions import balanced_sum, probability_expression, tree_expressions
+from cartwise.models.expressions import (balanced_sum, boosted_probability, probability_expression,
+                                         tree_expressions)
 from cartwise.operators.rank import rank_metrics
 
 FEATS = ["a", "b", "c", "d"]
@@ -146,6 +147,44 @@ def test_auc_by_round_and_the_rule_agree_with_a_direct_evaluation(data, monkeypa
     assert tr.auc_by_round(model.stages[-1], held.where("in_cart = 1"), FEATS) == [0.5] * 30
 
 
+def test_rounds_are_counted_where_the_rows_are_read(spark, data, monkeypatch):
+    model = tr.fit_gbt(data, FEATS, max_iter=12)
+    few = data.select("in_cart", *FEATS).limit(5)
+    # null labels take no part
+    held = (few.unionByName(few.withColumn("in_cart", F.lit(None).cast("int")))
+            .crossJoin(spark.range(400)).repartition(4).localCheckpoint())
+    asked = []
+    by_group = tr.auc_by_group
+
+    def watched(rows, *rest):
+        asked.append(rows.count())
+        return by_group(rows, *rest)
+
+    monkeypatch.setattr(tr, "auc_by_group", watched)
+    got = tr.auc_by_round(model.stages[-1], held, FEATS)
+    assert asked and max(asked) <= 4 * 12 * 5  # a task's cells; held rows times rounds before: 24,000
+    assert got == pytest.approx(direct_aucs(model, few), abs=1e-3)
+
+
+def test_counted_cells_equal_the_scores_of_spark(spark, data):
+    model = tr.fit_gbt(data, FEATS, max_iter=9).stages[-1]
+    trees = tree_expressions(model, FEATS)
+    rows = data.select((F.col("in_cart") == 1).alias("_p"), F.lit(0.25).alias("_m"), F.array(*trees).alias("_t"))
+    counted = rows.mapInArrow(tr._cell_counter(9, 100), "_r int, _s long, _pos long, _neg long")
+    got = {(r[0], r[1]): (r[2], r[3]) for r in counted.groupBy("_r", "_s").agg(F.sum("_pos"), F.sum("_neg")).collect()}
+    want, margin = {}, F.lit(0.25)
+    for r, tree in enumerate(trees):
+        margin = margin + tree
+        score = F.floor(boosted_probability(margin) * 100)
+        for s, pos, n in data.groupBy(score).agg(F.sum("in_cart"), F.count(F.lit(1))).collect():
+            want[r, s] = (pos, n - pos)
+    assert got == want
+    # a score of zero, where exp overflows, and one of one
+    edge = spark.createDataFrame([(True, -500.0, [0.0]), (False, 500.0, [0.0])], "_p boolean, _m double, _t array<double>")
+    found = edge.coalesce(1).mapInArrow(tr._cell_counter(1, 100), counted.schema).collect()
+    assert [tuple(r) for r in found] == [(0, 0, 1, 0), (0, 100, 0, 1)]
+
+
 def test_best_round_waits_for_the_patience():
     assert tr.best_round([0.5, 0.7, 0.6], 2, 100) is None
     assert tr.best_round([0.5, 0.7, 0.6, 0.7], 1, 100) == 2
