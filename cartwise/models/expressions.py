@@ -41,28 +41,28 @@ def balanced_sum(terms: list[Column]) -> Column:
     return terms[0]
 
 
-def _node(lines: Iterator[str], features: list[str]) -> Column:
-    """The expression of the next subtree; uses up its lines."""
+def _node(lines: Iterator[str]):
+    """The next subtree; uses up its lines."""
     line = next(lines)
     leaf = _LEAF.match(line)
     if leaf:
-        return F.lit(float(leaf[1]))
+        return float(leaf[1])
     split = _SPLIT.match(line)
     if not split:
         raise ValueError(f"only splits of numbers are supported: {line}")
-    left = _node(lines, features)
+    left = _node(lines)
     next(lines)  # the matching Else
-    right = _node(lines, features)
-    return F.when(F.col(features[int(split[1])]) <= F.lit(float(split[2])), left).otherwise(right)
+    return int(split[1]), float(split[2]), left, _node(lines)
 
 
-def tree_expressions(model: GBTClassificationModel, features: list[str]) -> list[Column]:
-    """Weighted prediction of every tree, in the order of boosting."""
+def parsed_trees(model: GBTClassificationModel) -> list[tuple]:
+    """(weight, root) of every tree, in the order of boosting.  A node is a prediction or
+    (number of the feature, threshold, left node, right node)."""
     out, weight, lines = [], None, []
 
     def close():
         if weight is not None:
-            out.append(F.lit(weight) * _node(iter(lines), features))
+            out.append((weight, _node(iter(lines))))
 
     for line in map(str.strip, model.toDebugString.splitlines()[1:]):
         head = _TREE.match(line)
@@ -75,6 +75,19 @@ def tree_expressions(model: GBTClassificationModel, features: list[str]) -> list
     return out
 
 
+def _expression(node, features: list[str]) -> Column:
+    if not isinstance(node, tuple):
+        return F.lit(node)
+    feature, threshold, left, right = node
+    return (F.when(F.col(features[feature]) <= F.lit(threshold), _expression(left, features))
+            .otherwise(_expression(right, features)))
+
+
+def tree_expressions(model: GBTClassificationModel, features: list[str]) -> list[Column]:
+    """Weighted prediction of every tree, in the order of boosting."""
+    return [F.lit(weight) * _expression(root, features) for weight, root in parsed_trees(model)]
+
+
 def logistic(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

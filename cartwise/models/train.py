@@ -8,13 +8,13 @@ min-max scaled, so ``standardization`` is off (it would change the penalty).
 
 Gradient-boosted trees: depth 3, learning rate 0.5, row subsample 0.08,
 feature subsample 0.8, as in the reference.  Spark's GBT is first-order and
-samples features per node.  A child needs at least as many rows as the reference's
+samples features per node; its trees are grown by ``models.boost`` over the sampled rows only.  A child needs at least as many rows as the reference's
 least child weight implies: that weight sums p(1 - p), which is a quarter at most.
 The number of rounds is chosen by a rule: a tenth of the users is held out; the AUC
 on them is read after every round; when no round of the last 20 is better than the
 best before them, that best number of rounds is used for a fit on all users.  If the
 best is among the last 20, the rounds are doubled (40, 80, ... up to 10,000) and the
-fit is repeated.  The AUC of all rounds of a fit comes from one aggregation of the
+fit goes on.  The AUC of all rounds of a fit comes from one aggregation of the
 held-out rows by (round, score bucket), counted in the tasks that read them; beyond 64
 rounds, one for each 64.
 
@@ -25,24 +25,30 @@ object scores a frame of raw feature columns and can be saved and loaded.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwise.models.expressions import balanced_sum, tree_expressions
+from cartwise.models.boost import BoostedTrees
+from cartwise.models.expressions import parsed_trees
 from cartwise.operators.rank import auc_by_group
 from cartwise.operators.split import train_test_by_group
 from cartwise.schema import FEATURES, ID_COL, LABEL_COL
 from cartwise.session import delete_path, scratch_path
 
+# executors need not import this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the reference models.
 LR_C = 10.0
 LR_MAX_ITER = 2000
@@ -77,16 +83,12 @@ def logistic_regression_estimator(n_train: int, c: float = LR_C,
 
 
 def gbt_estimator(max_iter: int = 50, seed: int = GBT_SEED,
-                  label: str = LABEL_COL) -> GBTClassifier:
-    return GBTClassifier(
+                  label: str = LABEL_COL) -> BoostedTrees:
+    return BoostedTrees(
         featuresCol="features", labelCol=label, maxDepth=GBT_DEPTH, stepSize=GBT_STEP,
         subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_COLSAMPLE,
         maxIter=max_iter, seed=seed, lossType="logistic",
         minInstancesPerNode=math.ceil(GBT_CHILD_WEIGHT / 0.25),
-        # depth-3 trees gain little from caching node ids (measured slower);
-        # the boosting state is still checkpointed every 10 rounds to the
-        # session's checkpoint folder, so lineage stays short over many rounds
-        cacheNodeIds=False, checkpointInterval=10,
     )
 
 
@@ -108,8 +110,7 @@ def fit_logistic_regression(train: DataFrame, features: list[str] = FEATURES,
 
 def _cell_counter(rounds: int, buckets: int) -> Callable:
     """Counts a task's rows by (round, score bucket, label) from the predictions of each
-    row's trees, so that no row is repeated for every round.  (A nested function: the
-    executors need not import this module.)"""
+    row's trees, so that no row is repeated for every round."""
     def count(batches):
         at_round = np.arange(rounds) * (buckets + 1)
         seen = np.zeros((2, rounds * (buckets + 1)), dtype=np.int64)
@@ -132,25 +133,68 @@ def _cell_counter(rounds: int, buckets: int) -> Callable:
     return count
 
 
+def _leaves(batch: pa.RecordBatch, trees: list, features: list[str]) -> np.ndarray:
+    """Weighted prediction of every tree (column) for every row."""
+    # a null compares as false, as NaN does
+    x = [batch.column(f).to_numpy(zero_copy_only=False) for f in features]
+
+    def value(node):
+        if not isinstance(node, tuple):
+            return node
+        feature, threshold, left, right = node
+        return np.where(x[feature] <= threshold, value(left), value(right))
+
+    out = np.empty((batch.num_rows, len(trees)))
+    for k, (weight, root) in enumerate(trees):
+        out[:, k] = weight * value(root)
+    return out
+
+
+def _leaf_counter(trees: list, features: list[str], count: Callable) -> Callable:
+    """``count`` (a ``_cell_counter``) over rows of features, a part of a batch at a time."""
+    def parts(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 14):
+                some = batch.slice(at, 1 << 14)
+                ends = np.arange(0, (some.num_rows + 1) * len(trees), len(trees), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.column("_y").to_numpy(zero_copy_only=False) == 1), some.column("_m"),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(_leaves(some, trees, features).ravel()))],
+                    names=["_p", "_m", "_t"])
+
+    return lambda batches: count(parts(batches))
+
+
+def _margin_adder(trees: list, features: list[str]) -> Callable:
+    """Rows with the trees added to their margins, in the order of boosting."""
+    def run(batches):
+        for batch in batches:
+            before = batch.column("_m").to_numpy(zero_copy_only=False)
+            every = np.column_stack([before, _leaves(batch, trees, features)])
+            margin = pa.array(np.cumsum(every, axis=1)[:, -1])
+            yield batch.set_column(batch.schema.get_field_index("_m"), "_m", margin)
+
+    return run
+
+
 def auc_by_round(model: GBTClassificationModel, rows: DataFrame, features: list[str] = FEATURES,
                  label: str = LABEL_COL) -> list[float]:
     """AUC on ``rows`` of the ensemble cut after each of its rounds (0.5 where the rows
     hold one label only), to the resolution of ``AUC_BUCKETS`` equal score buckets."""
-    spark, trees = rows.sparkSession, tree_expressions(model, features)
+    spark, trees = rows.sparkSession, parsed_trees(model)
     out, path = [], None
-    now = rows.select(F.col(label).cast("long").alias("_y"), *features, F.lit(0.0).alias("_m"))
+    now = rows.select(F.col(label).cast("long").alias("_y"),
+                      *[F.col(f).cast("double") for f in features], F.lit(0.0).alias("_m"))
     for at in range(0, len(trees), ROUNDS_AT_ONCE):
         some = trees[at:at + ROUNDS_AT_ONCE]
-        each = (now.where(F.col("_y").isNotNull())
-                .select((F.col("_y") == 1).alias("_p"), "_m", F.array(*some).alias("_t")))
-        counts = each.mapInArrow(_cell_counter(len(some), AUC_BUCKETS),
-                                 "_r int, _s long, _pos long, _neg long")
+        counts = now.where(F.col("_y").isNotNull()).mapInArrow(
+            _leaf_counter(some, features, _cell_counter(len(some), AUC_BUCKETS)),
+            "_r int, _s long, _pos long, _neg long")
         found = {r["_r"]: r["auc"] for r in auc_by_group(counts, ["_r"]).collect()}
         out += [found.get(i) for i in range(len(some))]  # one row per round
         if at + ROUNDS_AT_ONCE < len(trees):
             before, path = path, scratch_path(spark, "margins")
-            (now.select("_y", *features, (F.col("_m") + balanced_sum(some)).alias("_m"))
-             .write.parquet(path))
+            now.mapInArrow(_margin_adder(some, features), now.schema).write.parquet(path)
             now = spark.read.schema(now.schema).parquet(path)
             if before:
                 delete_path(spark, before)
@@ -170,13 +214,18 @@ def boosting_rounds(train: DataFrame, held_out: DataFrame, features: list[str] =
                     label: str = LABEL_COL, seed: int = GBT_SEED, patience: int = GBT_PATIENCE,
                     first: int = GBT_FIRST_ROUNDS, most: int = GBT_MAX_ROUNDS) -> int:
     """How many rounds the held-out AUC asks for (see the module's text)."""
-    rounds = min(first, most)
-    while True:
-        model = _pipeline(gbt_estimator(rounds, seed, label), features).fit(_labelled(train, label))
-        best = best_round(auc_by_round(model.stages[-1], held_out, features, label), patience, most)
-        if best is not None:
-            return best
-        rounds = min(2 * rounds, most)
+    rounds, kept = min(first, most), {}
+    try:
+        while True:
+            estimator = gbt_estimator(rounds, seed, label).keep(kept)
+            model = _pipeline(estimator, features).fit(_labelled(train, label))
+            best = best_round(auc_by_round(model.stages[-1], held_out, features, label), patience, most)
+            if best is not None:
+                return best
+            rounds = min(2 * rounds, most)
+    finally:
+        if kept:
+            kept["booster"].release()
 
 
 def fit_gbt(train: DataFrame, features: list[str] = FEATURES, label: str = LABEL_COL,
